@@ -26,7 +26,7 @@ NOT_ARRESTED = FilterSpec(year=1999, arrest=False, start="1999-01", end="1999-12
 PLACE = FilterSpec(district="005", start="1996-02", end="1999-11")
 EVERYTHING = FilterSpec()
 VIEW = Viewport(zoom=11, width=900, height=620, latitude=41.8, longitude=-87.75)
-NARROW_VIEW = Viewport(zoom=13, width=500, height=400, latitude=41.8, longitude=-87.75)
+NARROW_VIEW = Viewport(zoom=13, width=700, height=400, latitude=41.8, longitude=-87.86)
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -58,8 +58,11 @@ def grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Sums and means of doubles depend on the order of addition in the last bits."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Sums and means of doubles depend on the order of addition in the last bits.
+
+    The nudge keeps exact halves of the last digit from falling either way.
+    """
+    return df.withColumns({c: F.round(F.col(c) + F.lit(1e-10), digits) for c in columns})
 
 
 # --- intake ------------------------------------------------------------------------

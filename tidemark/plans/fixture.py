@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import casts
 from ..operators.versions import keep_latest
+from ..session import spread
 from ..spec import ModelSpec
 
 MODEL = ModelSpec(
@@ -27,8 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All record versions, in Bronze columns plus the tie-breakers."""
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    sold = spread(table(spark, sf_dir, "lineitem"),
+                  "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    lines = sold.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     part, supp, shipped = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_shipdate")
     located = lambda c: F.when(part % 97 != 0, c)
     text = lambda c: c.cast("string")

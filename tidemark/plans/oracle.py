@@ -445,7 +445,7 @@ s AS (SELECT CAST(sum(value) AS BIGINT) AS total, CAST(sum(total_arrests) AS BIG
   CAST(sum(total_crimes) AS BIGINT) AS applicable FROM {cte}),
 o AS (SELECT s.total, (SELECT {_label('%b %Y')} FROM latest) AS latest_period,
   (SELECT v FROM latest) AS latest_value,
-  (SELECT round(change_pct, 6) FROM yoy_pct) AS change_pct,
+  (SELECT round(change_pct + 1e-10, 6) FROM yoy_pct) AS change_pct,
   (SELECT months FROM yoy_pct) AS change_months,
   (SELECT k FROM top_type) AS top_type, (SELECT v FROM top_type) AS top_type_value,
   s.arrests, s.applicable, {_percent('s.arrests', 's.applicable')} AS arrest_rate,
@@ -460,7 +460,7 @@ _ALL_CHANGE = _change(
     "TRUE", "total_crimes", "(SELECT high // 12 FROM bounds)", "1",
     "(SELECT high % 12 + 1 FROM bounds)")
 _YOY_COLUMNS = "SELECT target_year, prior_year, current_total, prior_total," \
-               " round(change_pct, 6) AS change_pct, months FROM yoy_pct"
+               " round(change_pct + 1e-10, 6) AS change_pct, months FROM yoy_pct"
 _sql("c1_overview", "sel", _overview("sel", _SEL_CHANGE) + "SELECT * FROM o")
 _sql("c1_overview_all", "bounds", _ALL_CHANGE + ", everything AS"
      " (SELECT *, total_crimes AS value FROM months)" + _overview("everything", "")
@@ -479,8 +479,8 @@ p AS (
   SELECT *, (current_total - prior_total) / prior_total * 100.0e0 AS pct FROM g
   WHERE prior_total > 0 AND current_total + prior_total >= 100
   ORDER BY abs(pct) DESC, primary_type LIMIT 10)
-SELECT primary_type, current_total, prior_total, round(pct, 6) AS change_pct,
-  round(abs(pct) / greatest(max(abs(pct)) OVER (), 1.0e0), 6) AS relative,
+SELECT primary_type, current_total, prior_total, round(pct + 1e-10, 6) AS change_pct,
+  round(abs(pct) / greatest(max(abs(pct)) OVER (), 1.0e0) + 1e-10, 6) AS relative,
   concat(CASE WHEN pct >= 0 THEN '+' ELSE '' END, {_fixed_one('pct')}, '%') AS change_text
 FROM p""")
 _SERIES = f"""
@@ -488,7 +488,7 @@ SELECT year, month, concat(year, '-', lpad(CAST(month AS VARCHAR), 2, '0')) AS p
   {_label('%b %Y')} AS label, """
 _sql("c4_trend", "sel", _SERIES + "CAST(sum(value) AS BIGINT) AS value FROM sel GROUP BY year, month")
 _sql("w3_trailing_mean", "sel_arrested", _SERIES + """round(avg(value) OVER (
-  ORDER BY year, month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS value
+  ORDER BY year, month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) + 1e-10, 6) AS value
 FROM (SELECT year, month, sum(value) AS value FROM sel_arrested GROUP BY year, month)""")
 
 
@@ -498,8 +498,8 @@ def _top(cte: str, key: str, n: int) -> str:
 t AS (SELECT (SELECT CAST(sum(value) AS DOUBLE) FROM g) AS whole,
   (SELECT max(value) FROM g) AS largest)
 SELECT CAST(row_number() OVER (ORDER BY value DESC, {key} NULLS LAST) AS INTEGER) AS position,
-  {key}, value, round(value / whole * 100.0e0, 6) AS share_pct,
-  round(value / CAST(largest AS DOUBLE), 6) AS relative
+  {key}, value, round(value / whole * 100.0e0 + 1e-10, 6) AS share_pct,
+  round(value / CAST(largest AS DOUBLE) + 1e-10, 6) AS relative
 FROM g, t ORDER BY position LIMIT {n}"""
 
 
@@ -515,8 +515,8 @@ i AS (
 c AS (
   SELECT *, sum(value) OVER (ORDER BY position) AS up_to, sum(value) OVER () AS whole FROM i)
 SELECT CAST(position AS INTEGER) AS position, item, value,
-  round(CAST(up_to - value AS DOUBLE) / whole * 100.0e0, 6) AS from_pct,
-  round(CAST(up_to AS DOUBLE) / whole * 100.0e0, 6) AS to_pct,
+  round(CAST(up_to - value AS DOUBLE) / whole * 100.0e0 + 1e-10, 6) AS from_pct,
+  round(CAST(up_to AS DOUBLE) / whole * 100.0e0 + 1e-10, 6) AS to_pct,
   {_percent('value', 'whole')} AS share_text FROM c""")
 _sql("c6_insights", "sel", _overview("sel", _SEL_CHANGE) + f"""
 SELECT CAST(1 AS INTEGER) AS position, concat(top_type, ' is the largest category, accounting for ',
@@ -536,7 +536,7 @@ SELECT year, CAST(sum(total_crimes) AS BIGINT) AS value,
 FROM months GROUP BY year""")
 _sql("a18_seasonal", "sel", """
 SELECT CAST(m.range AS INTEGER) AS month, strftime(make_date(2000, m.range, 1), '%b') AS label,
-  round(coalesce(sum(value), 0) / greatest(count(DISTINCT year), 1), 6) AS value
+  round(coalesce(sum(value), 0) / greatest(count(DISTINCT year), 1) + 1e-10, 6) AS value
 FROM range(1, 13) m LEFT JOIN sel ON sel.month = m.range GROUP BY m.range""")
 _HOURS = """
 , h AS (
@@ -557,7 +557,7 @@ _sql("a20_week_hour_grid", "tsel_arrested", """
     CAST(coalesce(sum(value), 0) AS BIGINT) AS value
   FROM range(1, 8) a, range(0, 24) b
   LEFT JOIN tsel_arrested t ON t.day = a.range AND t.hour = b.range GROUP BY a.range, b.range)
-SELECT *, round(value / CAST(greatest(max(value) OVER (), 1) AS DOUBLE), 6) AS intensity FROM d""")
+SELECT *, round(value / CAST(greatest(max(value) OVER (), 1) AS DOUBLE) + 1e-10, 6) AS intensity FROM d""")
 _sql("k6_peak_hour", "tsel", _HOURS + f"""
 SELECT hour, value, concat('Peak hour: ', {_HOUR_LABEL}, ' (', {_grouped('value')}, ' incidents).')
   AS peak_text FROM peak""")
@@ -598,15 +598,15 @@ def _y(lat: str, zoom: int) -> str:
 
 _sql("c11_projection", "grid", f"""
 , p AS (SELECT lat_bin, long_bin, {_x('long_bin', 11)} AS x, {_y('lat_bin', 11)} AS y FROM grid)
-SELECT lat_bin, long_bin, round(x, 6) AS x, round(y, 6) AS y,
-  round(x / {256 * 2 ** 11}.0e0 * 360.0e0 - 180.0e0, 6) AS longitude,
-  round(degrees(atan(sinh(pi() - 2 * pi() * y / {256 * 2 ** 11}.0e0))), 6) AS latitude FROM p""")
+SELECT lat_bin, long_bin, round(x + 1e-10, 6) AS x, round(y + 1e-10, 6) AS y,
+  round(x / {256 * 2 ** 11}.0e0 * 360.0e0 - 180.0e0 + 1e-10, 6) AS longitude,
+  round(degrees(atan(sinh(pi() - 2 * pi() * y / {256 * 2 ** 11}.0e0))) + 1e-10, 6) AS latitude FROM p""")
 
 
-def _zones(zoom: int, width: int, height: int, cell: int) -> str:
+def _zones(zoom: int, width: int, height: int, cell: int, centre: str = "-87.75e0") -> str:
     return f"""
 , v AS (
-  SELECT *, {_x('long_bin', zoom)} - ({_x('-87.75e0', zoom)} - {width / 2}e0) AS px,
+  SELECT *, {_x('long_bin', zoom)} - ({_x(centre, zoom)} - {width / 2}e0) AS px,
     {_y('lat_bin', zoom)} - ({_y('41.8e0', zoom)} - {height / 2}e0) AS py FROM grid),
 z AS (
   SELECT CAST(floor(px / {cell}) AS BIGINT) AS cell_x, CAST(floor(py / {cell}) AS BIGINT) AS cell_y,
@@ -618,26 +618,26 @@ z AS (
   FROM v WHERE px BETWEEN -30 AND {width + 30} AND py BETWEEN -30 AND {height + 30} GROUP BY 1, 2)"""
 
 
-_CENTRE = """cell_x, cell_y, round(x, 6) AS x, round(y, 6) AS y, round(latitude, 6) AS latitude,
-  round(longitude, 6) AS longitude, total_crimes, total_arrests"""
+_CENTRE = """cell_x, cell_y, round(x + 1e-10, 6) AS x, round(y + 1e-10, 6) AS y, round(latitude + 1e-10, 6) AS latitude,
+  round(longitude + 1e-10, 6) AS longitude, total_crimes, total_arrests"""
 _sql("c12_pixel_clusters", "grid", _zones(11, 900, 620, 34) + f"""
 SELECT {_CENTRE}, cells,
-  round(least(22.0e0, 5.0e0 + sqrt(total_crimes) * 0.34e0), 6) AS radius FROM z""")
+  round(least(22.0e0, 5.0e0 + sqrt(total_crimes) * 0.34e0) + 1e-10, 6) AS radius FROM z""")
 
 
-def _heat(zoom: int, width: int, height: int, cell: int) -> str:
-    return _zones(zoom, width, height, cell) + f""",
+def _heat(zoom: int, width: int, height: int, cell: int, centre: str = "-87.75e0") -> str:
+    return _zones(zoom, width, height, cell, centre) + f""",
 s AS (SELECT *, ln(1 + total_crimes) AS score FROM z),
 q AS (SELECT coalesce(list_sort(list(score))[CAST(floor(count(*) * 0.96e0) AS BIGINT) + 1], 1.0e0)
   AS scale FROM s),
 i AS (SELECT s.*, least(1.0e0, score / scale) AS intensity FROM s, q)
-SELECT {_CENTRE}, round(score, 6) AS score, round(intensity, 6) AS intensity,
+SELECT {_CENTRE}, round(score + 1e-10, 6) AS score, round(intensity + 1e-10, 6) AS intensity,
   CASE WHEN intensity > 0.72e0 THEN 'high' WHEN intensity > 0.42e0 THEN 'medium' ELSE 'low' END AS tier,
-  round({cell} * (1.15e0 + intensity * 1.05e0), 6) AS radius FROM i"""
+  round({cell} * (1.15e0 + intensity * 1.05e0) + 1e-10, 6) AS radius FROM i"""
 
 
 _sql("c13_heat_zones", "grid", _heat(11, 900, 620, 13))
-_sql("c13_heat_zones_close", "grid", _heat(13, 500, 400, 10))
+_sql("c13_heat_zones_close", "grid", _heat(13, 700, 400, 10, "-87.86e0"))
 
 # --- outcomes ----------------------------------------------------------------------
 
@@ -648,7 +648,7 @@ def _rates(cte: str, total: str, arrests: str, order: str, limit: str) -> str:
     CAST(sum({arrests}) AS BIGINT) AS arrests FROM {cte} GROUP BY 1),
 r AS (SELECT *, CAST(arrests AS DOUBLE) / total * 100.0e0 AS rate FROM g WHERE total > 0),
 m AS (SELECT greatest(max(rate), 1.0e0) AS cap FROM r)
-SELECT primary_type, total, arrests, round(rate, 6) AS rate, round(rate / cap, 6) AS relative
+SELECT primary_type, total, arrests, round(rate + 1e-10, 6) AS rate, round(rate / cap + 1e-10, 6) AS relative
 FROM r, m ORDER BY {order} DESC, primary_type {limit}"""
 
 
@@ -659,14 +659,14 @@ _sql("k4_top_rates", "sel_place", _rates(
     "sel_place", "total_crimes", "total_arrests", "r.rate", "LIMIT 12"))
 _sql("k4_top_arrests", "sel", """
 , g AS (SELECT primary_type, CAST(sum(total_arrests) AS BIGINT) AS arrests FROM sel GROUP BY 1)
-SELECT primary_type, arrests, round(CAST(arrests AS DOUBLE) / (SELECT max(arrests) FROM g), 6)
+SELECT primary_type, arrests, round(CAST(arrests AS DOUBLE) / (SELECT max(arrests) FROM g) + 1e-10, 6)
   AS relative FROM g ORDER BY arrests DESC, primary_type LIMIT 10""")
 _sql("a22_outcome_split", "sel", f"""
 , s AS (SELECT CAST(sum(total_crimes) AS BIGINT) AS total,
     CAST(sum(total_arrests) AS BIGINT) AS arrests FROM sel),
 r AS (SELECT total, 'Arrested' AS outcome, arrests AS incidents FROM s
   UNION ALL SELECT total, 'Not arrested', total - arrests FROM s)
-SELECT outcome, incidents, round(CAST(incidents AS DOUBLE) / total * 100.0e0, 6) AS width_pct,
+SELECT outcome, incidents, round(CAST(incidents AS DOUBLE) / total * 100.0e0 + 1e-10, 6) AS width_pct,
   {_percent('incidents', 'total')} AS share_text FROM r""")
 _sql("c9_enforcement_summary", "sel", f"""
 , g AS (SELECT primary_type, sum(total_crimes) AS t, sum(total_arrests) AS a FROM sel GROUP BY 1),
@@ -676,7 +676,7 @@ s AS (SELECT CAST(sum(t) AS BIGINT) AS total, CAST(sum(a) AS BIGINT) AS arrests
 SELECT total, arrests, total - arrests AS not_arrested, {_percent('arrests', 'total')} AS arrest_rate,
   {_percent('total - arrests', 'total')} AS not_arrested_rate,
   (SELECT primary_type FROM best) AS highest_type,
-  (SELECT round(rate, 6) FROM best) AS highest_rate FROM s""")
+  (SELECT round(rate + 1e-10, 6) FROM best) AS highest_rate FROM s""")
 _sql("a23_domestic_share", "months", f"""
 , s AS (
   SELECT CAST(sum(CASE WHEN domestic = 1 THEN total_crimes END) AS BIGINT) AS domestic_total,
