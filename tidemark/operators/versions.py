@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import casts
-from ..spec import BRONZE_SCHEMA
 
 KEY = "id"
 
@@ -46,14 +45,14 @@ def _source_wins() -> Column:
     return F.coalesce(_time("source") >= _time("target"), F.lit(False))
 
 
-def upsert_newer(target: DataFrame, stage: DataFrame) -> DataFrame:
-    """``target`` after merging ``stage`` (one row per key): replace when at least as new, else
-    keep; add new keys.
+def merge_parts(target: DataFrame, stage: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``target`` after merging ``stage`` (one row per key), as the rows whose keys it had already
+    (replaced when the staged version is at least as new) and the rows with new keys.
 
-    Two branches instead of one full outer join. In the first the target only ever sits on the
-    left of a left join: a small stage is broadcast by its measured size and the target is not
-    shuffled at all, a large one is joined by key and a hot target key is split at run time.
-    The second finds which staged keys exist already and adds the others.
+    Not one full outer join: here the target only ever sits on the left of a left join, so a small
+    stage is broadcast by its measured size and the target is not shuffled at all, a large one is
+    joined by key and a hot target key is split at run time. The new rows are the staged ones whose
+    key a left semi join does not find.
     """
     columns = target.columns
     same_key = F.col(f"target.{KEY}") == F.col(f"source.{KEY}")
@@ -62,8 +61,14 @@ def upsert_newer(target: DataFrame, stage: DataFrame) -> DataFrame:
     kept = joined.select(*[
         F.when(take, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
         for c in columns])
-    known = (target.select(KEY).join(stage.select(KEY), KEY, "left_semi").distinct())
+    known = target.select(KEY).join(stage.select(KEY), KEY, "left_semi").distinct()
     added = stage.select(*columns).join(known, KEY, "left_anti").select(*columns)
+    return kept, added
+
+
+def upsert_newer(target: DataFrame, stage: DataFrame) -> DataFrame:
+    """``target`` with ``stage`` merged in: newer or equally old versions replace, new keys are added."""
+    kept, added = merge_parts(target, stage)
     return kept.unionByName(added)
 
 
@@ -96,7 +101,3 @@ def missing_keys(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Bronze keys without a Silver row: shows which keys a reconciliation difference is about."""
     return (bronze.select(F.col(KEY)).where(F.col(KEY).isNotNull()).distinct()
             .join(silver.select(F.col("crime_id").alias(KEY)), KEY, "left_anti"))
-
-
-def empty_bronze(spark) -> DataFrame:
-    return spark.createDataFrame([], BRONZE_SCHEMA)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,10 +12,11 @@ from ..functions import calendar as cal
 from ..functions import labels
 from ..operators import explore, filters, geo, quality, rollups, versions
 from ..operators.standardize import to_silver
-from ..session import settle
-from ..sources import intake
-from ..spec import FilterSpec, ModelSpec, Viewport
-from . import fixture
+from ..session import scratch_path, settle
+from ..sources import exports, intake, runlog, snapshots
+from ..spec import RUN_LOG_SCHEMA, FilterSpec, ModelSpec, Viewport
+from ..streaming.upsert import continuous_upsert
+from . import bundle, fixture, refresh
 from .fixture import MODEL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,7 +81,6 @@ def _(spark, sf):
 
 @query("s2_stamped_intake")
 def _(spark, sf):
-    from datetime import datetime
     records = intake.with_source_fields(fixture.bronze(spark, sf))
     return intake.stamp_lineage(records, "batch-x", "landing", datetime(2024, 1, 2, 3, 4, 5))
 
@@ -534,3 +536,127 @@ def _(spark, sf):
         labels.compact_number(total * F.lit(1234567)).alias("compact_m"),
         labels.percent_text(arrests, total).alias("rate_text"),
         labels.percent_text(total, F.lit(0)).alias("undefined_text"))
+
+
+# --- snapshots, runs and exports ---------------------------------------------------
+# These write real tables, into a new folder below the shared one, and read them back.
+
+_BUCKETS = 8  # at this data's size; production sets it for its Bronze
+
+
+def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Silver and Gold as published tables."""
+    s = settle(silver(spark, sf), "silver")
+    gold = {name: settle(t, name) for name, t in rollups.gold_tables(s, MODEL).items()}
+    return {**gold, refresh.SILVER: s}
+
+
+@query("s9_s11_snapshot")
+def _(spark, sf):
+    root = scratch_path(spark, "snapshot")
+    monthly = rollups.monthly_rollup(silver(spark, sf))
+    ref = snapshots.write_table(monthly, root, "run-1", "gold_monthly_crime_trends")
+    snapshots.promote(spark, root, "run-1", snapshots.current(spark, root),
+                      {"gold_monthly_crime_trends": ref})
+    return snapshots.read_current(spark, root, "gold_monthly_crime_trends")
+
+
+@query("s9_keyed_snapshot")
+def _(spark, sf):
+    root = scratch_path(spark, "snapshot")
+    ref = snapshots.write_keyed([silver(spark, sf)], root, "run-1", refresh.SILVER, "crime_id", _BUCKETS)
+    snapshots.promote(spark, root, "run-1", snapshots.current(spark, root), {refresh.SILVER: ref})
+    return snapshots.read_current(spark, root, refresh.SILVER)
+
+
+@query("s14_s17_cube_roundtrip")
+def _(spark, sf):
+    cube, path = month_cube(spark, sf), scratch_path(spark, "export")
+    exports.export_json(cube, path)
+    return exports.read_export(spark, path, cube.schema)
+
+
+@query("s16_inventory")
+def _(spark, sf):
+    rows = exports.inventory(_gold(spark, sf), "tables")
+    return rows.select("table_name", "format", "row_count", "range_start", "range_end", "grain",
+                       F.inline("columns").alias("column_name", "column_type", "nullable"))
+
+
+@query("s18_csv_export")
+def _(spark, sf):
+    path = scratch_path(spark, "csv")
+    exports.export_csv(explore.district_export(month_cube(spark, sf), ARRESTED), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query("s19_recent_runs")
+def _(spark, sf):
+    # One run per month of arrivals, with the counts of that month's versions.
+    arrived = fixture.bronze(spark, sf).groupBy(F.trunc("ingested_at", "month").alias("m")).agg(
+        F.min("ingested_at").alias("started_at"), F.max("ingested_at").alias("ended_at"),
+        F.count(F.lit(1)).alias("n"), F.max("updated_on").alias("newest"))
+    counted = {c: F.col("n") for c in (
+        "api_records_fetched", "stage_rows", "rows_inserted", "bronze_rows_after", "silver_rows_after")}
+    values = {"run_id": F.date_format("m", "'run'-yyyy-MM"), "status": F.lit("SUCCESS"),
+              "batch_id": F.date_format("m", "'batch'-yyyy-MM"), **counted,
+              "duration_seconds": F.unix_micros(F.col("ended_at").cast("timestamp")) / 1e6
+              - F.unix_micros(F.col("started_at").cast("timestamp")) / 1e6,
+              "rows_updated": F.lit(0), "gold_tables_passed": F.lit(5),
+              "started_at": F.col("started_at"), "ended_at": F.col("ended_at")}
+    log = arrived.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in RUN_LOG_SCHEMA.fields])
+    root = scratch_path(spark, "runs")
+    runlog.append_runs(log, root)
+    return runlog.recent_runs(runlog.read_log(spark, root), 10)
+
+
+def _land(records: DataFrame, path: str, mode: str = "error") -> None:
+    """Records as the JSON files a sender would deliver."""
+    intake.with_source_fields(records).write.mode(mode).json(path)
+
+
+def _refreshed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """A snapshot of the stored feeds, refreshed with the last year of the new feed."""
+    root = scratch_path(spark, "refresh")
+    versions_ = fixture.bronze(spark, sf)
+    is_new = F.col("source_file") == fixture.NEW_FEED
+    refresh.bootstrap(spark, root, versions_.where(~is_new).withColumn("location", F.lit(None)),
+                      _BUCKETS, MODEL.tie_breakers)
+    _land(versions_.where(is_new), f"{root}/landing")
+    model = replace(MODEL, tie_breakers=(), overlap_hours=24 * 365)
+    return root, refresh.run(spark, refresh.RefreshConfig(root, f"{root}/landing", model=model))
+
+
+@query("o1_o5_refresh_run")
+def _(spark, sf):
+    return _refreshed(spark, sf)[1].drop("run_id", "batch_id")
+
+
+@query("o1_refreshed_bronze")
+def _(spark, sf):
+    root, _summary = _refreshed(spark, sf)
+    return snapshots.read_current(spark, root, refresh.BRONZE).select("id", "updated_on")
+
+
+@query("o6_bundle")
+def _(spark, sf):
+    paths = bundle.build(spark, _gold(spark, sf), scratch_path(spark, "bundle"), "tables")
+    rows = [spark.read.text(path).agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(name).alias("dataset"), "row_count") for name, path in paths.items()]
+    out = rows[0]
+    for other in rows[1:]:
+        out = out.unionByName(other)
+    return out
+
+
+@query("x1_stream_upsert")
+def _(spark, sf):
+    # The feeds arrive one after the other; each call merges what has landed since the last.
+    root, all_versions = scratch_path(spark, "stream"), fixture.bronze(spark, sf)
+    refresh.bootstrap(spark, root, all_versions.limit(0).withColumn("location", F.lit(None)), _BUCKETS)
+    for feed in ("src-2", "src-1", "src-0"):
+        _land(all_versions.where(F.col("source_file") == feed), f"{root}/landing/{feed}")
+        continuous_upsert(spark, f"{root}/landing/*", root, f"{root}/checkpoint",
+                          replace(MODEL, tie_breakers=())).awaitTermination()
+    return snapshots.read_current(spark, root, refresh.BRONZE).select("id", "updated_on")

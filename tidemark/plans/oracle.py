@@ -722,3 +722,91 @@ SELECT year, primary_type, domestic, {_grouped('total_crimes * 12345')} AS group
   {_compact('total_crimes')} AS compact, {_compact('total_crimes * 997')} AS compact_k,
   {_compact('total_crimes * 1234567')} AS compact_m,
   {_percent('total_arrests', 'total_crimes')} AS rate_text, '—' AS undefined_text FROM outcome""")
+
+# --- snapshots, runs and exports ---------------------------------------------------
+
+_sql("s9_s11_snapshot", "monthly", "SELECT * FROM monthly")
+_sql("s9_keyed_snapshot", "silver", "SELECT * FROM silver")
+_sql("s14_s17_cube_roundtrip", "months", "SELECT * FROM months")
+
+_MEASURE_TYPES = "total_crimes BIGINT, total_arrests BIGINT, arrest_rate DOUBLE"
+_INVENTORY = (
+    ("gold_monthly_crime_trends", "monthly", "year", "year + month + primary_type",
+     f"year BIGINT, month INTEGER, primary_type VARCHAR, {_MEASURE_TYPES}"),
+    ("gold_area_crime_summary", "area", "year", "year + district",
+     f"year BIGINT, district VARCHAR, {_MEASURE_TYPES}"),
+    ("gold_arrest_analysis", "outcome", "year", "year + primary_type + domestic",
+     f"year BIGINT, primary_type VARCHAR, domestic BOOLEAN, {_MEASURE_TYPES}"),
+    ("gold_time_patterns", "week", None, "day_of_week_number + hour_of_day",
+     f"day_of_week_number INTEGER, day_of_week VARCHAR, hour_of_day INTEGER, {_MEASURE_TYPES}"),
+    ("gold_crime_hotspots", "grid", None, "lat_bin + long_bin",
+     f"lat_bin DOUBLE, long_bin DOUBLE, {_MEASURE_TYPES}"),
+    ("silver_crimes", "silver", "date", "crime_id (incident-level)",
+     "crime_id BIGINT, case_number VARCHAR, date TIMESTAMP, block VARCHAR, iucr VARCHAR,"
+     " primary_type VARCHAR, description VARCHAR, location_description VARCHAR, arrest BOOLEAN,"
+     " domestic BOOLEAN, beat VARCHAR, district VARCHAR, ward VARCHAR, community_area VARCHAR,"
+     " fbi_code VARCHAR, x_coordinate DOUBLE, y_coordinate DOUBLE, year BIGINT,"
+     " updated_on TIMESTAMP, latitude DOUBLE, longitude DOUBLE, ingested_at TIMESTAMP,"
+     " source_file VARCHAR, batch_id VARCHAR"),
+)
+
+
+def _inventory_row(name: str, cte: str, ranged: str | None, grain: str, columns: str) -> str:
+    pairs = [c.split() for c in columns.split(", " if ", " in columns else ",")]
+    listed = ", ".join(f"{{'n': '{n}', 't': '{t}'}}" for n, t in pairs)
+    bound = lambda f: f"CAST({f}({ranged}) AS VARCHAR)" if ranged else "CAST(NULL AS VARCHAR)"
+    return f"""
+SELECT table_name, format, row_count, range_start, range_end, grain, c.n AS column_name,
+  c.t AS column_type, TRUE AS nullable
+FROM (SELECT '{name}' AS table_name, 'Parquet' AS format, count(*) AS row_count,
+  {bound('min')} AS range_start, {bound('max')} AS range_end, '{grain}' AS grain,
+  unnest([{listed}]) AS c FROM {cte})"""
+
+
+_sql("s16_inventory", "monthly area outcome week grid",
+     "\nUNION ALL".join(_inventory_row(*t) for t in _INVENTORY))
+_sql("s18_csv_export", "sel_arrested", """
+, e AS (""" + _EXPORT.replace(", g AS", "WITH g AS", 1) + """)
+SELECT '"district","incidents","arrests","arrest_rate"' AS line
+UNION ALL SELECT concat('"', coalesce(district, ''), '","', incidents, '","', arrests, '","',
+  arrest_rate, '"') FROM e""")
+_sql("s19_recent_runs", "bronze", """
+SELECT strftime(min(ingested_at), 'run-%Y-%m') AS run_id, min(ingested_at) AS started_at,
+  max(ingested_at) AS ended_at,
+  CAST(epoch(max(ingested_at)) - epoch(min(ingested_at)) AS DOUBLE) AS duration_seconds,
+  'SUCCESS' AS status, strftime(min(ingested_at), 'batch-%Y-%m') AS batch_id,
+  count(*) AS api_records_fetched, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+  count(*) AS bronze_rows_after, count(*) AS silver_rows_after,
+  CAST(5 AS INTEGER) AS gold_tables_passed, CAST(NULL AS VARCHAR) AS error_message
+FROM bronze GROUP BY date_trunc('month', ingested_at) ORDER BY started_at DESC LIMIT 10""")
+# The batch of a refresh: the new feed's records since the watermark, newest version of each key.
+_BATCH = f"""
+, wm AS (SELECT max(CAST(updated_on AS TIMESTAMP)) - INTERVAL '8760' HOUR AS w FROM target),
+slice AS (SELECT * FROM bronze, wm WHERE source_file = 'src-0'
+  AND CAST(updated_on AS TIMESTAMP) >= w AND year >= 1995),
+batch AS (SELECT * EXCLUDE (v) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_UPDATE}) AS v FROM slice) WHERE v = 1),
+j AS (
+  SELECT coalesce(b.id, t.id) AS id, b.id IS NOT NULL AND t.id IS NULL AS is_new,
+    b.id IS NOT NULL AND t.id IS NOT NULL AND CAST(b.updated_on AS TIMESTAMP) >=
+      CAST(t.updated_on AS TIMESTAMP) AS is_update,
+    CASE WHEN t.id IS NULL OR CAST(b.updated_on AS TIMESTAMP) >= CAST(t.updated_on AS TIMESTAMP)
+      THEN b.updated_on ELSE t.updated_on END AS updated_on
+  FROM batch b FULL JOIN target t ON b.id = t.id)"""
+_sql("o1_o5_refresh_run", "target", _BATCH + """
+SELECT 'SUCCESS' AS status, (SELECT count(*) FROM slice) AS api_records_fetched,
+  count(CASE WHEN is_new THEN 1 END) AS rows_inserted,
+  count(CASE WHEN is_update THEN 1 END) AS rows_updated, count(*) AS bronze_rows_after,
+  count(*) AS silver_rows_after, CAST(5 AS INTEGER) AS gold_tables_passed FROM j""")
+_sql("o1_refreshed_bronze", "target", _BATCH + "\nSELECT id, updated_on FROM j")
+_sql("o6_bundle", "monthly area outcome week grid months years times", f"""
+, vals AS ({_VALUES})
+SELECT 'meta' AS dataset, CAST(1 AS BIGINT) AS row_count
+UNION ALL SELECT 'inventory', 6
+UNION ALL SELECT 'monthly', count(*) FROM monthly UNION ALL SELECT 'area', count(*) FROM area
+UNION ALL SELECT 'arrest', count(*) FROM outcome UNION ALL SELECT 'time', count(*) FROM week
+UNION ALL SELECT 'values', count(*) FROM vals UNION ALL SELECT 'hotspots', count(*) FROM grid
+UNION ALL SELECT 'monthly_geo', count(*) FROM months UNION ALL SELECT 'geo_cube', count(*) FROM years
+UNION ALL SELECT 'time_cube', count(*) FROM times""")
+_sql("x1_stream_upsert", "bronze", """
+SELECT id, max(updated_on) AS updated_on FROM bronze GROUP BY id""")

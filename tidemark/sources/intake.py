@@ -69,7 +69,9 @@ def type_bronze(records: DataFrame) -> DataFrame:
 
     def typed(field: T.StructField) -> Column:
         c = F.col(field.name)
-        if field.name in INTEGER_FIELDS:
+        if records.schema[field.name].dataType == field.dataType:
+            pass
+        elif field.name in INTEGER_FIELDS:
             c = casts.to_long(c.cast("string"))
         elif field.name in FLAG_FIELDS:
             c = casts.to_flag(c)
