@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tidemark-tests", "local[4]", spark_sql_shuffle_partitions="4", spark_driver_memory="4g",
+        "tidemark-tests", "local[4]", spark_sql_shuffle_partitions="4", spark_driver_memory="4g", spark_sql_maxMetadataStringLength="2000",
         spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
         spark_sql_warehouse_dir=str(tmp_path_factory.mktemp("warehouse")))
     session.sparkContext.setLogLevel("ERROR")

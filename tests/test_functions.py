@@ -97,3 +97,9 @@ def test_projection_inverts(spark):
                      proj.longitude_at(proj.mercator_x(F.col("lon"), 12), 12).alias("lon2")).collect()
     for r in back:
         assert math.isclose(r.lat, r.lat2, abs_tol=1e-9) and math.isclose(r.lon, r.lon2, abs_tol=1e-9)
+
+
+def test_compact_json_leaves_strings_alone(spark):
+    got = eval_text(spark, casts.compact_json, [
+        '{"a": "x  y", "b" : [1, 2],\n "c\\"  d": null}', "plain  text", "", None, '{"p": "\\\\"}  '])
+    assert got == ['{"a":"x  y","b":[1,2],"c\\"  d":null}', "plain  text", "", None, '{"p":"\\\\"}']

@@ -45,3 +45,12 @@ SPACES = (" \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u
 def trim_spaces(c: Column) -> Column:
     """Trim every Unicode space separator, not just U+0020; tabs and newlines stay."""
     return F.trim(c, F.lit(SPACES))
+
+
+# A string literal, kept by group 1, or white space between tokens.
+_JSON_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|\s+'
+
+
+def compact_json(c: Column) -> Column:
+    """Drop white space between the tokens of an object or list; other text stays as it is."""
+    return F.when(c.rlike(r"\A\s*[{\[]"), F.regexp_replace(c, _JSON_SPACE, "$1")).otherwise(c)

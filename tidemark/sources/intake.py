@@ -69,7 +69,9 @@ def type_bronze(records: DataFrame) -> DataFrame:
 
     def typed(field: T.StructField) -> Column:
         c = F.col(field.name)
-        if records.schema[field.name].dataType == field.dataType:
+        if field.name == "location":
+            c = casts.compact_json(c.cast("string"))
+        elif records.schema[field.name].dataType == field.dataType:
             pass
         elif field.name in INTEGER_FIELDS:
             c = casts.to_long(c.cast("string"))
