@@ -110,6 +110,18 @@ def test_keyed_tables_need_no_shuffle(spark, root):
     assert "BroadcastHashJoin" in plan(kept) and "hashpartitioning" not in plan(kept)
 
 
+def test_rewriting_does_not_multiply_files(spark, root):
+    refresh.bootstrap(spark, root, history(spark, *range(1, 50)), 4)
+    for i in range(4):
+        ref = snapshots.resolve(snapshots.current(spark, root), BRONZE)
+        stage = snapshots.read_table(spark, snapshots.write_table(
+            history(spark, i, 100 + i, 200 + i, 300 + i), root, f"s{i}", "stage"))
+        merged = refresh.merge_batch(spark, snapshots.read_table(spark, ref), stage, root, f"r{i}", ref)
+        snapshots.promote(spark, root, f"r{i}", snapshots.current(spark, root), {BRONZE: merged})
+    table = snapshots.read_current(spark, root, BRONZE)
+    assert table.count() == 49 + 1 + 4 * 3 and len(table.inputFiles()) <= 2 * 4
+
+
 def test_empty_table(spark, root):
     refresh.bootstrap(spark, root, history(spark, 1).limit(0), 4)
     assert snapshots.read_current(spark, root, BRONZE).count() == 0

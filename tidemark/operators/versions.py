@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import casts
+from ..functions.measures import count_where
 
 KEY = "id"
 
@@ -56,10 +57,10 @@ def merge_parts(target: DataFrame, stage: DataFrame) -> tuple[DataFrame, DataFra
     """
     columns = target.columns
     same_key = F.col(f"target.{KEY}") == F.col(f"source.{KEY}")
-    joined = target.alias("target").join(stage.alias("source"), same_key, "left")
-    take = _source_wins()
+    joined = (target.alias("target").join(stage.alias("source"), same_key, "left")
+              .withColumn("_replace", _source_wins()))
     kept = joined.select(*[
-        F.when(take, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
+        F.when(F.col("_replace"), F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
         for c in columns])
     known = target.select(KEY).join(stage.select(KEY), KEY, "left_semi").distinct()
     added = stage.select(*columns).join(known, KEY, "left_anti").select(*columns)
@@ -73,23 +74,22 @@ def upsert_newer(target: DataFrame, stage: DataFrame) -> DataFrame:
 
 
 def change_counts(target: DataFrame, stage: DataFrame) -> DataFrame:
-    """One row: rows a merge of ``stage`` would insert, update and find present.
+    """One row: rows a merge of ``stage`` (one row per key) would insert, update and find present.
 
-    The target side is first cut to the staged keys: that is a left semi join, which
-    broadcasts a small stage and splits a hot target key.
+    Only staged keys that are present are joined: an inner join broadcasts a small stage and may
+    split either side at a hot key. Staged keys not among them are the new ones.
     """
-    near = (target.select(KEY, "updated_on")
-            .join(stage.select(KEY), KEY, "left_semi")
-            .groupBy(KEY, "updated_on").agg(F.count(F.lit(1)).alias("copies")))
-    joined = (stage.select(KEY, "updated_on").alias("source")
-              .join(near.alias("target"),
-                    F.col(f"source.{KEY}") == F.col(f"target.{KEY}"), "left"))
-    found = F.coalesce(F.col("target.copies"), F.lit(0))
+    found = (target.select(KEY, "updated_on").alias("target")
+             .join(stage.select(KEY, "updated_on").alias("source"),
+                   F.col(f"target.{KEY}") == F.col(f"source.{KEY}"))
+             .groupBy(F.col(f"source.{KEY}").alias(KEY))
+             .agg(F.count(F.lit(1)).alias("copies"), count_where(_source_wins()).alias("replaced")))
+    staged = stage.agg(F.count(F.lit(1))).scalar()
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    return joined.agg(
-        total(F.when(F.col("target.copies").isNull(), 1).otherwise(0)).alias("rows_inserted"),
-        total(F.when(_source_wins(), found).otherwise(0)).alias("rows_updated"),
-        total(found).alias("overlap_rows"))
+    return found.agg(
+        F.count(F.lit(1)).alias("known"), total("replaced").alias("rows_updated"),
+        total("copies").alias("overlap_rows"),
+    ).select((staged - F.col("known")).alias("rows_inserted"), "rows_updated", "overlap_rows")
 
 
 def late_rows(counts: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import contextmanager
 from dataclasses import astuple, dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -73,16 +74,31 @@ def write_keyed(parts: list[DataFrame], root: str, run_id: str, name: str, key:
     """Write ``parts`` as one table bucketed by ``key``.
 
     Parts are written one after the other instead of as a union, which would forget how the
-    larger one is partitioned. Each part should come partitioned by its key or be small.
+    larger one is partitioned. Each part should come partitioned by its key or be small. What is
+    read from a keyed table is read bucket by bucket, so that a bucket stays one file per part
+    however often the table is rewritten.
     """
     ref = TableRef(f"{run_folder(root, run_id)}/{name}", parts[0].schema.json(), key, buckets)
     table = f"tidemark_{uuid.uuid4().hex}"
-    for position, part in enumerate(parts):
-        (part.write.format("parquet").mode("append" if position else "error")
-         .bucketBy(buckets, key).option("path", ref.path).saveAsTable(table))
+    with _whole_buckets(parts[0].sparkSession):
+        for position, part in enumerate(parts):
+            (part.write.format("parquet").mode("append" if position else "error")
+             .bucketBy(buckets, key).option("path", ref.path).saveAsTable(table))
     return ref
 
 
+@contextmanager
+def _whole_buckets(spark: SparkSession):
+    """One task per bucket also where no operator asks for that partitioning."""
+    name = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def by_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """Partition for ``write_keyed``: one task, and so one file, per bucket."""
     return df.repartition(buckets, key)
