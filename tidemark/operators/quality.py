@@ -101,7 +101,7 @@ def _bad_measures(m: ModelSpec) -> Column:
             | (F.abs(rate - rate_pct(arrests, total)) > m.rate_tolerance))
 
 
-def _bad_domain(table: str, m: ModelSpec, totals: Column) -> Column:
+def _bad_domain(table: str, m: ModelSpec) -> Column:
     year = ~F.col("year").between(m.first_year, m.last_year)
     blank = lambda c: F.trim(F.col(c)) == ""
     if table == "gold_monthly_crime_trends":
@@ -115,43 +115,48 @@ def _bad_domain(table: str, m: ModelSpec, totals: Column) -> Column:
         number = F.col("day_of_week_number")
         return (~number.between(1, 7) | ~F.col("hour_of_day").between(0, 23)
                 | (F.col("day_of_week") != weekday_name(number)))
-    outside = lambda c, name: ((F.col(c) < totals.getField(f"minimum_{name}"))
-                               | (F.col(c) > totals.getField(f"maximum_{name}")))
-    return outside("lat_bin", "lat_bin") | outside("long_bin", "long_bin")
+    outside = lambda c: ((F.col(c) < F.col(f"totals.minimum_{c}"))
+                         | (F.col(c) > F.col(f"totals.maximum_{c}")))
+    return outside("lat_bin") | outside("long_bin")
 
 
-def gold_check(table: str, rollup: DataFrame, totals: Column, m: ModelSpec) -> DataFrame:
-    """One row of five metrics for one Gold table; ``totals`` is the Silver totals struct."""
+def _gold_sums(table: str, rollup: DataFrame, totals: Column, m: ModelSpec) -> DataFrame:
+    """One row for one Gold table: its sums and four of the metrics."""
     grain = GOLD[table][1]
-    crimes, arrests = (("hotspot_crimes", "hotspot_arrests") if table == "gold_crime_hotspots"
-                       else ("all_crimes", "all_arrests"))
-    sums = rollup.agg(
+    if table == "gold_crime_hotspots":  # the range of the grid comes with the totals
+        rollup = rollup.withColumn("totals", totals)
+    return rollup.agg(
         F.sum("total_crimes").alias("crimes"), F.sum("total_arrests").alias("arrests"),
         (F.count(F.lit(1)) - F.countDistinct(F.struct(*grain))).alias("duplicate_rows"),
         count_where(_any_null(*grain, "total_crimes", "total_arrests", "arrest_rate"))
         .alias("null_rows"),
         count_where(_bad_measures(m)).alias("invalid_measure_rows"),
-        count_where(_bad_domain(table, m, totals)).alias("invalid_domain_rows"))
-    # An empty table has no sums: the difference stays NULL and the check fails.
-    difference = (F.abs(F.col("crimes") - totals.getField(crimes))
-                  + F.abs(F.col("arrests") - totals.getField(arrests)))
-    return sums.select(F.lit(table).alias("gold_table"),
-                       difference.cast("bigint").alias("reconciliation_difference"),
-                       *GOLD_METRICS[1:])
+        count_where(_bad_domain(table, m)).alias("invalid_domain_rows"),
+    ).withColumn("gold_table", F.lit(table))
 
 
 def gold_checks(silver: DataFrame, rollups: dict[str, DataFrame], m: ModelSpec) -> DataFrame:
-    """One row per Gold table: five metrics and a status."""
+    """One row per Gold table: five metrics and a status.
+
+    The Silver totals are one scalar subquery, named once for the grid and once for all sums.
+    """
     totals = silver_totals(silver, m).select(F.struct("*").alias("totals")).scalar()
-    rows = [gold_check(name, frame, totals, m) for name, frame in rollups.items()]
-    out = rows[0]
-    for other in rows[1:]:
-        out = out.unionByName(other)
+    parts = [_gold_sums(name, frame, totals, m) for name, frame in rollups.items()]
+    sums = parts[0]
+    for part in parts[1:]:
+        sums = sums.unionByName(part)
+    located = F.col("gold_table") == "gold_crime_hotspots"
+    whole = lambda name: (F.when(located, F.col(f"totals.hotspot_{name}"))
+                          .otherwise(F.col(f"totals.all_{name}")))
+    # An empty table has no sums: the difference stays NULL and the check fails.
+    difference = (F.abs(F.col("crimes") - whole("crimes"))
+                  + F.abs(F.col("arrests") - whole("arrests")))
+    metrics = sums.withColumn("totals", totals).select(
+        "gold_table", difference.cast("bigint").alias(GOLD_METRICS[0]), *GOLD_METRICS[1:])
     clean = F.lit(True)
     for metric in GOLD_METRICS:
         clean = clean & (F.col(metric) == 0)
-    return out.withColumn(
-        "validation_status", status_label(F.when(clean, F.lit(0))))
+    return metrics.withColumn("validation_status", status_label(F.when(clean, F.lit(0))))
 
 
 # --- gates -------------------------------------------------------------------------

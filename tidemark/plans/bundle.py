@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality, rollups
+from ..session import together
 from ..sources import exports, snapshots
 from .refresh import SILVER
 
@@ -40,11 +41,9 @@ def build(spark: SparkSession, tables: dict[str, DataFrame], out: str,
     """Check that the totals agree, then export every dataset; returns their paths."""
     quality.require_publishable(tables[SILVER], tables["gold_monthly_crime_trends"],
                                 tables["gold_area_crime_summary"])
-    paths = {}
     frames = datasets(tables, source)
-    for name, frame in frames.items():
-        paths[name] = f"{out.rstrip('/')}/{name}"
-        exports.export_json(frame, paths[name])
+    paths = {name: f"{out.rstrip('/')}/{name}" for name in frames}
+    together([lambda n=n, f=f: exports.export_json(f, paths[n]) for n, f in frames.items()])
     months = exports.read_export(spark, paths["monthly_geo"], frames["monthly_geo"].schema)
     paths["geo_cube"] = f"{out.rstrip('/')}/geo_cube"
     exports.export_json(rollups.geo_cube_from_months(months), paths["geo_cube"])

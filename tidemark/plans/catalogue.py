@@ -12,7 +12,7 @@ from ..functions import calendar as cal
 from ..functions import labels
 from ..operators import explore, filters, geo, quality, rollups, versions
 from ..operators.standardize import to_silver
-from ..session import scratch_path, settle
+from ..session import scratch_path, settle, together
 from ..sources import exports, intake, runlog, snapshots
 from ..spec import RUN_LOG_SCHEMA, FilterSpec, ModelSpec, Viewport
 from ..streaming.upsert import continuous_upsert
@@ -211,8 +211,7 @@ def _silver_checks(spark, sf):
 
 def _gold_checks(spark, sf):
     s = settled_silver(spark, sf, *_CHECKED)
-    gold = {n: settle(t, n) for n, t in rollups.gold_tables(s, MODEL).items()}
-    return quality.gold_checks(s, gold, MODEL)
+    return quality.gold_checks(s, rollups.gold_tables(s, MODEL), MODEL)
 
 
 @query("q1_q8_silver_checks")
@@ -554,8 +553,9 @@ _BUCKETS = 8  # at this data's size; production sets it for its Bronze
 def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Silver and Gold as published tables."""
     s = settle(silver(spark, sf), "silver")
-    gold = {name: settle(t, name) for name, t in rollups.gold_tables(s, MODEL).items()}
-    return {**gold, refresh.SILVER: s}
+    gold = rollups.gold_tables(s, MODEL)
+    written = together([lambda n=n, t=t: settle(t, n) for n, t in gold.items()])
+    return {**dict(zip(gold, written)), refresh.SILVER: s}
 
 
 @query("s9_s11_snapshot")

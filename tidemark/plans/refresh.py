@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import casts
 from ..operators import quality, rollups, versions
 from ..operators.standardize import to_silver
+from ..session import together
 from ..sources import intake, runlog, snapshots
 from ..sources.snapshots import Manifest, TableRef
 from ..spec import BRONZE_SCHEMA, ModelSpec
@@ -93,10 +94,10 @@ def build_layers(spark: SparkSession, bronze: DataFrame, root: str, run_id: str,
     refs[name] = _checked(quality.silver_checks(bronze, silver, m), root, run_id, name)
     quality.gate(snapshots.read_table(spark, refs[name]), quality.SILVER_FAILED)
 
-    gold = {}
-    for name, frame in rollups.gold_tables(silver, m).items():
-        refs[name] = snapshots.write_table(frame, root, run_id, name)
-        gold[name] = snapshots.read_table(spark, refs[name])
+    frames = rollups.gold_tables(silver, m)
+    refs.update(zip(frames, together([
+        lambda n=n, f=f: snapshots.write_table(f, root, run_id, n) for n, f in frames.items()])))
+    gold = {name: snapshots.read_table(spark, refs[name]) for name in frames}
     name = "gold_quality_results"
     refs[name] = _checked(quality.gold_checks(silver, gold, m), root, run_id, name)
     results = snapshots.read_table(spark, refs[name])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +73,12 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *columns)
+
+
+def together(jobs: list[Callable]) -> list:
+    """Run independent Spark jobs side by side, so that one's last tasks do not idle the cluster.
+
+    Results come in the order of ``jobs``; the first failure is raised after all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
