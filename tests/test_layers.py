@@ -72,6 +72,9 @@ def test_watermark(spark):
     df = bronze(spark, dict(updated_on="2024-03-01 10:00:00"), dict(updated_on="garbage"), dict(updated_on=None))
     assert mark(df) == (datetime(2024, 3, 1, 10), datetime(2024, 2, 29, 10))
     assert mark(df.limit(0))[0] == datetime(2020, 1, 1)
+    future = df.unionByName(bronze(spark, dict(updated_on="2999-01-01 00:00:00")))
+    assert mark(future)[0] == datetime(2999, 1, 1)
+    assert intake.high_water_mark(future, 2020, datetime(2025, 1, 1)).first()[0] == datetime(2024, 3, 1, 10)
 
 
 # --- snapshots ---------------------------------------------------------------------
@@ -167,6 +170,9 @@ def test_refresh(spark, root, tmp_path):
     assert len(paths) == 11
     core = spark.read.json(paths["meta"]).first()
     assert (core.row_count, core.unique_ids) == (4, 4)
+    assert core.hotspot_total == core.geocoded_rows == 2 and core.max_date == "2024-03-05 14:30:00"
+    months = [(r.year, r.month, r.primary_type) for r in spark.read.json(paths["monthly"]).collect()]
+    assert months == sorted(months)
     for path in paths.values():
         assert not exports.RECORD_LEVEL & set(spark.read.json(path).columns)
 

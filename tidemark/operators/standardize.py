@@ -18,17 +18,14 @@ def upper_code(c: Column) -> Column:
     return F.upper(casts.trim_spaces(c.cast("string")))
 
 
-def truncated_codes(bronze: DataFrame, m: ModelSpec) -> Column:
-    """True where padding would cut a code; the format check cannot see these."""
-    return F.lit(False) if not m.code_widths else _any(
-        [F.length(casts.trim_spaces(F.col(c).cast("string"))) > w for c, w in m.code_widths.items()])
-
-
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return F.coalesce(out, F.lit(False))
+def truncated_codes(m: ModelSpec) -> Column:
+    """True for a Bronze row with a code that is cut to its width; the format check of the result
+    cannot see these."""
+    cut = F.lit(False)
+    for name, width in m.code_widths.items():
+        longer = F.length(casts.trim_spaces(F.col(name).cast("string"))) > width
+        cut = cut | F.coalesce(longer, F.lit(False))
+    return cut
 
 
 def coordinate(name: str, m: ModelSpec) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality, rollups
 from ..session import together
@@ -17,16 +17,44 @@ def open_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
             for name in (*rollups.GOLD, SILVER)}
 
 
+# The order datasets are published in; NULLs come last.
+ORDER = {
+    "monthly": ("year", "month", "primary_type"),
+    "area": ("year", "district"),
+    "arrest": ("year", "primary_type", "domestic"),
+    "time": ("day_of_week_number", "hour_of_day"),
+    "geo_cube": ("year", "district", "community_area", "primary_type", "domestic"),
+    "monthly_geo": ("year", "month", "district", "community_area", "primary_type", "domestic"),
+    "time_cube": ("year", "month", "primary_type", "domestic", "day", "hour"),
+}
+
+
+def ordered(name: str, df: DataFrame) -> DataFrame:
+    """A dataset in its published order. Only roll-ups are ever sorted as a whole."""
+    if name == "hotspots":
+        return df.orderBy(F.col("total_crimes").desc_nulls_last(), "lat_bin", "long_bin")
+    if name not in ORDER:
+        return df
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in ORDER[name]])
+
+
+def _meta(silver: DataFrame, grid: DataFrame) -> DataFrame:
+    """Coverage figures with the located total of the grid."""
+    located = grid.agg(F.sum("total_crimes")).scalar()
+    return rollups.profile(silver).withColumns({
+        "hotspot_total": located, "refresh_mode": F.lit("Automated daily pipeline")})
+
+
 def datasets(tables: dict[str, DataFrame], source: str) -> dict[str, DataFrame]:
     """All published datasets. The year cube is a roll-up of the month cube."""
     silver = tables[SILVER]
     months = rollups.month_geo_cube(silver)
     monthly, area = tables["gold_monthly_crime_trends"], tables["gold_area_crime_summary"]
     return {
-        "meta": rollups.profile(silver),
+        "meta": _meta(silver, tables["gold_crime_hotspots"]),
         "monthly": monthly,
         "area": area,
-        "arrest": tables["gold_arrest_analysis"],
+        "arrest": tables["gold_arrest_analysis"].withColumn("domestic", F.col("domestic").cast("int")),
         "time": tables["gold_time_patterns"],
         "values": rollups.value_lists(monthly, area, silver),
         "hotspots": tables["gold_crime_hotspots"],
@@ -43,10 +71,10 @@ def build(spark: SparkSession, tables: dict[str, DataFrame], out: str,
                                 tables["gold_area_crime_summary"])
     frames = datasets(tables, source)
     paths = {name: f"{out.rstrip('/')}/{name}" for name in frames}
-    together([lambda n=n, f=f: exports.export_json(f, paths[n]) for n, f in frames.items()])
+    together([lambda n=n, f=f: exports.export_json(ordered(n, f), paths[n]) for n, f in frames.items()])
     months = exports.read_export(spark, paths["monthly_geo"], frames["monthly_geo"].schema)
     paths["geo_cube"] = f"{out.rstrip('/')}/geo_cube"
-    exports.export_json(rollups.geo_cube_from_months(months), paths["geo_cube"])
+    exports.export_json(ordered("geo_cube", rollups.geo_cube_from_months(months)), paths["geo_cube"])
     return paths
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import calendar as cal
 from ..functions import labels
+from ..functions.measures import count_where
 from ..operators import explore, filters, geo, quality, rollups, versions
-from ..operators.standardize import to_silver
+from ..operators.standardize import to_silver, truncated_codes
 from ..session import scratch_path, settle, together
 from ..sources import exports, intake, runlog, snapshots
 from ..spec import RUN_LOG_SCHEMA, FilterSpec, ModelSpec, Viewport
@@ -513,6 +514,19 @@ def _(spark, sf):
     return explore.filter_options(values, filters.period_bounds(monthly))
 
 
+@query("p5_truncated_codes")
+def _(spark, sf):
+    narrow = replace(MODEL, code_widths={"beat": 3, "district": 1, "ward": 2, "community_area": 1})
+    return (fixture.bronze(spark, sf).groupBy("source_file")
+            .agg(count_where(truncated_codes(narrow)).alias("cut_rows")))
+
+
+@query("j7_missing_keys")
+def _(spark, sf):
+    late = replace(MODEL, first_year=1997)  # keys with earlier records only are missing
+    return versions.missing_keys(fixture.bronze(spark, sf), silver(spark, sf, late))
+
+
 @query("p14_metric_by_status")
 def _(spark, sf):
     cube = month_cube(spark, sf)
@@ -547,7 +561,10 @@ def _(spark, sf):
 # --- snapshots, runs and exports ---------------------------------------------------
 # These write real tables, into a new folder below the shared one, and read them back.
 
-_BUCKETS = 8  # at this data's size; production sets it for its Bronze
+
+def _buckets(spark: SparkSession) -> int:
+    """As many as the session's shuffles have partitions, so that buckets shrink alike."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -571,7 +588,7 @@ def _(spark, sf):
 @query("s9_keyed_snapshot")
 def _(spark, sf):
     root = scratch_path(spark, "snapshot")
-    ref = snapshots.write_keyed([silver(spark, sf)], root, "run-1", refresh.SILVER, "crime_id", _BUCKETS)
+    ref = snapshots.write_keyed([silver(spark, sf)], root, "run-1", refresh.SILVER, "crime_id", _buckets(spark))
     snapshots.promote(spark, root, "run-1", snapshots.current(spark, root), {refresh.SILVER: ref})
     return snapshots.read_current(spark, root, refresh.SILVER)
 
@@ -597,9 +614,8 @@ def _(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-@query("s19_recent_runs")
-def _(spark, sf):
-    # One run per month of arrivals, with the counts of that month's versions.
+def _run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A written run history: one run per month of arrivals, with that month's counts."""
     arrived = fixture.bronze(spark, sf).groupBy(F.trunc("ingested_at", "month").alias("m")).agg(
         F.min("ingested_at").alias("started_at"), F.max("ingested_at").alias("ended_at"),
         F.count(F.lit(1)).alias("n"), F.max("updated_on").alias("newest"))
@@ -615,7 +631,17 @@ def _(spark, sf):
                            for f in RUN_LOG_SCHEMA.fields])
     root = scratch_path(spark, "runs")
     runlog.append_runs(log, root)
-    return runlog.recent_runs(runlog.read_log(spark, root), 10)
+    return runlog.read_log(spark, root)
+
+
+@query("s19_recent_runs")
+def _(spark, sf):
+    return runlog.recent_runs(_run_log(spark, sf), 10)
+
+
+@query("s19_verification")
+def _(spark, sf):
+    return runlog.recent_runs(_run_log(spark, sf), 5, with_end=False)
 
 
 def _land(records: DataFrame, path: str, mode: str = "error") -> None:
@@ -629,7 +655,7 @@ def _refreshed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     versions_ = fixture.bronze(spark, sf)
     is_new = F.col("source_file") == fixture.NEW_FEED
     refresh.bootstrap(spark, root, versions_.where(~is_new).withColumn("location", F.lit(None)),
-                      _BUCKETS, MODEL.tie_breakers)
+                      _buckets(spark), MODEL.tie_breakers)
     _land(versions_.where(is_new), f"{root}/landing")
     model = replace(MODEL, tie_breakers=(), overlap_hours=24 * 365)
     return root, refresh.run(spark, refresh.RefreshConfig(root, f"{root}/landing", model=model))
@@ -661,7 +687,7 @@ def _(spark, sf):
 def _(spark, sf):
     # The feeds arrive one after the other; each call merges what has landed since the last.
     root, all_versions = scratch_path(spark, "stream"), fixture.bronze(spark, sf)
-    refresh.bootstrap(spark, root, all_versions.limit(0).withColumn("location", F.lit(None)), _BUCKETS)
+    refresh.bootstrap(spark, root, all_versions.limit(0).withColumn("location", F.lit(None)), _buckets(spark))
     for feed in ("src-2", "src-1", "src-0"):
         _land(all_versions.where(F.col("source_file") == feed), f"{root}/landing/{feed}")
         continuous_upsert(spark, f"{root}/landing/*", root, f"{root}/checkpoint",

@@ -710,6 +710,11 @@ opts AS (
 SELECT dimension, CAST(row_number() OVER (PARTITION BY dimension ORDER BY
     CASE WHEN dimension = 'year' THEN -CAST(value AS BIGINT) END NULLS LAST, value) AS INTEGER)
   AS position, value, label FROM opts""")
+_sql("p5_truncated_codes", "bronze", """
+SELECT source_file, count(CASE WHEN beat > 999 OR district > 9 OR ward > 99 OR community_area > 9
+  THEN 1 END) AS cut_rows FROM bronze GROUP BY source_file""")
+_sql("j7_missing_keys", "bronze", """
+SELECT DISTINCT id FROM bronze WHERE id NOT IN (SELECT id FROM bronze WHERE year BETWEEN 1997 AND 2001)""")
 _sql("p14_metric_by_status", "months", """
 SELECT year, CAST(sum(total_crimes) AS BIGINT) AS any_status,
   CAST(sum(total_arrests) AS BIGINT) AS arrested,
@@ -770,7 +775,7 @@ _sql("s18_csv_export", "sel_arrested", """
 SELECT '"district","incidents","arrests","arrest_rate"' AS line
 UNION ALL SELECT concat('"', coalesce(district, ''), '","', incidents, '","', arrests, '","',
   arrest_rate, '"') FROM e""")
-_sql("s19_recent_runs", "bronze", """
+_RUNS = """
 SELECT strftime(min(ingested_at), 'run-%Y-%m') AS run_id, min(ingested_at) AS started_at,
   max(ingested_at) AS ended_at,
   CAST(epoch(max(ingested_at)) - epoch(min(ingested_at)) AS DOUBLE) AS duration_seconds,
@@ -778,7 +783,11 @@ SELECT strftime(min(ingested_at), 'run-%Y-%m') AS run_id, min(ingested_at) AS st
   count(*) AS api_records_fetched, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
   count(*) AS bronze_rows_after, count(*) AS silver_rows_after,
   CAST(5 AS INTEGER) AS gold_tables_passed, CAST(NULL AS VARCHAR) AS error_message
-FROM bronze GROUP BY date_trunc('month', ingested_at) ORDER BY started_at DESC LIMIT 10""")
+FROM bronze GROUP BY date_trunc('month', ingested_at) ORDER BY started_at DESC LIMIT 10"""
+_sql("s19_recent_runs", "bronze", _RUNS)
+_RUN_COLUMNS = """run_id, started_at, duration_seconds, status, batch_id, api_records_fetched,
+  rows_inserted, rows_updated, bronze_rows_after, silver_rows_after, gold_tables_passed, error_message"""
+_sql("s19_verification", "bronze", f", r AS ({_RUNS}) SELECT {_RUN_COLUMNS} FROM r ORDER BY started_at DESC LIMIT 5")
 # The batch of a refresh: the new feed's records since the watermark, newest version of each key.
 _BATCH = f"""
 , wm AS (SELECT max(CAST(updated_on AS TIMESTAMP)) - INTERVAL '8760' HOUR AS w FROM target),

@@ -41,9 +41,11 @@ def require_aggregate(df: DataFrame) -> None:
 
 
 def export_json(df: DataFrame, path: str) -> None:
-    """One object per line; absent values are written as null."""
+    """One object per line; absent values are written as null, times as plain text."""
     require_aggregate(df)
-    df.write.json(path, ignoreNullFields=False)
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    df.withColumns({c: F.col(c).cast("string") for c in times}).write.json(
+        path, ignoreNullFields=False)
 
 
 def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -90,9 +90,16 @@ def type_bronze(records: DataFrame) -> DataFrame:
     return records.select(*[typed(f) for f in known], *extra)
 
 
-def high_water_mark(bronze: DataFrame, start_year: int) -> DataFrame:
-    """One row, ``high_water_mark``: the newest update time, else January 1 of ``start_year``."""
-    newest = F.max(casts.to_timestamp(F.col("updated_on")))
+def high_water_mark(bronze: DataFrame, start_year: int,
+                    not_after: datetime | None = None) -> DataFrame:
+    """One row, ``high_water_mark``: the newest update time, else January 1 of ``start_year``.
+
+    One record dated in the future would hide later changes; ``not_after`` leaves such out.
+    """
+    updated = casts.to_timestamp(F.col("updated_on"))
+    if not_after is not None:
+        updated = F.when(updated <= F.lit(not_after).cast(T.TimestampNTZType()), updated)
+    newest = F.max(updated)
     floor = F.lit(f"{start_year:04d}-01-01 00:00:00").cast(T.TimestampNTZType())
     return bronze.agg(F.coalesce(newest, floor).alias("high_water_mark"))
 
