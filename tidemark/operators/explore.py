@@ -256,7 +256,8 @@ def _scoped_groups(cube: DataFrame, f: FilterSpec) -> DataFrame:
     """
     scope = in_scope(cube, f)
     scoped = lambda c: F.sum(F.when(scope, c))
-    rows = cube.where(in_dimensions(cube, f))
+    target = _comparison(f)[0]
+    rows = cube.where(in_dimensions(cube, f) & (scope | F.col("year").isin(target, target - 1)))
     return rows.groupingSets(
         [["year", "month"], ["primary_type"], ["district"], []],
         "year", "month", "primary_type", "district",
@@ -330,7 +331,7 @@ def _with_change(one: DataFrame, f: FilterSpec) -> DataFrame:
 
 
 def insights(cube: DataFrame, f: FilterSpec) -> DataFrame:
-    """Up to four sentences about the selection, in order."""
+    """Up to four sentences about the selection, in order. Their wording is a fixed value."""
     row = overview(cube, f)
     pct = F.col("change_pct")
     district = F.coalesce(F.col("top_district"), F.lit(labels.DASH))
@@ -462,7 +463,7 @@ def district_export(cube: DataFrame, f: FilterSpec) -> DataFrame:
 
 
 def methodology(profile: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Three rows about the data's coverage: label, value, note."""
+    """Three rows about the data's coverage: label, value, note (fixed texts)."""
     high = bounds.select("high").scalar()
     one = profile.select("row_count", "unique_ids", high.alias("high"))
     year = F.floor(F.col("high") / 12)

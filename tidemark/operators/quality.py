@@ -13,6 +13,7 @@ from ..functions.measures import count_where, rate_pct
 from ..spec import COORDINATE_FIELDS, LINEAGE_FIELDS, UNASSIGNED, ModelSpec
 from .rollups import GOLD, silver_totals
 
+# Gate messages, and the names of the tests and metrics below.
 SILVER_PASSED = "SILVER QUALITY GATE PASSED"
 SILVER_FAILED = "SILVER QUALITY GATE FAILED — GOLD BUILD BLOCKED"
 GOLD_PASSED = "GOLD QUALITY GATE PASSED"

@@ -54,7 +54,7 @@ def grid_rollup(silver: DataFrame, m: ModelSpec) -> DataFrame:
         grid_bin(F.col("longitude"), m.bin_scale).alias("long_bin")])
 
 
-# Gold tables in build order: name, roll-up, grain.
+# Gold tables in build order: name (a fixed value), roll-up, grain.
 GOLD: dict[str, tuple[Callable[[DataFrame, ModelSpec], DataFrame], tuple[str, ...]]] = {
     "gold_monthly_crime_trends": (
         lambda s, m: monthly_rollup(s), ("year", "month", "primary_type")),

@@ -15,7 +15,7 @@ from ..operators import explore, filters, geo, quality, rollups, versions
 from ..operators.standardize import to_silver, truncated_codes
 from ..session import scratch_path, settle, together
 from ..sources import exports, intake, runlog, snapshots
-from ..spec import RUN_LOG_SCHEMA, FilterSpec, ModelSpec, Viewport
+from ..spec import BRONZE_SCHEMA, RUN_LOG_SCHEMA, FilterSpec, ModelSpec, Viewport
 from ..streaming.upsert import continuous_upsert
 from . import bundle, fixture, refresh
 from .fixture import MODEL
@@ -108,8 +108,9 @@ def _(spark, sf):
 def _target_and_stage(spark, sf, *columns: str) -> tuple[DataFrame, DataFrame]:
     """The stored table and the batch, written as such: a merge reads both more than once."""
     pick = lambda df: df.select(*(columns or df.columns))
-    return (settle(pick(fixture.target(spark, sf)), "target"),
-            settle(pick(fixture.stage(spark, sf)), "stage"))
+    target, stage = together([lambda: settle(pick(fixture.target(spark, sf)), "target"),
+                              lambda: settle(pick(fixture.stage(spark, sf)), "stage")])
+    return target, stage
 
 
 @query("j1_j3_change_counts")
@@ -687,7 +688,7 @@ def _(spark, sf):
 def _(spark, sf):
     # The feeds arrive one after the other; each call merges what has landed since the last.
     root, all_versions = scratch_path(spark, "stream"), fixture.bronze(spark, sf)
-    refresh.bootstrap(spark, root, all_versions.limit(0).withColumn("location", F.lit(None)), _buckets(spark))
+    refresh.bootstrap(spark, root, spark.createDataFrame([], BRONZE_SCHEMA), _buckets(spark))
     for feed in ("src-2", "src-1", "src-0"):
         _land(all_versions.where(F.col("source_file") == feed), f"{root}/landing/{feed}")
         continuous_upsert(spark, f"{root}/landing/*", root, f"{root}/checkpoint",

@@ -14,7 +14,8 @@ TYPE_NAMES = {
     "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
 }
 
-# Table: first and last value of its range, or none.
+# The column whose first and last value are a table's range, or none, and the
+# description of its grain.
 RANGES = {
     "gold_monthly_crime_trends": "year", "gold_area_crime_summary": "year",
     "gold_arrest_analysis": "year", "gold_time_patterns": None, "gold_crime_hotspots": None,

@@ -6,7 +6,8 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
-# --- fixed schemas -----------------------------------------------------------------
+# Column names and types are fixed values.
+# --- schemas -----------------------------------------------------------------------
 
 INTEGER_FIELDS = ("id", "beat", "district", "ward", "community_area", "year")
 FLAG_FIELDS = ("arrest", "domestic")
