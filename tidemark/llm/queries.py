@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, secrets, sharding
+from . import exactdup, langid, mixing, secrets, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,12 +19,14 @@ def _over(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op1_language_id": _over("documents", langid.op1_language_id),
     "op3_mix": _over("documents", mixing.op3_mix),
+    "op5_exact_dedup": _over("documents", exactdup.op5_exact_dedup),
     "op9_secrets": _over("documents", secrets.op9_secrets),
     "op10_shards": _over("documents", sharding.op10_shards),
 }
 
 ORACLES: dict[str, str] = {
     "op3_mix": mixing.ORACLE_SQL,
+    "op5_exact_dedup": exactdup.ORACLE_SQL,
     "op9_secrets": secrets.ORACLE_SQL,
     "op10_shards": sharding.ORACLE_SQL,
 }
