@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdup, langid, mixing, secrets, sharding
+from . import exactdup, langid, minhash, mixing, secrets, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": _over("documents", langid.op1_language_id),
     "op3_mix": _over("documents", mixing.op3_mix),
     "op5_exact_dedup": _over("documents", exactdup.op5_exact_dedup),
+    "op8_near_dedup": _over("documents", minhash.op8_near_dedup),
     "op9_secrets": _over("documents", secrets.op9_secrets),
     "op10_shards": _over("documents", sharding.op10_shards),
 }
