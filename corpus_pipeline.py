@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid
+from tidemark.llm import exactdup, langid, minhash, mixing, pieces
 from tidemark.llm.common import table
 from tidemark.session import settle
 
@@ -14,8 +14,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs)
 
 
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest id."""
+    return exactdup.drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return minhash.drop_near(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them."""
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as piece ids."""
+    return pieces.tokenised(docs)
+
+
 STAGES = [
     ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix", mix),
+    ("encode", encode),
 ]
 
 #: The stages use hashing and models that SQL has no words for; tests compare with brute force.

@@ -20,6 +20,11 @@ def with_row(df: DataFrame, name: str = "row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import settle
-from .common import SPACE, small_runs, with_row
+from .common import SPACE, columns, small_runs, with_row
 
 
 @dataclass(frozen=True)
@@ -146,8 +146,9 @@ def keep_rows(docs: DataFrame, decided: DataFrame, digest: Column) -> DataFrame:
     some = per.where("kept > 0")
     if some.isEmpty():
         return stay
-    once = docs.join(some, docs["doc_id"].eqNullSafe(some["gone_id"]) & (digest == some["gone_digest"]))
-    once = once.groupBy("gone_id", "gone_digest").agg(F.first(F.struct(*docs.columns)).alias("d")).select("d.*")
+    once = docs.select(F.struct(*columns(docs)).alias("whole"), F.col("doc_id"), digest.alias("digest")).join(
+        some, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("digest") == F.col("gone_digest")))
+    once = once.groupBy("gone_id", "gone_digest").agg(F.first("whole").alias("whole")).select("whole.*")
     return stay.unionByName(once)
 
 

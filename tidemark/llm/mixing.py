@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import settle
-from .common import SPACE, id_hash, with_row
+from .common import SPACE, columns, id_hash, with_row
 
 HASH_BITS = 60
 
@@ -119,9 +119,8 @@ def op3_mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
 
 def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """The mixture itself: rows of ``docs``, each as often as it is taken. Rows without words stay out."""
-    names = docs.columns
     _, aims = plan_mix(with_row(docs.select("doc_id", "text", "source")), config)
-    picked = docs.select(F.struct(*names).alias("d"), F.col("source").alias("src"),
+    picked = docs.select(F.struct(*columns(docs)).alias("d"), F.col("source").alias("src"),
                          id_hash(F.col("doc_id"), seed=config.seed).alias("h"), word_count(F.col("text")).alias("size"))
     picked = picked.where("size > 0").join(aims, picked["src"].eqNullSafe(aims["s"]))
     copies = (F.col("whole") + (F.col("h") < F.col("cut")).cast("bigint")).cast("int")

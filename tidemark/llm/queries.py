@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdup, langid, minhash, mixing, secrets, sharding
+from . import exactdup, langid, minhash, mixing, pieces, secrets, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(name: str, fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": _over("documents", langid.op1_language_id),
+    "op2_pieces": _over("documents", pieces.op2_pieces),
     "op3_mix": _over("documents", mixing.op3_mix),
     "op5_exact_dedup": _over("documents", exactdup.op5_exact_dedup),
     "op8_near_dedup": _over("documents", minhash.op8_near_dedup),
