@@ -53,9 +53,9 @@ def targets(sizes: DataFrame, config: MixConfig) -> DataFrame:
     level = (total - F.coalesce(F.sum("most").over(before), F.lit(0))) / F.sum("weight").over(onward)
     full = F.col("level") * F.col("weight") >= F.col("most")
     leveled = most.withColumn("level", level)
-    # The first source that is not full, and all after it, share one level.
-    shared = F.min(F.when(~full, F.struct(F.col("most") / F.col("weight"), F.col("level")))).over(
-        W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))["level"]
+    # The first source that is not full has the level of all after it; theirs, computed so, would be lower.
+    shared = F.max(F.when(~full, F.col("level"))).over(
+        W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     return leveled.select("source", "source_size", F.when(full, F.col("most").cast("double")).otherwise(
         shared * F.col("weight")).alias("target"))
 
@@ -145,7 +145,7 @@ leveled AS (
   FROM named),
 aims AS (
   SELECT source, source_size, CASE WHEN level * weight >= most THEN most::DOUBLE
-    ELSE (SELECT arg_min(level, most / weight) FROM leveled WHERE level * weight < most) * weight END AS target
+    ELSE (SELECT max(level) FROM leveled WHERE level * weight < most) * weight END AS target
   FROM leveled),
 grouped AS (SELECT source, h, sum(size)::BIGINT AS n FROM sized GROUP BY source, h),
 cuts AS (
