@@ -217,7 +217,7 @@ def test_long_error_text_is_cut(spark):
 # --- continuous upsert -------------------------------------------------------------
 
 
-def test_stream_merges_in_any_split_and_skips_replays(spark, tmp_path):
+def test_stream_merges_in_any_split_and_bears_replays(spark, tmp_path):
     files = [[record(1), record(2)], [record(1, "2024-03-08T00:00:00.000", block="n"), record(3)],
              [record(2, "2024-03-01T00:00:00.000", block="late")]]
     expected = {1: "n", 2: None, 3: None}
@@ -231,11 +231,26 @@ def test_stream_merges_in_any_split_and_skips_replays(spark, tmp_path):
                 continuous_upsert(spark, str(landing), root, str(tmp_path / f"cp{waves}"), M,
                                   files_per_batch=per_batch).awaitTermination()
         assert dict(values(snapshots.read_current(spark, root, BRONZE), "id", "block")) == expected
-    done = snapshots.current(spark, root)
-    assert done.streams == {"upsert": 2}
     batch = intake.read_landing(spark, str(landing))
     upsert_batch(batch, 2, root, "upsert", "landing", M)  # replayed after a crash
-    assert snapshots.current(spark, root) == done
+    assert dict(values(snapshots.read_current(spark, root, BRONZE), "id", "block")) == expected
+
+
+def test_stream_takes_a_new_checkpoint_and_a_second_source(spark, tmp_path):
+    root, one, two = str(tmp_path / "t"), tmp_path / "one", tmp_path / "two"
+    refresh.bootstrap(spark, root, history(spark, 9).limit(0), 4)
+    go = lambda landing, checkpoint: continuous_upsert(
+        spark, str(landing), root, str(tmp_path / checkpoint), M).awaitTermination()
+    ids = lambda: sorted(r.id for r in snapshots.read_current(spark, root, BRONZE).collect())
+    land(one, record(1), name="a")
+    go(one, "cp-a")
+    land(one, record(2), name="b")
+    go(one, "cp-a")
+    land(one, record(3), record(4), name="c")
+    go(one, "cp-b")
+    land(two, record(5), name="d")
+    go(two, "cp-c")
+    assert ids() == [1, 2, 3, 4, 5]
 
 
 # --- exports -----------------------------------------------------------------------

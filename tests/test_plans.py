@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from rows import M, bronze
 from tidemark.operators import rollups, versions
+from tidemark.plans.catalogue import QUERIES
+from tidemark.spec import ModelSpec
 from tidemark.operators.standardize import to_silver
-from tidemark.session import settle, shared_dir, spread, together
+from tidemark.session import settle, shared_dir, together
 
-LAZY = [n for n in driver.queries() if not re.match(r"(s9|s14|s16|s18|s19|o1|o6|x1)_", n)]
+LAZY = [n for n in QUERIES if not re.match(r"(s9|s14|s16|s18|s19|o1|o6|x1)_", n)]
 
 
 def plan(df):
@@ -77,10 +79,12 @@ def test_settled_tables_go_to_the_shared_folder(spark):
     assert table.count() == 3
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    small, large = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, 64)
-    assert spread(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(large, "id") is large
+def test_default_tie_breakers_leave_columns_unread(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    bronze(spark, dict(id=1)).write.parquet(path)
+    text = plan(rollups.monthly_rollup(to_silver(spark.read.schema(bronze(spark, dict(id=1)).schema).parquet(path), ModelSpec())))
+    read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
+    assert "updated_on" in read and "description" not in read and "x_coordinate" not in read and "block" not in read
 
 
 def test_jobs_run_together_and_fail_together():

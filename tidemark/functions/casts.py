@@ -1,24 +1,49 @@
 """Casts of loosely typed text that yield NULL where the text does not fit.
 
-Spark's own ``try_cast`` differs from the model's rules in a few forms: ``'12.7'`` and
-``'1e3'`` are integers here (rounded), a bare year is not a timestamp and a padded
-``' true '`` is not a flag.
+Spark's own ``try_cast`` differs from the model's rules in a few forms, so a text must first have
+the form of a number or time: ``'12.7'``, ``'1e3'``, ``'1_000'`` and ``'0x10'`` are integers here
+(rounded), ``'12D'`` is none; ``'2024/1/2'`` and hour 24 are times, a bare year, ``'2024-01-02T03'``
+and a padded ``' true '`` are nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-_STARTS_WITH_DAY = r"\A\s*\d{4}-\d{1,2}-\d{1,2}"
+_DIGITS = r"\d++(?:_\d++)*+"
+_PLAIN = rf"\A\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
+_DECIMAL = rf"{_PLAIN}\s*\z"
+_NUMBER = rf"{_PLAIN}(?:[eE][+-]?{_DIGITS})?\s*\z"
+_NO_NUMBER = r"(?i)\A\s*(?:[+-]?inf(?:inity)?|nan)\s*\z"
+_OTHER_BASE = r"(?i)\A\s*0(?:x([0-9a-f]+)|b([01]+))\s*\z"
+
+# The usual form, which Spark reads as it is.
+_USUAL_TIME = r"\A\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,9})?\s*)?\z"
+# Year, month, day by one kind of separator; hour, minute, second, fraction; a zone is read over.
+_ANY_TIME = (r"\A\s*(\d{1,6})([-/ \\])(\d{1,2})\2(\d{1,2})(?:(?:T| +)(\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:\.(\d*))?)?"
+             r"(?:\s*(?:Z|UTC|[+-]\d{1,2}(?::?\d{2})?))?\s*)?\z")
+
+
+def _number(c: Column, form: str) -> Column:
+    text = c.cast("string")
+    return F.when(text.rlike(form), F.replace(text, F.lit("_"), F.lit("")))
 
 
 def to_long(c: Column) -> Column:
-    """Text to BIGINT. The direct cast comes first: it alone keeps all 64 bits."""
-    return F.coalesce(c.try_cast("bigint"), F.round(c.try_cast("double")).try_cast("bigint"))
+    """Text to BIGINT, rounded half away from zero. Only numbers with an exponent pass through a
+    double; the others keep all 64 bits."""
+    if_hex, if_bits = (F.regexp_extract(c.cast("string"), _OTHER_BASE, g) for g in (1, 2))
+    other = F.when(c.cast("string").rlike(_OTHER_BASE), F.coalesce(
+        F.conv(F.nullif(if_hex, F.lit("")), 16, 10), F.conv(F.nullif(if_bits, F.lit("")), 2, 10))).try_cast("bigint")
+    whole = _number(c, _DECIMAL)
+    return F.coalesce(F.when(~F.contains(whole, F.lit(".")), whole.try_cast("bigint")),
+                      F.round(whole.try_cast("decimal(38,17)")).try_cast("bigint"),
+                      F.when(whole.isNull(), F.round(_number(c, _NUMBER).try_cast("double")).try_cast("bigint")), other)
 
 
 def to_double(c: Column) -> Column:
-    return c.try_cast("double")
+    text = c.cast("string")
+    return F.coalesce(_number(c, _NUMBER), F.when(text.rlike(_NO_NUMBER), text)).try_cast("double")
 
 
 def to_flag(c: Column) -> Column:
@@ -27,9 +52,20 @@ def to_flag(c: Column) -> Column:
 
 
 def to_timestamp(c: Column) -> Column:
-    """Text (or a timestamp) to a zone-less timestamp."""
+    """Text (or a timestamp) to a zone-less timestamp. The usual form is tried first, alone."""
     text = c.cast("string")
-    return F.when(text.rlike(_STARTS_WITH_DAY), text.try_cast(T.TimestampNTZType()))
+    part = lambda g: F.regexp_extract(text, _ANY_TIME, g)
+    or_zero = lambda g: F.when(part(g) == "", F.lit("0")).otherwise(part(g))
+    late = part(5) == "24"
+    year = F.when(F.length(part(1)) < 4, F.lpad(part(1), 4, "0")).when(F.length(part(1)) > 4, F.concat(F.lit("+"), part(1))).otherwise(part(1))
+    day = F.concat_ws("-", year, part(3), part(4))
+    time = F.concat(F.concat_ws(":", F.when(late, F.lit("0")).otherwise(or_zero(5)), or_zero(6), or_zero(7)), F.lit("."),
+                    F.substring(F.concat(part(8), F.lit("000000")), 1, 6))
+    read = F.concat_ws(" ", day, time).try_cast(T.TimestampNTZType())
+    midnight = (F.hour(read) == 0) & (F.minute(read) == 0) & (F.second(read) == 0) & ~part(8).rlike("[1-9]")
+    read = F.when(~late, read).when(midnight, read + F.expr("INTERVAL 1 DAY"))
+    return F.when(text.rlike(_USUAL_TIME) & ~text.rlike(r"[ T]24:"), text.try_cast(T.TimestampNTZType())).when(
+        text.rlike(_ANY_TIME), read).when(F.trim(text) == "epoch", F.lit("1970-01-01").cast(T.TimestampNTZType()))
 
 
 def finite(c: Column) -> Column:

@@ -12,10 +12,13 @@ from ..functions import casts
 from ..functions.measures import count_where
 
 KEY = "id"
+# What decides between equally new versions where nothing else is named: few columns, because
+# every one named is read and ranked.
+TIES = ("batch_id", "source_file", "case_number")
 
 
 def _newest_first(df: DataFrame, order: list[Column], tie_breakers: tuple[str, ...]) -> list[Column]:
-    ties = tie_breakers or tuple(c for c in df.columns if c != KEY)
+    ties = tie_breakers or tuple(c for c in TIES if c in df.columns)
     return [c.desc_nulls_last() for c in order] + [F.col(c).desc_nulls_last() for c in ties]
 
 

@@ -15,7 +15,7 @@ from ..operators import explore, filters, geo, quality, rollups, versions
 from ..operators.standardize import to_silver, truncated_codes
 from ..session import scratch_path, settle, together
 from ..sources import exports, intake, runlog, snapshots
-from ..spec import BRONZE_SCHEMA, RUN_LOG_SCHEMA, FilterSpec, ModelSpec, Viewport
+from ..spec import BRONZE_SCHEMA, RUN_LOG_SCHEMA, SOURCE_FIELDS, FilterSpec, ModelSpec, Viewport
 from ..streaming.upsert import continuous_upsert
 from . import bundle, fixture, refresh
 from .fixture import MODEL
@@ -645,6 +645,10 @@ def _(spark, sf):
     return runlog.recent_runs(_run_log(spark, sf), 5, with_end=False)
 
 
+# Landed versions have no other tie-breakers than what was sent.
+BY_SENT = tuple(c for c in SOURCE_FIELDS if c not in ("id", "updated_on", "location"))
+
+
 def _land(records: DataFrame, path: str, mode: str = "error") -> None:
     """Records as the JSON files a sender would deliver."""
     intake.with_source_fields(records).write.mode(mode).json(path)
@@ -658,7 +662,7 @@ def _refreshed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     refresh.bootstrap(spark, root, versions_.where(~is_new).withColumn("location", F.lit(None)),
                       _buckets(spark), MODEL.tie_breakers)
     _land(versions_.where(is_new), f"{root}/landing")
-    model = replace(MODEL, tie_breakers=(), overlap_hours=24 * 365)
+    model = replace(MODEL, tie_breakers=BY_SENT, overlap_hours=24 * 365)
     return root, refresh.run(spark, refresh.RefreshConfig(root, f"{root}/landing", model=model))
 
 
@@ -670,7 +674,7 @@ def _(spark, sf):
 @query("o1_refreshed_bronze")
 def _(spark, sf):
     root, _summary = _refreshed(spark, sf)
-    return snapshots.read_current(spark, root, refresh.BRONZE).select("id", "updated_on")
+    return snapshots.read_current(spark, root, refresh.BRONZE).select(*SOURCE_FIELDS)
 
 
 @query("o6_bundle")
@@ -692,5 +696,5 @@ def _(spark, sf):
     for feed in ("src-2", "src-1", "src-0"):
         _land(all_versions.where(F.col("source_file") == feed), f"{root}/landing/{feed}")
         continuous_upsert(spark, f"{root}/landing/*", root, f"{root}/checkpoint",
-                          replace(MODEL, tie_breakers=())).awaitTermination()
-    return snapshots.read_current(spark, root, refresh.BRONZE).select("id", "updated_on")
+                          replace(MODEL, tie_breakers=BY_SENT)).awaitTermination()
+    return snapshots.read_current(spark, root, refresh.BRONZE).select(*SOURCE_FIELDS)

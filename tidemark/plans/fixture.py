@@ -6,11 +6,10 @@ versions really compete. ``part`` gives the record's type and description.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import casts
 from ..operators.versions import keep_latest
-from ..session import spread
 from ..spec import ModelSpec
 
 MODEL = ModelSpec(
@@ -38,9 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All record versions, in Bronze columns plus the tie-breakers."""
-    sold = spread(table(spark, sf_dir, "lineitem"),
-                  "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    lines = sold.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     part, supp, shipped = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_shipdate")
     located = lambda c: F.when(part % 97 != 0, c)
     text = lambda c: c.cast("string")
@@ -89,6 +86,16 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest(bronze(spark, sf_dir).where(F.col("source_file") != NEW_FEED))
 
 
+# Text that looks like a number or time and may not be one.
+ODD_NUMBERS = ("12D", "5f", "1.0d", "061F", "1_000", "1__0", "0x10", "2.5", "-0.5", "1E+1", ".5", "7.", "9223372036854775808", "--1")
+ODD_TIMES = ("2024/01/02 03:04:05", "2024-01-02 24:00:00", "2024-01-02T03", "2024-01-02 03:04", "2024-01/02", "epoch",
+             "2024-01-02 24:00:01", "2024-02-30", "2024-01-02 03:04:05Z", "2024-01-02 ")
+
+
+def _odd(values: tuple[str, ...]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("id") % len(values) + 1).cast("int"))
+
+
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All versions as the text a sender might deliver, with the usual irregular forms."""
     line = (F.col("id") % 8).cast("int")
@@ -100,12 +107,13 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id": F.when(F.col("tie1") % 50 == 0, F.concat(F.lit("x"), text["id"])).otherwise(text["id"]),
         "year": F.when(line == 1, F.concat(text["year"], F.lit(".0")))
         .when(line == 2, F.concat(F.lit(" "), text["year"])).otherwise(text["year"]),
-        "beat": F.when(line == 3, F.concat(text["beat"], F.lit(".7"))).otherwise(text["beat"]),
+        "beat": F.when(line == 3, F.concat(text["beat"], F.lit(".7"))).when(line == 4, _odd(ODD_NUMBERS)).otherwise(text["beat"]),
+        "y_coordinate": F.when(line == 6, _odd(ODD_NUMBERS)).otherwise(text["y_coordinate"]),
         "ward": F.when(line == 5, F.lit("1e1")).when(line == 6, F.lit("")).otherwise(text["ward"]),
         "arrest": F.when(line == 4, F.substring(text["arrest"], 1, 1))
         .when(line == 5, F.when(F.col("arrest"), F.lit("yes")).otherwise(F.lit("no")))
         .when(line == 6, F.concat(F.lit(" "), text["arrest"], F.lit(" ")))
         .otherwise(text["arrest"]),
         "x_coordinate": F.when(line == 2, F.lit("n/a")).otherwise(text["x_coordinate"]),
-        "ingested_at": F.when(line == 7, F.lit("2024")).otherwise(text["ingested_at"]),
+        "ingested_at": F.when(line == 7, F.lit("2024")).when(line == 3, _odd(ODD_TIMES)).otherwise(text["ingested_at"]),
     })

@@ -5,8 +5,22 @@ Each statement is a chain of common table expressions; ``_sql`` puts the ones it
 
 from __future__ import annotations
 
+from ..spec import SOURCE_FIELDS
+from .fixture import ODD_NUMBERS, ODD_TIMES
+
 SQL: dict[str, str] = {}
 
+# The columns a sender fills; a landed version's remaining ties are decided by all of them.
+_SENT = [c for c in SOURCE_FIELDS if c != "location"]
+_BY_SENT = "CAST(updated_on AS TIMESTAMP) DESC NULLS LAST, {between}" + ", ".join(
+    f"{c} DESC NULLS LAST" for c in _SENT if c not in ("id", "updated_on"))
+
+
+def _odd(values: tuple[str, ...]) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"[{listed}][id % {len(values)} + 1]"
+
+
 _ORDER = """CAST(updated_on AS TIMESTAMP) DESC NULLS LAST{ingested},
             tie1 DESC, tie2 DESC, tie3 DESC, tie4 DESC, primary_type DESC"""
 _BY_UPDATE = _ORDER.format(ingested="")
@@ -215,21 +229,22 @@ _sql("p1_bronze_typing", "bronze", """
     CASE WHEN tie1 % 50 = 0 THEN concat('x', id) ELSE CAST(id AS VARCHAR) END AS id,
     CASE WHEN id % 8 = 1 THEN concat(year, '.0') WHEN id % 8 = 2 THEN concat(' ', year)
       ELSE CAST(year AS VARCHAR) END AS year,
-    CASE WHEN id % 8 = 3 THEN concat(beat, '.7') ELSE CAST(beat AS VARCHAR) END AS beat,
+    CASE WHEN id % 8 = 3 THEN concat(beat, '.7') WHEN id % 8 = 4 THEN {odd_numbers} ELSE CAST(beat AS VARCHAR) END AS beat,
+    CASE WHEN id % 8 = 6 THEN {odd_numbers} ELSE CAST(y_coordinate AS VARCHAR) END AS y_coordinate,
     CASE WHEN id % 8 = 5 THEN '1e1' WHEN id % 8 = 6 THEN '' ELSE CAST(ward AS VARCHAR) END AS ward,
     CASE WHEN id % 8 = 4 THEN CASE WHEN arrest THEN 't' ELSE 'f' END
       WHEN id % 8 = 5 THEN CASE WHEN arrest THEN 'yes' ELSE 'no' END
       WHEN id % 8 = 6 THEN CASE WHEN arrest THEN ' true ' ELSE ' false ' END
       ELSE CAST(arrest AS VARCHAR) END AS arrest,
     CASE WHEN id % 8 = 2 THEN 'n/a' ELSE CAST(x_coordinate AS VARCHAR) END AS x_coordinate,
-    CASE WHEN id % 8 = 7 THEN '2024' ELSE CAST(ingested_at AS VARCHAR) END AS ingested_at)
+    CASE WHEN id % 8 = 7 THEN '2024' WHEN id % 8 = 3 THEN {odd_times} ELSE CAST(ingested_at AS VARCHAR) END AS ingested_at)
   FROM bronze)
 SELECT * EXCLUDE (tie1, tie2, tie3, tie4) REPLACE (
   TRY_CAST(id AS BIGINT) AS id, TRY_CAST(year AS BIGINT) AS year, TRY_CAST(beat AS BIGINT) AS beat,
   TRY_CAST(ward AS BIGINT) AS ward, TRY_CAST(arrest AS BOOLEAN) AS arrest,
-  TRY_CAST(x_coordinate AS DOUBLE) AS x_coordinate,
+  TRY_CAST(x_coordinate AS DOUBLE) AS x_coordinate, TRY_CAST(y_coordinate AS DOUBLE) AS y_coordinate,
   TRY_CAST(ingested_at AS TIMESTAMP) AS ingested_at)
-FROM raw""")
+FROM raw""".replace("{odd_numbers}", _odd(ODD_NUMBERS)).replace("{odd_times}", _odd(ODD_TIMES)))
 _sql("w1_stage_latest", "bronze", f"""
 SELECT * EXCLUDE (v) FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_UPDATE}) AS v
@@ -794,20 +809,19 @@ _BATCH = f"""
 slice AS (SELECT * FROM bronze, wm WHERE source_file = 'src-0'
   AND CAST(updated_on AS TIMESTAMP) >= w AND year >= 1995),
 batch AS (SELECT * EXCLUDE (v) FROM (
-    SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_UPDATE}) AS v FROM slice) WHERE v = 1),
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_SENT.format(between="")}) AS v FROM slice) WHERE v = 1),
 j AS (
   SELECT coalesce(b.id, t.id) AS id, b.id IS NOT NULL AND t.id IS NULL AS is_new,
     b.id IS NOT NULL AND t.id IS NOT NULL AND CAST(b.updated_on AS TIMESTAMP) >=
       CAST(t.updated_on AS TIMESTAMP) AS is_update,
-    CASE WHEN t.id IS NULL OR CAST(b.updated_on AS TIMESTAMP) >= CAST(t.updated_on AS TIMESTAMP)
-      THEN b.updated_on ELSE t.updated_on END AS updated_on
+    {", ".join(f"CASE WHEN t.id IS NULL OR CAST(b.updated_on AS TIMESTAMP) >= CAST(t.updated_on AS TIMESTAMP) THEN b.{c} ELSE t.{c} END AS {c}" for c in _SENT[1:])}
   FROM batch b FULL JOIN target t ON b.id = t.id)"""
 _sql("o1_o5_refresh_run", "target", _BATCH + """
 SELECT 'SUCCESS' AS status, (SELECT count(*) FROM slice) AS api_records_fetched,
   count(CASE WHEN is_new THEN 1 END) AS rows_inserted,
   count(CASE WHEN is_update THEN 1 END) AS rows_updated, count(*) AS bronze_rows_after,
   count(*) AS silver_rows_after, CAST(5 AS INTEGER) AS gold_tables_passed FROM j""")
-_sql("o1_refreshed_bronze", "target", _BATCH + "\nSELECT id, updated_on FROM j")
+_sql("o1_refreshed_bronze", "target", _BATCH + f"\nSELECT {', '.join(_SENT)}, CAST(NULL AS VARCHAR) AS location FROM j")
 _sql("o6_bundle", "monthly area outcome week grid months years times", f"""
 , vals AS ({_VALUES})
 SELECT 'meta' AS dataset, CAST(1 AS BIGINT) AS row_count
@@ -817,5 +831,7 @@ UNION ALL SELECT 'arrest', count(*) FROM outcome UNION ALL SELECT 'time', count(
 UNION ALL SELECT 'values', count(*) FROM vals UNION ALL SELECT 'hotspots', count(*) FROM grid
 UNION ALL SELECT 'monthly_geo', count(*) FROM months UNION ALL SELECT 'geo_cube', count(*) FROM years
 UNION ALL SELECT 'time_cube', count(*) FROM times""")
-_sql("x1_stream_upsert", "bronze", """
-SELECT id, max(updated_on) AS updated_on FROM bronze GROUP BY id""")
+_sql("x1_stream_upsert", "bronze", f"""
+SELECT {', '.join(_SENT)}, CAST(NULL AS VARCHAR) AS location FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_SENT.format(between="source_file, ")}) AS v FROM bronze)
+WHERE v = 1""")

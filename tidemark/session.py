@@ -63,18 +63,6 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Use every core on an input with fewer splits than cores; leave larger inputs alone.
-
-    A file with a single row group is read by one task, and so is everything up to the first
-    shuffle. Several ``columns`` keep one frequent value from gathering in one task again.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *columns)
-
-
 def together(jobs: list[Callable]) -> list:
     """Run independent Spark jobs side by side, so that one's last tasks do not idle the cluster.
 

@@ -27,7 +27,6 @@ MANIFEST_SCHEMA = T.StructType([
         T.StructField("key", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
     ]))),
-    T.StructField("streams", T.MapType(T.StringType(), T.LongType())),
 ])
 
 
@@ -55,7 +54,6 @@ class Manifest:
     version: int = 0
     run_id: str = ""
     tables: dict[str, TableRef] = field(default_factory=dict)
-    streams: dict[str, int] = field(default_factory=dict)
 
 
 def run_folder(root: str, run_id: str) -> str:
@@ -145,20 +143,18 @@ def current(spark: SparkSession, root: str) -> Manifest:
         raise ConcurrentPublish(f"two runs published version {rows[0]['version']}")
     row = rows[0]
     tables = {name: TableRef(*t) for name, t in row["tables"].items()}
-    return Manifest(row["version"], row["run_id"], tables, dict(row["streams"] or {}))
+    return Manifest(row["version"], row["run_id"], tables)
 
 
 def promote(spark: SparkSession, root: str, run_id: str, parent: Manifest,
-            tables: dict[str, TableRef], streams: dict[str, int] | None = None) -> Manifest:
+            tables: dict[str, TableRef]) -> Manifest:
     """Publish ``tables`` on top of ``parent``; tables not named keep their parent's version."""
     found = current(spark, root)
     if (found.version, found.run_id) != (parent.version, parent.run_id):
         raise ConcurrentPublish(
             f"version {found.version} was published by {found.run_id} while {run_id} ran")
-    new = Manifest(parent.version + 1, run_id, {**parent.tables, **tables},
-                   {**parent.streams, **(streams or {})})
-    row = (new.version, new.run_id,
-           {n: astuple(t) for n, t in new.tables.items()}, new.streams)
+    new = Manifest(parent.version + 1, run_id, {**parent.tables, **tables})
+    row = (new.version, new.run_id, {n: astuple(t) for n, t in new.tables.items()})
     (spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write
      .json(f"{_manifests(root)}/{new.version:012d}", ignoreNullFields=False))
     current(spark, root)
