@@ -101,6 +101,37 @@ def test_second_writer_is_noticed(spark, root):
         snapshots.promote(spark, root, "r2", start, {"t": ref})
 
 
+def test_colliding_writers_leave_the_version_before(spark, root, tmp_path):
+    first = snapshots.promote(spark, root, "r1", snapshots.current(spark, root),
+                              {"t": snapshots.write_table(spark.range(3), root, "r1", "t")})
+    other = str(tmp_path / "other")
+    for run in ("r2", "r3"):  # both write version 2
+        there = snapshots.promote(spark, f"{other}-{run}", "r1", snapshots.Manifest(), first.tables)
+        snapshots.promote(spark, f"{other}-{run}", run, there, {})
+        found = spark.read.json(f"{other}-{run}/manifests/000000000002", schema=snapshots.MANIFEST_SCHEMA)
+        found.write.mode("append").json(f"{root}/manifests/000000000002", ignoreNullFields=False)
+    now = snapshots.current(spark, root)
+    assert (now.version, now.run_id, now.highest) == (1, "r1", 2)
+    assert snapshots.read_current(spark, root, "t").count() == 3
+    ref = snapshots.write_table(spark.range(5), root, "r4", "t")
+    assert snapshots.promote(spark, root, "r4", now, {"t": ref}).version == 3
+    assert snapshots.read_current(spark, root, "t").count() == 5
+    assert [r.path for r in snapshots.stale_tables(spark, root, 1).collect()] == [first.tables["t"].path]
+    assert snapshots.stale_tables(spark, root, 2).count() == 0
+
+
+def test_keyed_tables_leave_no_names_behind(spark, root):
+    names = lambda: {t.name for t in spark.catalog.listTables() if not t.isTemporary}
+    before = names()
+    ref = snapshots.write_keyed([snapshots.by_bucket(spark.range(9), "id", 2)], root, "r", "t", "id", 2)
+    assert names() == before
+    assert snapshots.read_table(spark, ref).count() == 9 and len(names() - before) == 1
+    snapshots.forget(spark, ref)
+    assert names() == before
+    assert snapshots.read_table(spark, ref).count() == 9
+    snapshots.forget(spark, ref)
+
+
 def test_keyed_tables_need_no_shuffle(spark, root):
     """Silver from Bronze, the Silver checks and a small merge: the stored table stays put."""
     refresh.bootstrap(spark, root, history(spark, *range(1, 50)), 4)

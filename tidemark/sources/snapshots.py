@@ -2,7 +2,8 @@
 
 A run writes its tables under ``runs/<run id>`` and publishes all of them at once by adding one
 manifest. Readers resolve tables through the newest manifest, so a run that fails before that
-leaves nothing behind that anyone reads. There is one writer at a time; a second one is noticed.
+leaves nothing behind that anyone reads. There is one writer at a time; a second one is noticed, and
+if two publish the same version, neither counts and readers keep the version before.
 
 Keyed tables are bucketed by their key. Ranking versions, checking keys and merging a batch then
 need no shuffle of the table, only of what joins it.
@@ -54,6 +55,7 @@ class Manifest:
     version: int = 0
     run_id: str = ""
     tables: dict[str, TableRef] = field(default_factory=dict)
+    highest: int = field(default=0, compare=False)  # the last version written, valid or not
 
 
 def run_folder(root: str, run_id: str) -> str:
@@ -82,6 +84,7 @@ def write_keyed(parts: list[DataFrame], root: str, run_id: str, name: str, key:
         for position, part in enumerate(parts):
             (part.write.format("parquet").mode("append" if position else "error")
              .bucketBy(buckets, key).option("path", ref.path).saveAsTable(table))
+        parts[0].sparkSession.sql(f"DROP TABLE {table}")  # a name only; the files are outside
     return ref
 
 
@@ -102,12 +105,16 @@ def by_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return df.repartition(buckets, key)
 
 
+def _name(ref: TableRef) -> str:
+    return "tidemark_" + uuid.uuid5(uuid.NAMESPACE_URL, ref.path).hex
+
+
 def read_table(spark: SparkSession, ref: TableRef) -> DataFrame:
     """A written table; a bucketed one is announced to the catalog with its bucketing."""
     schema = T.StructType.fromJson(json.loads(ref.schema))
     if ref.key is None:
         return spark.read.schema(schema).parquet(ref.path)
-    table = "tidemark_" + uuid.uuid5(uuid.NAMESPACE_URL, ref.path).hex
+    table = _name(ref)
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                             for f in schema.fields)
@@ -121,29 +128,53 @@ def _manifests(root: str) -> str:
     return f"{root.rstrip('/')}/manifests"
 
 
-def _read_manifests(spark: SparkSession, root: str) -> list:
-    """The rows of the newest version; more than one means two writers collided."""
+def _all_manifests(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        rows = (spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true")
+        return (spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true")
                 .json(_manifests(root)))
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
-    newest = rows.agg(F.max("version").alias("version"))
-    return rows.join(newest, "version", "left_semi").take(2)
+
+
+def _valid(rows: DataFrame) -> DataFrame:
+    """(version, n, manifest) per version; one that two writers wrote (n > 1) is nobody's."""
+    return rows.groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("*")).alias("manifest"))
 
 
 def current(spark: SparkSession, root: str) -> Manifest:
-    """The newest manifest; version 0 without tables if nothing was published."""
-    rows = _read_manifests(spark, root)
-    if not rows:
+    """The newest valid manifest; version 0 without tables if nothing was published."""
+    rows = _all_manifests(spark, root)
+    if rows is None:
         return Manifest()
-    if len(rows) > 1:
-        raise ConcurrentPublish(f"two runs published version {rows[0]['version']}")
-    row = rows[0]
+    valid = F.when(F.col("n") == 1, F.col("version"))
+    found = _valid(rows).agg(F.max("version").alias("highest"), F.max_by("manifest", valid).alias("manifest")).first()
+    row, highest = found["manifest"], found["highest"] or 0
+    if row is None:
+        return Manifest(highest=highest)
     tables = {name: TableRef(*t) for name, t in row["tables"].items()}
-    return Manifest(row["version"], row["run_id"], tables)
+    return Manifest(row["version"], row["run_id"], tables, highest)
+
+
+def stale_tables(spark: SparkSession, root: str, keep: int) -> DataFrame:
+    """Folders (path) that only manifests older than the newest ``keep`` valid ones name: free to be
+    deleted by whatever manages the storage, once no reader of an older snapshot is left."""
+    rows = _all_manifests(spark, root)
+    if rows is None:
+        return spark.createDataFrame([], "path string")
+    named = _valid(rows).select("version", F.when(F.col("n") == 1, F.col("version")).alias("good"),
+                                F.explode(F.transform(F.map_values("manifest.tables"), lambda t: t["path"])).alias("path"))
+    kept = (_valid(rows).where("n = 1").orderBy(F.desc("version")).limit(keep)
+            .agg(F.min("version")).scalar())
+    per = named.groupBy("path").agg(F.max("good").alias("last"))
+    return per.where(F.coalesce(F.col("last") < kept, F.lit(True))).select("path")
+
+
+def forget(spark: SparkSession, ref: TableRef) -> None:
+    """Drop the catalog's name of a bucketed table; its files stay."""
+    if ref.key is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {_name(ref)}")
 
 
 def promote(spark: SparkSession, root: str, run_id: str, parent: Manifest,
@@ -153,11 +184,13 @@ def promote(spark: SparkSession, root: str, run_id: str, parent: Manifest,
     if (found.version, found.run_id) != (parent.version, parent.run_id):
         raise ConcurrentPublish(
             f"version {found.version} was published by {found.run_id} while {run_id} ran")
-    new = Manifest(parent.version + 1, run_id, {**parent.tables, **tables})
+    new = Manifest(found.highest + 1, run_id, {**parent.tables, **tables}, found.highest + 1)
     row = (new.version, new.run_id, {n: astuple(t) for n, t in new.tables.items()})
     (spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write
      .json(f"{_manifests(root)}/{new.version:012d}", ignoreNullFields=False))
-    current(spark, root)
+    after = current(spark, root)
+    if (after.version, after.run_id) != (new.version, run_id):
+        raise ConcurrentPublish(f"another run published version {new.version} together with {run_id}")
     return new
 
 
