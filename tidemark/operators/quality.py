@@ -189,8 +189,10 @@ def gate(results: DataFrame, failed: str, expected_rows: int | None = None) -> i
 def publish_check(silver: DataFrame, monthly: DataFrame, area: DataFrame) -> DataFrame:
     """One row: the totals that must agree before aggregates are published."""
     sums = lambda df: df.agg(F.sum("total_crimes")).scalar()
-    counts = silver.agg(F.count(F.lit(1)).alias("silver_rows"),
-                        F.countDistinct("crime_id").alias("unique_ids"))
+    # Summed per key first: on a table partitioned by key neither step shuffles its rows.
+    counts = silver.groupBy("crime_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("silver_rows"),
+        F.count("crime_id").alias("unique_ids"))
     rows = F.col("silver_rows")
     return (counts.withColumn("monthly_total", sums(monthly)).withColumn("area_total", sums(area))
             .withColumn("reconciled", F.coalesce(

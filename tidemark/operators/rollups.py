@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import calendar as cal
 from ..functions.measures import count_where, grid_bin, outcome_measures
@@ -119,17 +119,24 @@ def time_cube(silver: DataFrame) -> DataFrame:
 def profile(silver: DataFrame) -> DataFrame:
     """One row of coverage figures.
 
-    Distinct dimension values are counted on a grouping by those dimensions, which a task
-    reduces to few rows; only the key count shuffles something that grows with the data.
+    One pass: rows are summed by key and dimensions, which needs no shuffle where the table is
+    partitioned by key, then by dimensions, which a task reduces to few rows.
     """
-    dims = silver.groupBy("primary_type", "district", "community_area").agg(
+    places = ["primary_type", "district", "community_area"]
+    keyed = silver.groupBy("crime_id", *places).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("date").alias("first"), F.max("date").alias("last"),
         F.max("updated_on").alias("updated"),
         F.sum(F.col("arrest").cast("int")).alias("arrests"),
         F.sum(F.col("domestic").cast("int")).alias("domestics"),
         F.count("latitude").alias("located"))
-    ids = silver.agg(F.countDistinct("crime_id").alias("unique_ids"))
+    by_key = Window.partitionBy("crime_id").orderBy(*places)
+    new_key = (F.row_number().over(by_key) == 1) & F.col("crime_id").isNotNull()
+    dims = keyed.withColumn("new_key", new_key.cast("int")).groupBy(*places).agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.max("updated").alias("updated"), F.sum("arrests").alias("arrests"),
+        F.sum("domestics").alias("domestics"), F.sum("located").alias("located"),
+        F.sum("new_key").alias("keys"))
     return dims.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
         F.min("first").alias("min_date"), F.max("last").alias("max_date"),
@@ -140,7 +147,7 @@ def profile(silver: DataFrame) -> DataFrame:
         F.sum("arrests").alias("arrests"),
         F.sum("domestics").alias("domestic_incidents"),
         F.coalesce(F.sum("located"), F.lit(0)).cast("bigint").alias("geocoded_rows"),
-    ).withColumn("unique_ids", ids.scalar())
+        F.coalesce(F.sum("keys"), F.lit(0)).cast("bigint").alias("unique_ids"))
 
 
 def silver_totals(silver: DataFrame, m: ModelSpec) -> DataFrame:

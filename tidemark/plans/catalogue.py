@@ -49,6 +49,14 @@ def settled_silver(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return settle(silver(spark, sf).select(*columns), "silver")
 
 
+def cube_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The distinct dimension values of Silver, with a month's first day for its dates. They are
+    few, and every branch of a plan that starts here shares one shuffle."""
+    month = F.trunc("date", "month").cast("timestamp_ntz").alias("date")
+    return silver(spark, sf).select(month, "year", "primary_type", "district", "community_area").distinct().withColumns(
+        {"crime_id": F.lit(1), "arrest": F.lit(False)})
+
+
 def month_cube(spark: SparkSession, sf: str) -> DataFrame:
     return rollups.month_geo_cube(silver(spark, sf))
 
@@ -159,9 +167,7 @@ def _(spark, sf):
 
 @query("a9_profile")
 def _(spark, sf):
-    return rollups.profile(settled_silver(
-        spark, sf, "crime_id", "date", "updated_on", "primary_type", "district",
-        "community_area", "arrest", "domestic", "latitude"))
+    return rollups.profile(silver(spark, sf))
 
 
 @query("a10_silver_totals")
@@ -196,8 +202,7 @@ def _(spark, sf):
 
 @query("a24_value_lists")
 def _(spark, sf):
-    s = settled_silver(spark, sf, "crime_id", "date", "year", "primary_type", "district",
-                       "community_area", "arrest")
+    s = cube_keys(spark, sf)
     return rollups.value_lists(rollups.monthly_rollup(s), rollups.area_rollup(s, MODEL), s)
 
 
@@ -260,8 +265,10 @@ def _(spark, sf):
 
 @query("q16_publish_check")
 def _(spark, sf):
-    s = settled_silver(spark, sf, "crime_id", "date", "year", "primary_type", "arrest", "district")
-    return quality.publish_check(s, rollups.monthly_rollup(s), rollups.area_rollup(s, MODEL))
+    s = silver(spark, sf)
+    monthly, area = together([lambda: settle(rollups.monthly_rollup(s), "monthly"),
+                              lambda: settle(rollups.area_rollup(s, MODEL), "area")])
+    return quality.publish_check(s, monthly, area)
 
 
 # --- selections --------------------------------------------------------------------
@@ -416,10 +423,8 @@ def _(spark, sf):
 
 @query("a25_coverage")
 def _(spark, sf):
-    s = settled_silver(spark, sf, "crime_id", "date", "year", "primary_type", "domestic",
-                       "arrest", "district", "community_area", "latitude", "longitude")
-    cube = settle(rollups.month_geo_cube(s), "months")
-    return explore.coverage(cube, SELECTION, rollups.grid_rollup(s, MODEL))
+    cube = settle(month_cube(spark, sf), "months")
+    return explore.coverage(cube, SELECTION, grid(spark, sf))
 
 
 @query("k4_top_cells")
@@ -501,16 +506,14 @@ def _(spark, sf):
 
 @query("c15_methodology")
 def _(spark, sf):
-    s = settled_silver(spark, sf, "crime_id", "date", "updated_on", "year", "primary_type",
-                       "district", "community_area", "arrest", "domestic", "latitude")
-    return explore.methodology(rollups.profile(s), filters.period_bounds(rollups.monthly_rollup(s)))
+    return explore.methodology(rollups.profile(silver(spark, sf)),
+                               filters.period_bounds(rollups.monthly_rollup(cube_keys(spark, sf))))
 
 
 @query("c16_filter_options")
 def _(spark, sf):
-    s = settled_silver(spark, sf, "crime_id", "date", "year", "primary_type", "district",
-                       "community_area", "arrest")
-    monthly = settle(rollups.monthly_rollup(s), "monthly")
+    s = cube_keys(spark, sf)
+    monthly = rollups.monthly_rollup(s)
     values = rollups.value_lists(monthly, rollups.area_rollup(s, MODEL), s)
     return explore.filter_options(values, filters.period_bounds(monthly))
 
