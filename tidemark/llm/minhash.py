@@ -9,8 +9,9 @@ where no shingle repeats.
 
 Texts with the same words are one node. Nodes that share a band meet in a bucket. First each node is
 compared with its bucket's leader, and links verified on the whole shingle sets make components. Then,
-in buckets that still hold several components, all pairs across components are compared in blocks, so
-no link between different texts is lost while a group of copies costs no more than its size.
+in buckets that still hold several components, all pairs across components are compared in blocks, and
+the promising ones verified where their nodes' shingles meet. So no pair rows are made within a group,
+and no link that would join two classes is lost.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ from .exactdup import keep_rows
 class NearConfig:
     """``bands`` of ``band_rows`` registers make candidates: at the threshold of 0.8 a pair is missed
     with probability (1 - 0.8**4)**32 = 5e-8. Pairs whose share of equal registers, out of
-    ``registers``, is ``slack`` below the threshold (4.5 standard errors) are not verified."""
+    ``registers``, is ``slack`` below the threshold (4.5 standard errors) are not verified. ``block`` and
+    ``cluster_shingles`` bound a task's memory and change no result."""
 
     words: int = 5
     threshold: float = 0.8
@@ -41,7 +43,8 @@ class NearConfig:
     bands: int = 32
     band_rows: int = 4
     slack: float = 0.1125
-    block: int = 256
+    block: int = 512
+    cluster_shingles: int = 1 << 22
 
 
 U = np.uint64
@@ -102,29 +105,35 @@ def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, texts: int, r
     x, seed, step = np.zeros(len(h)), h.copy(), 0
     latest = np.full(texts, np.inf)
     while len(doc):
-        step += 1
-        r = _mix(seed + U(step * 0x9E3779B97F4A7C15 % (1 << 64)))
-        x = x - np.log(((r >> U(11)).astype(np.float64) + 1) * 2.0**-53) / weight
-        at = doc * registers + (_mix(r ^ U(0x5851F42D4C957F2D)) % U(registers)).astype(np.int64)
-        soon = x < latest[doc]  # a later arrival changes nothing, nor does any after it
-        doc, seed, weight, x, at = doc[soon], seed[soon], weight[soon], x[soon], at[soon]
-        np.minimum.at(first, at, x)
-        won = first[at] == x
-        kept[at[won]] = seed[won]
+        many = 1 if len(doc) > 512 else 32  # arrivals of a shingle drawn at once
+        steps = np.array([(step + k) * 0x9E3779B97F4A7C15 % (1 << 64) for k in range(1, many + 1)], np.uint64)
+        step += many
+        r = _mix(seed[:, None] + steps)
+        x = x[:, None] + np.cumsum(-np.log(((r >> U(11)).astype(np.float64) + 1) * 2.0**-53) / weight[:, None], 1)
+        at = doc[:, None] * registers + (_mix(r ^ U(0x5851F42D4C957F2D)) % U(registers)).astype(np.int64)
+        soon = x < latest[doc][:, None]  # a later arrival changes nothing, nor does any after it
+        who, when, where = np.broadcast_to(seed[:, None], x.shape)[soon], x[soon], at[soon]
+        np.minimum.at(first, where, when)
+        won = first[where] == when
+        kept[where[won]] = who[won]
         latest = first.reshape(texts, registers).max(1)
+        x = x[:, -1]
         live = x < latest[doc]
         if not live.all():
             doc, seed, weight, x = doc[live], seed[live], weight[live], x[live]
     return kept.reshape(texts, registers)
 
 
-def similarity(a: np.ndarray, aw: np.ndarray, b: np.ndarray, bw: np.ndarray) -> float:
-    """Probability Jaccard similarity of two weighted sets given as sorted distinct hashes and weights."""
+def similarity(a: np.ndarray, aw: np.ndarray | None, b: np.ndarray, bw: np.ndarray | None) -> float:
+    """Probability Jaccard similarity of two weighted sets given as sorted distinct hashes and weights
+    (None: all 1)."""
+    if aw is None and bw is None:
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return shared / max(1, len(a) + len(b) - shared)
     both, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     if not len(both):
         return 0.0
-    if len(aw) == aw.sum() and len(bw) == bw.sum():
-        return len(both) / (len(a) + len(b) - len(both))
+    aw, bw = np.ones(len(a), np.int64) if aw is None else aw, np.ones(len(b), np.int64) if bw is None else bw
     x, y = aw[i].astype(float), bw[j].astype(float)
     order = np.argsort(x / y, kind="stable")
     x, y = x[order], y[order]
@@ -142,15 +151,15 @@ def _words(text: str) -> bytes:
 
 
 def _sketch(rows: DataFrame, config: NearConfig) -> DataFrame:
-    """(row, doc_id, digest, words, bands, low): words is the digest of the word sequence; bands and low
-    (a byte of each register) are null where there are no words."""
+    """(row, doc_id, digest, words, n, bands, low): words is the digest of the word sequence, n the number of
+    shingles; bands and low (a byte of each register) are null where there are no words."""
     cut = config.bands * config.band_rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = np.arange(config.bands, dtype=np.uint64)
         for pdf in batches:
             texts = pdf["text"].fillna("").tolist()
-            for a, b in small_runs(texts, 1 << 22, 4096):
+            for a, b in small_runs(texts, 1 << 20, 4096):
                 plain = [_words(t) for t in texts[a:b]]
                 doc, h, weight = shingles(plain, config.words)
                 kept = signatures(doc, h, weight, b - a, config.registers)
@@ -159,12 +168,12 @@ def _sketch(rows: DataFrame, config: NearConfig) -> DataFrame:
                     bands = _mix(bands * U(31) + kept[:, :cut].reshape(b - a, config.bands, config.band_rows)[:, :, k] + number)
                 bands, low = bands.view(np.int64), (kept & U(255)).astype(np.uint8)
                 yield pdf.iloc[a:b][["row", "doc_id", "digest"]].assign(
-                    words=[hashlib.md5(p).digest() for p in plain],
+                    words=[hashlib.md5(p).digest() for p in plain], n=np.bincount(doc, minlength=b - a),
                     bands=[x if p else None for x, p in zip(bands, plain)],
                     low=[x.tobytes() if p else None for x, p in zip(low, plain)])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"row long, doc_id {kind}, digest binary, words binary, bands array<long>, low binary")
+    return rows.mapInPandas(run, f"row long, doc_id {kind}, digest binary, words binary, n long, bands array<long>, low binary")
 
 
 def _promising(pairs: DataFrame, nodes: DataFrame, config: NearConfig) -> DataFrame:
@@ -180,27 +189,28 @@ def _promising(pairs: DataFrame, nodes: DataFrame, config: NearConfig) -> DataFr
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, config: NearConfig) -> DataFrame:
-    """The pairs that reach the threshold, by the shingles of the whole texts."""
-    used = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-used")
-    used = settle(used.join(nodes, "node").select("node", F.col("words").alias("used_words")), "near-used")
-    words = F.unhex(F.md5(F.trim(F.regexp_replace("text", f"[{SPACE}]+", " "))))
-
+def _sets(rows: DataFrame, wanted: DataFrame, config: NearConfig) -> DataFrame:
+    """(node, h, w) of ``wanted`` (node, words): the shingles of the whole texts, w null where each occurs once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
-            for a, b in small_runs(texts, 1 << 22, 4096):
+            for a, b in small_runs(texts, 1 << 20, 4096):
                 doc, h, weight = shingles([_words(t) for t in texts[a:b]], config.words)
                 ends = np.searchsorted(doc, np.arange(b - a + 1))
-                yield pd.DataFrame({"node": pdf["node"].to_numpy()[a:b],
-                                    "h": [h[i:j].view(np.int64) for i, j in zip(ends, ends[1:])],
-                                    "w": [weight[i:j] for i, j in zip(ends, ends[1:])]})
+                cuts = list(zip(ends, ends[1:]))
+                yield pd.DataFrame({"node": pdf["node"].to_numpy()[a:b], "h": [h[i:j].view(np.int64) for i, j in cuts],
+                                    "w": [weight[i:j] if (weight[i:j] > 1).any() else None for i, j in cuts]})
+
+    words = F.unhex(F.md5(F.trim(F.regexp_replace("text", f"[{SPACE}]+", " "))))
+    wanted = wanted.select("node", F.col("words").alias("wanted_words"))
+    # One shuffle of the texts, whatever the size; of equal texts only one goes on.
+    texts = rows.where("text is not null").select("text", words.alias("words")).join(wanted.hint("merge"), F.col("words") == F.col("wanted_words"))
+    texts = texts.groupBy("wanted_words").agg(F.first("node").alias("node"), F.first("text").alias("text"))
+    return settle(texts.mapInPandas(run, "node long, h array<long>, w array<long>"), "near-shingles")
 
-    texts = rows.where("text is not null").select("text", words.alias("words")).join(used, F.col("words") == F.col("used_words"))
-    # Copies of a text are equal: only one goes on, and copies within a task meet before the shuffle.
-    texts = texts.groupBy("used_words").agg(F.first("node").alias("node"), F.first("text").alias("text"))
-    sets = settle(texts.mapInPandas(run, "node long, h array<long>, w array<long>"), "near-shingles")
 
+def _verified(pairs: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
+    """The pairs that reach the threshold."""
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ok = [similarity(*p) >= config.threshold for p in zip(pdf["h"], pdf["w"], pdf["h2"], pdf["w2"])]
@@ -211,67 +221,122 @@ def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, config: NearC
     return pairs.join(x, "a").join(y, "b").select("a", "b", "h", "w", "h2", "w2").mapInPandas(check, "a long, b long")
 
 
-def _across(members: DataFrame, config: NearConfig) -> DataFrame:
-    """Pairs (a, b) from different components in one bucket, compared block by block on all registers."""
+def _unpack(low: pd.Series, bands: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(low), np.uint8).reshape(len(low), -1), np.stack(bands.to_list())
+
+
+def _close(low: np.ndarray, bands: np.ndarray, comp: np.ndarray, k: int, others: np.ndarray, band: int, share: float) -> np.ndarray:
+    """Of ``others`` those in another component than k, with enough equal registers, and no equal band before ``band``,
+    so that a pair is looked at in one bucket only."""
+    others = others[(comp[others] != comp[k])]
+    others = others[(low[others] == low[k]).mean(1) >= share]
+    return others[(bands[others] == bands[k]).argmax(1) == band]
+
+
+def _root(parent: dict, x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = x = parent[parent[x]]
+    return x
+
+
+def _clusters(members: DataFrame, config: NearConfig) -> DataFrame:
+    """Where links across components may be: rows (cluster, band, node, comp) of nodes that hang together by
+    promising pairs in a block of a bucket; a cluster with too many shingles for one task is given as pairs (a, b)."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"))
     sizes = sizes.where("least < most").select("bucket", F.ceil(F.col("n") / config.block).cast("int").alias("blocks"))
     mine = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "low")
+    dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "low", "bands", "n")
+    share = config.threshold - config.slack
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node")
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        left, right = (pdf[pdf["own"] == k] for k in (i, j))
+        pdf = pdf.sort_values("node").reset_index(drop=True)
+        low, bands = _unpack(pdf["low"], pdf["bands"])
+        node, comp, own, n = (pdf[c].to_numpy() for c in ("node", "comp", "own", "n"))
+        band = int((bands[0] == pdf["bucket"].iloc[0]).argmax())
+        left, right = (np.flatnonzero(own == pdf[c].iloc[0]) for c in ("i", "j"))
+        same, parent, pairs = pdf["i"].iloc[0] == pdf["j"].iloc[0], {}, {}
+        for k in left:
+            near = _close(low, bands, comp, k, right[right > k] if same else right, band, share)
+            pairs[k] = near
+            for other in near:
+                parent[_root(parent, int(k))] = _root(parent, int(other))
+        groups: dict[int, list[int]] = {}
+        for k in parent:
+            groups.setdefault(_root(parent, k), []).append(k)
+        name = f"{pdf['bucket'].iloc[0]}:{pdf['i'].iloc[0]}:{pdf['j'].iloc[0]}"
+        out = []
+        for root, group in groups.items():
+            if n[group].sum() <= config.cluster_shingles:
+                out += [(f"{name}:{node[root]}", band, node[k], comp[k], None, None) for k in group]
+            else:
+                out += [(None, band, None, None, *sorted((node[k], node[o]))) for k in group for o in pairs.get(k, ())]
+        return pd.DataFrame(out, columns=["cluster", "band", "node", "comp", "a", "b"], dtype=object)
+
+    return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "cluster string, band int, node long, comp long, a long, b long")
+
+
+def _joined(clusters: DataFrame, nodes: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
+    """Verified links (a, b) inside each cluster, as many as join its components."""
+    share = config.threshold - config.slack
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node").reset_index(drop=True)
+        low, bands = _unpack(pdf["low"], pdf["bands"])
+        node, comp, h, w, band = pdf["node"].to_numpy(), pdf["comp"].to_numpy(), pdf["h"], pdf["w"], pdf["band"].iloc[0]
+        parent: dict[int, int] = {}
         out = []
-        if len(left) and len(right):
-            x, y = (np.frombuffer(b"".join(p["low"]), np.uint8).reshape(len(p), -1) for p in (left, right))
-            xn, yn, xc, yc = left["node"].to_numpy(), right["node"].to_numpy(), left["comp"].to_numpy(), right["comp"].to_numpy()
-            for k in range(len(xn)):
-                near = ((y == x[k]).mean(1) >= config.threshold - config.slack) & (yc != xc[k])
-                if i == j:
-                    near &= yn > xn[k]
-                out.append(pd.DataFrame({"a": np.minimum(xn[k], yn[near]), "b": np.maximum(xn[k], yn[near])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+        for k in range(len(pdf)):
+            for o in _close(low, bands, comp, k, np.arange(k + 1, len(pdf)), band, share):
+                x, y = _root(parent, int(comp[k])), _root(parent, int(comp[o]))
+                if x != y and similarity(h[k], w[k], h[o], w[o]) >= config.threshold:
+                    parent[x] = y
+                    out.append((node[k], node[o]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    wide = clusters.join(nodes.select("node", "low", "bands"), "node").join(sets, "node")
+    return wide.groupBy("cluster").applyInPandas(link, "a long, b long")
 
 
 def near_classes(docs: DataFrame, config: NearConfig = NearConfig(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, class_size, kept, n_links, digest (MD5 of the text).
 
     class_id is the smallest id of the class, a null id only if it has no other; that row is kept, and
-    of rows with one id exactly one. n_links counts the verified links of the row's words to different
-    words that decided the classes. Null, empty and blank texts are near nothing: each is alone, unless
+    of rows with one id exactly one. n_links counts the verified links by which the row's words joined
+    different words, not all that exist. Null, empty and blank texts are near nothing: each is alone, unless
     its id and text repeat. Word sequences that are equal are near, whatever their length.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = with_row(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(body)).alias("digest")))
     sketch = settle(_sketch(rows, config), "near-sketch")
     nodes = settle(sketch.where("bands is not null").groupBy("words").agg(
-        F.min("row").alias("node"), F.first("bands").alias("bands"), F.first("low").alias("low")), "near-nodes")
+        F.min("row").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low")), "near-nodes")
     bands = nodes.select("node", F.explode("bands").alias("bucket"))
-    # The leader is the node of least hash, so that a node meets the same few leaders in its buckets.
-    buckets = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node"), "node")).alias("first"))
-    buckets = buckets.where("n > 1").select("bucket", "n", F.col("first.node").alias("leader"))
+    buckets = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = settle(bands.join(buckets, "bucket"), "near-buckets")
-    stars = shared.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    stars = settle(_promising(stars, nodes, config), "near-pairs")
-    links = settle(_verified(stars, rows, nodes, config), "near-links")
+    # The leader is the node that meets most others, so that a group of copies has few leaders, and close ones.
+    central = shared.groupBy("node").agg(F.sum("size").alias("central"))
+    sets = _sets(rows, central.join(nodes, "node").select("node", "words"), config)
+    leaders = shared.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", "node"))["node"].alias("leader"))
+    stars = shared.join(leaders, "bucket").where("node <> leader").select(
+        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    links = settle(_verified(_promising(stars, nodes, config), sets, config), "near-links")
     comps = components(links)
-    # What the leaders did not join: all pairs across components of a bucket that were not compared yet.
-    rest = shared.where("n > 2 and node <> leader").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    # What the leaders did not join: pairs across components of a bucket. Pairs of nodes have been compared.
+    rest = shared.where("size > 2").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     wide = rest.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("wide")).where("wide").select("bucket")
-    rest = rest.join(wide, "bucket").join(nodes.select("node", "low"), "node")
-    pairs = settle(_across(rest, config).join(stars, ["a", "b"], "left_anti"), "near-pairs")
-    if not pairs.isEmpty():
-        more = settle(_verified(pairs, rows, nodes, config), "near-links")
-        links = links.unionByName(more)
+    rest = rest.join(wide, "bucket").join(nodes.select("node", "low", "bands", "n"), "node")
+    clusters = settle(_clusters(rest, config), "near-clusters")
+    more = _joined(clusters.where("cluster is not null").select("cluster", "band", "node", "comp"), nodes, sets, config).unionByName(
+        _verified(clusters.where("cluster is null").select("a", "b").distinct(), sets, config))
+    more = settle(more, "near-links")
+    if not more.isEmpty():
+        links = links.unionByName(more).distinct()
         comps = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     named = nodes.select("node", F.col("words").alias("node_words")).join(comps, "node", "left").join(degree, "node", "left")
     named = named.select("node_words", F.coalesce("comp", "node").alias("comp"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
-    placed = sketch.join(named, F.when(F.col("bands").isNotNull(), F.col("words")) == F.col("node_words"), "left")
+    placed = sketch.drop("n", "low").join(named, F.when(F.col("bands").isNotNull(), F.col("words")) == F.col("node_words"), "left")
     placed = settle(placed.select("row", "doc_id", "digest", F.col("comp"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links")), "near-rows")
     # Texts without words: a class for each id and text.
     alone = F.when(F.col("comp").isNull(), F.struct("doc_id", "digest"))
