@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The white space of every contract: space and the controls 9 to 13.
@@ -50,3 +51,18 @@ def small_runs(texts: Iterable[str], most_chars: int = 1 << 21, most: int = 512)
             start, size = end, 0
     if end > start:
         yield start, end
+
+
+def arrow_runs(batch, text: str, most_bytes: int = 1 << 20, most: int = 4096) -> Iterator[tuple]:
+    """Slices of an Arrow batch with bounded text, each with its texts (null as empty)."""
+    import pyarrow.compute as pc
+
+    column = batch.column(batch.schema.get_field_index(text))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        done = int(ends[start - 1]) if start else 0
+        end = min(start + most, max(start + 1, int(np.searchsorted(ends, done + most_bytes, "right"))))
+        part = batch.slice(start, end - start)
+        yield part, [t or "" for t in column.slice(start, end - start).to_pylist()]
+        start = end

@@ -22,9 +22,9 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import fresh, small_runs
+from .common import arrow_runs, columns, fresh
 
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -88,9 +88,9 @@ def from_proto(m) -> PieceModel:
 
 
 class Encoder:
-    """Encodes words and keeps what it found, up to ``most_words`` words and as many pairs."""
+    """Encodes words and keeps what it found, up to ``most_words`` words and four times as many pairs."""
 
-    def __init__(self, model: PieceModel, most_words: int = 400_000, long_word: int = 64):
+    def __init__(self, model: PieceModel, most_words: int = 100_000, long_word: int = 64):
         self.model, self.most_words, self.long_word = model, most_words, long_word
         self.split = re.compile(model.words).findall
         self.known: dict[str, tuple[int, ...]] = {}
@@ -116,7 +116,7 @@ class Encoder:
         known = self.pairs.get((left, right))
         if known is None:
             known = self._merges(left, right)
-            if len(self.pairs) >= self.most_words:
+            if len(self.pairs) > 4 * self.most_words:
                 self.pairs.clear()
             self.pairs[left, right] = known
         return known
@@ -231,51 +231,60 @@ class Encoder:
         return out
 
 
-def encoder(model: PieceModel):
-    """A column function: text to piece ids; null stays null, an empty text has none."""
+def _text_of(model: PieceModel, ids: list) -> str:
+    """Ids outside the vocabulary and null ids read as unknown."""
+    texts, unknown = model.texts, model.texts[model.unknown_id]
+    try:
+        whole = b"".join([texts[i] for i in ids]) if not ids or min(ids) >= 0 else None
+    except (IndexError, TypeError):
+        whole = None
+    if whole is None:
+        whole = b"".join([texts[int(i)] if i is not None and i == i and 0 <= i < len(texts) else unknown for i in ids])
+    if model.prefix and whole.startswith(b" "):
+        whole = whole[1:]
+    return whole.decode("utf-8", "replace")
+
+
+def encode_column(docs: DataFrame, model: PieceModel, text: str = "text", out: str = "token_ids", checked: str | None = None) -> DataFrame:
+    """Add ``out``, the piece ids of whole texts; null stays null, an empty text has none. With ``checked``
+    add a column that says whether decoding gives the text back. All rows and columns are kept."""
+    fields = [f for f in docs.schema if f.name not in (out, checked)]
+    names = [f.name for f in fields]
+    at, inside = names.index(text), [f"c{i}" for i in range(len(fields))]  # names may hold dots
+    added = [T.StructField(out, T.ArrayType(T.IntegerType()))] + ([T.StructField(checked, T.BooleanType())] if checked else [])
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(inside, fields)] + added)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = Encoder(model)
-        for texts in batches:
-            out: list = []
-            for a, b in small_runs(texts.fillna(""), 1 << 22, 4096):
-                out += own.encode(texts.iloc[a:b].fillna("").tolist())
-            yield pd.Series([x if ok else None for x, ok in zip(out, texts.notna())], index=texts.index, dtype=object)
+        for batch in batches:
+            for part, texts in arrow_runs(batch, inside[at]):
+                ids = own.encode(texts)
+                null = part.column(at).is_null()
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                added = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids), pa.int32()), mask=null)]
+                if checked:
+                    same = [_text_of(model, x.tolist()) == t for x, t in zip(ids, texts)]
+                    added.append(pa.array(same, pa.bool_(), mask=null.to_numpy(zero_copy_only=False)))
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names=schema.names)
 
-    return encode
+    plain = docs.select(*[c for c, f in zip(columns(docs), docs.schema) if f.name not in (out, checked)]).toDF(*inside)
+    return plain.mapInArrow(run, schema).toDF(*names, *schema.names[len(names):])
 
 
 def decoder(model: PieceModel):
-    """A column function: piece ids to text. Ids outside the vocabulary and null ids read as unknown."""
+    """A column function: piece ids to text; null stays null."""
 
     @F.pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        texts, unknown = model.texts, model.texts[model.unknown_id]
-
-        def one(ids) -> str | None:
-            if ids is None:
-                return None
-            try:
-                whole = b"".join([texts[i] for i in ids]) if not ids or min(ids) >= 0 else None
-            except (IndexError, TypeError):
-                whole = None
-            if whole is None:
-                whole = b"".join([texts[int(i)] if i is not None and i == i and 0 <= i < len(texts) else unknown for i in ids])
-            if model.prefix and whole.startswith(b" "):
-                whole = whole[1:]
-            return whole.decode("utf-8", "replace")
-
         for ids in batches:
-            yield pd.Series([one(x if x is None else x.tolist() if hasattr(x, "tolist") else x) for x in ids], index=ids.index, dtype=object)
+            plain = (x if x is None else x.tolist() if hasattr(x, "tolist") else x for x in ids)
+            yield pd.Series([None if x is None else _text_of(model, x) for x in plain], index=ids.index, dtype=object)
 
     return decode
 
 
-def encode_column(docs: DataFrame, model: PieceModel, text: str = "text", out: str = "token_ids") -> DataFrame:
-    return docs.withColumn(out, encoder(model)(F.col(text)))
-
-
 def decode_column(docs: DataFrame, model: PieceModel, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     return docs.withColumn(out, decoder(model)(F.col(ids)))
 
@@ -286,11 +295,8 @@ def op2_pieces(docs: DataFrame, path: str = DEFAULT_MODEL) -> DataFrame:
     A null text has null ids, no tokens and null round_trip. Only a text that itself holds the
     mark U+2581 does not come back, as the format writes blanks so.
     """
-    model = load(path)
-    ids = encode_column(docs.select("doc_id", "text"), model)
-    back = decode_column(ids, model)
-    return back.select("doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).alias("n_tokens"), "token_ids",
-                       (F.col("decoded") == F.col("text")).alias("round_trip"))
+    coded = encode_column(docs.select("doc_id", "text"), load(path), checked="round_trip")
+    return coded.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size("token_ids")).alias("n_tokens"), "token_ids", "round_trip")
 
 
 def tokenised(docs: DataFrame, path: str = DEFAULT_MODEL) -> DataFrame:
