@@ -316,7 +316,14 @@ def test_offline_tables(spark, tmp_path):
     tables = bundle.open_parquet(spark, str(tmp_path))
     snapshots.register_views(spark, {"silver": tables[SILVER]})
     assert spark.sql("select count(*) from silver").first()[0] == 2
-    assert len(bundle.build(spark, tables, str(tmp_path / "out"), "files")) == 11
+    out = str(tmp_path / "out")
+    first = bundle.build(spark, tables, out, "files")
+    assert len(first) == 11 and bundle.latest(spark, out) == first
+    with pytest.raises(Exception, match="publishing blocked"):
+        bundle.build(spark, {**tables, SILVER: tables[SILVER].limit(1)}, out, "files")
+    assert bundle.latest(spark, out) == first
+    second = bundle.build(spark, tables, out, "files")
+    assert bundle.latest(spark, out) == second and second["meta"] != first["meta"]
 
 
 def test_inventory(spark):

@@ -8,6 +8,7 @@ from ..functions import projection as proj
 from ..spec import Viewport
 
 MARGIN = 30.0        # pixels around the window that still count as visible
+# Sizes and quantile of the map view; radii below are fixed as well.
 CLUSTER_CELL = 34.0  # pixels
 HEAT_QUANTILE = 0.96
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import quality, rollups
@@ -17,7 +19,7 @@ def open_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
             for name in (*rollups.GOLD, SILVER)}
 
 
-# The order datasets are published in; NULLs come last.
+# The order datasets are published in; NULLs come last.
 ORDER = {
     "monthly": ("year", "month", "primary_type"),
     "area": ("year", "district"),
@@ -66,18 +68,32 @@ def datasets(tables: dict[str, DataFrame], source: str) -> dict[str, DataFrame]:
 
 def build(spark: SparkSession, tables: dict[str, DataFrame], out: str,
           source: str) -> dict[str, str]:
-    """Check that the totals agree, then export every dataset; returns their paths."""
+    """Check that the totals agree, then export every dataset; returns their paths.
+
+    Every build has a folder of its own and counts once a manifest under ``out`` names it, so a
+    rebuild replaces all datasets at once and a crash midway leaves the bundle before.
+    """
+    before, build_id = snapshots.current(spark, out), f"build-{uuid.uuid4().hex}"
+    folder = snapshots.run_folder(out, build_id)
     quality.require_publishable(tables[SILVER], tables["gold_monthly_crime_trends"],
                                 tables["gold_area_crime_summary"])
     frames = datasets(tables, source)
-    paths = {name: f"{out.rstrip('/')}/{name}" for name in frames}
+    paths = {name: f"{folder}/{name}" for name in frames}
     together([lambda n=n, f=f: exports.export_json(ordered(n, f), paths[n]) for n, f in frames.items()])
     months = exports.read_export(spark, paths["monthly_geo"], frames["monthly_geo"].schema)
-    paths["geo_cube"] = f"{out.rstrip('/')}/geo_cube"
-    exports.export_json(ordered("geo_cube", rollups.geo_cube_from_months(months)), paths["geo_cube"])
+    paths["geo_cube"] = f"{folder}/geo_cube"
+    frames["geo_cube"] = rollups.geo_cube_from_months(months)
+    exports.export_json(ordered("geo_cube", frames["geo_cube"]), paths["geo_cube"])
+    snapshots.promote(spark, out, build_id, before, {
+        name: snapshots.TableRef(path, frames[name].schema.json()) for name, path in paths.items()})
     return paths
 
 
+def latest(spark: SparkSession, out: str) -> dict[str, str]:
+    """Paths of the datasets of the last complete build."""
+    return {name: ref.path for name, ref in snapshots.current(spark, out).tables.items()}
+
+
 def open_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The same tables from plain Parquet files, one per table."""
     names = {name: name for name in rollups.GOLD} | {SILVER: "silver_crimes_full"}

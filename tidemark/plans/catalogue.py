@@ -614,7 +614,7 @@ def _(spark, sf):
 @query("s18_csv_export")
 def _(spark, sf):
     path = scratch_path(spark, "csv")
-    exports.export_csv(explore.district_export(month_cube(spark, sf), ARRESTED), path)
+    exports.export_csv(explore.district_export(month_cube(spark, sf), ARRESTED).coalesce(1), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

@@ -54,10 +54,11 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """A small report as one CSV file: header, every field quoted, quotes doubled."""
+    """A report as CSV: header, every field quoted, quotes doubled; one file per partition, so
+    coalesce a small report before."""
     require_aggregate(df)
     text = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
-    (text.coalesce(1).write.option("header", True).option("quoteAll", True)
+    (text.write.option("header", True).option("quoteAll", True)
      .option("escape", '"').option("emptyValue", "").csv(path))
 
 

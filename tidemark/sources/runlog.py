@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..spec import RUN_LOG_SCHEMA
 
 MAX_ERROR_TEXT = 2000
+# The columns of the run views.
 RECENT_COLUMNS = (
     "run_id", "started_at", "ended_at", "duration_seconds", "status", "batch_id",
     "api_records_fetched", "rows_inserted", "rows_updated", "bronze_rows_after",
@@ -58,11 +59,11 @@ def log_path(root: str) -> str:
 
 
 def append_runs(runs: DataFrame, root: str) -> None:
-    runs.select(*RUN_LOG_SCHEMA.names).coalesce(1).write.mode("append").parquet(log_path(root))
+    runs.select(*RUN_LOG_SCHEMA.names).write.mode("append").parquet(log_path(root))
 
 
 def log_run(spark: SparkSession, record: RunRecord, root: str) -> None:
-    append_runs(record.frame(spark), root)
+    append_runs(record.frame(spark).coalesce(1), root)  # one row, one file
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:

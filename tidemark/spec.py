@@ -160,7 +160,7 @@ class FilterSpec:
 
 @dataclass(frozen=True)
 class Viewport:
-    """A map window: zoom level, size in pixels and its centre."""
+    """A map window: zoom level, size in pixels and its centre (fixed default)."""
 
     zoom: int
     width: float
