@@ -14,7 +14,7 @@ from tidemark.spec import ModelSpec
 from tidemark.operators.standardize import to_silver
 from tidemark.session import settle, shared_dir, together
 
-LAZY = [n for n in QUERIES if not re.match(r"(s9|s14|s16|s18|s19|o1|o6|x1)_", n)]
+LAZY = [n for n in QUERIES if not re.match(r"(s7|s9|s14|s16|s18|s19|o1|o2|o4|o6|x1)_", n)]
 
 
 def plan(df):

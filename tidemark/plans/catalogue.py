@@ -105,6 +105,13 @@ def _(spark, sf):
         "tie1", "tie2", "tie3", "tie4")
 
 
+@query("f1_keyed_latest")
+def _(spark, sf):
+    # Some ids are no numbers and become NULL: such records are not staged.
+    typed = intake.type_bronze(fixture.raw_text(spark, sf))
+    return versions.latest_stage(typed, MODEL.tie_breakers).select("id", "updated_on", "primary_type", "year")
+
+
 # --- versions ----------------------------------------------------------------------
 
 
@@ -680,6 +687,48 @@ def _(spark, sf):
     return snapshots.read_current(spark, root, refresh.BRONZE).select(*SOURCE_FIELDS)
 
 
+@query("o2_empty_batch")
+def _(spark, sf):
+    # Everything landed is older than what is stored, so nothing is merged and the layers are rebuilt.
+    root, all_versions = scratch_path(spark, "empty"), fixture.bronze(spark, sf)
+    refresh.bootstrap(spark, root, all_versions.withColumn("location", F.lit(None)), _buckets(spark), MODEL.tie_breakers)
+    newest = all_versions.agg(F.max("updated_on")).scalar()
+    _land(all_versions.where(F.col("updated_on") < newest), f"{root}/landing")
+    summary = refresh.run(spark, refresh.RefreshConfig(root, f"{root}/landing", model=replace(MODEL, tie_breakers=BY_SENT, overlap_hours=0)))
+    return summary.select("status", "api_records_fetched", "bronze_rows_after", "gold_tables_passed")
+
+
+@query("o4_s5_failed_run")
+def _(spark, sf):
+    # No Bronze was ever published: the run fails, publishes nothing and is recorded.
+    root = scratch_path(spark, "failed")
+    _land(fixture.bronze(spark, sf).where(F.col("source_file") == fixture.NEW_FEED), f"{root}/landing")
+    try:
+        refresh.run(spark, refresh.RefreshConfig(root, f"{root}/landing", model=MODEL))
+    except refresh.RefreshFailed:
+        pass
+    landed = intake.read_landing(spark, f"{root}/landing").agg(F.count(F.lit(1))).scalar()
+    return runlog.read_log(spark, root).select(
+        "status", F.contains("error_message", F.lit("bronze_crimes does not exist")).alias("names_the_table"), landed.alias("landed"))
+
+
+@query("s7_s8_offline_views")
+def _(spark, sf):
+    folder, s = scratch_path(spark, "offline"), silver(spark, sf)
+    written = {**rollups.gold_tables(s, MODEL), "silver_crimes_full": s}
+    together([lambda n=n, f=f: f.write.parquet(f"{folder}/{n}.parquet") for n, f in written.items()])
+    tables = bundle.open_parquet(spark, folder)
+    snapshots.register_views(spark, {"offline_monthly": tables["gold_monthly_crime_trends"],
+                                     "offline_area": tables["gold_area_crime_summary"],
+                                     "offline_silver": tables[refresh.SILVER]})
+    return spark.sql("""
+        SELECT year, sum(total_crimes) AS monthly_crimes, first(area_crimes) AS area_crimes, first(silver_rows) AS silver_rows
+        FROM offline_monthly
+        JOIN (SELECT year, sum(total_crimes) AS area_crimes FROM offline_area GROUP BY year) USING (year)
+        JOIN (SELECT year, count(*) AS silver_rows FROM offline_silver GROUP BY year) USING (year)
+        GROUP BY year""")
+
+
 @query("o6_bundle")
 def _(spark, sf):
     paths = bundle.build(spark, _gold(spark, sf), scratch_path(spark, "bundle"), "tables")

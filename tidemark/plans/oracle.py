@@ -822,6 +822,17 @@ SELECT 'SUCCESS' AS status, (SELECT count(*) FROM slice) AS api_records_fetched,
   count(CASE WHEN is_update THEN 1 END) AS rows_updated, count(*) AS bronze_rows_after,
   count(*) AS silver_rows_after, CAST(5 AS INTEGER) AS gold_tables_passed FROM j""")
 _sql("o1_refreshed_bronze", "target", _BATCH + f"\nSELECT {', '.join(_SENT)}, CAST(NULL AS VARCHAR) AS location FROM j")
+_sql("o2_empty_batch", "bronze", """
+SELECT 'SUCCESS' AS status, CAST(0 AS BIGINT) AS api_records_fetched, count(DISTINCT id) AS bronze_rows_after,
+  CAST(5 AS INTEGER) AS gold_tables_passed FROM bronze""")
+_sql("o4_s5_failed_run", "bronze", """
+SELECT 'FAILED' AS status, TRUE AS names_the_table, count(*) AS landed FROM bronze WHERE source_file = 'src-0'""")
+_sql("s7_s8_offline_views", "silver", """
+SELECT year, count(*) AS monthly_crimes, count(*) AS area_crimes, count(*) AS silver_rows FROM silver GROUP BY year""")
+_sql("f1_keyed_latest", "bronze", f"""
+SELECT id, updated_on, primary_type, year FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_UPDATE}) AS v FROM bronze WHERE tie1 % 50 <> 0)
+WHERE v = 1""")
 _sql("o6_bundle", "monthly area outcome week grid months years times", f"""
 , vals AS ({_VALUES})
 SELECT 'meta' AS dataset, CAST(1 AS BIGINT) AS row_count
