@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def modest_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
+    """Lower the session's Arrow batch limits to these: texts are long, and a worker holds a batch in
+    several forms at once. Limits that are lower already stay; results do not depend on them."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = int(spark.conf.get(name).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, str(most))
+
+
 def with_row(df: DataFrame, name: str = "row") -> DataFrame:
     """Number the rows of ``df``. The numbers hold only within one job, so settle the result
     before it is read twice. Repeated rows and null ids stay apart by them."""

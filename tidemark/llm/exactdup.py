@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import settle
-from .common import SPACE, columns, small_runs, with_row
+from .common import SPACE, columns, modest_batches, small_runs, with_row
 
 
 @dataclass(frozen=True)
@@ -122,6 +122,7 @@ def op5_exact_dedup(docs: DataFrame, config: ChunkConfig = ChunkConfig(), key: s
     Null and empty texts are equal to each other. The smallest id stays, a null id only if there is
     no other; of rows with the same id and text exactly one is kept. An empty table gives no rows.
     """
+    modest_batches(docs.sparkSession)
     rows = with_row(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
     listed = recipes(rows, config)
     listed = listed.withColumn("me", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import settle
-from .common import fresh, small_runs
+from .common import fresh, modest_batches, small_runs
 
 UNKNOWN = "und"
 
@@ -136,6 +136,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     The sample is chosen by a hash of key and text among all rows; equal rows count once.
     An empty table gives a model that answers ``und``.
     """
+    modest_batches(labelled.sparkSession)
     bits = config.dims_log2
     rows = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null")
@@ -230,6 +231,7 @@ def identify(docs: DataFrame, model: LangModel, text: str = "text", out: str = "
     Null, empty and letterless texts are ``und`` with score 0 and rejected. Whole texts are read.
     Ties between centroids go to the language first by name. All other columns pass through.
     """
+    modest_batches(docs.sparkSession)
     return docs.withColumn(out, classifier(model)(F.col(text)))
 
 

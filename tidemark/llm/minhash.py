@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import settle
-from .common import SPACE, small_runs, with_row
+from .common import SPACE, modest_batches, small_runs, with_row
 from .components import components
 from .exactdup import keep_rows
 
@@ -306,6 +306,7 @@ def near_classes(docs: DataFrame, config: NearConfig = NearConfig(), key: str =
     different words, not all that exist. Null, empty and blank texts are near nothing: each is alone, unless
     its id and text repeat. Word sequences that are equal are near, whatever their length.
     """
+    modest_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = with_row(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(body)).alias("digest")))
     sketch = settle(_sketch(rows, config), "near-sketch")

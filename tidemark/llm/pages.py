@@ -17,6 +17,8 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from .common import modest_batches
+
 
 @dataclass(frozen=True)
 class PageConfig:
@@ -183,6 +185,7 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text", config: Pag
         for batch in batches:
             yield batch.fillna("").map(lambda p: main_text(p, config)).astype(object)
 
+    modest_batches(pages.sparkSession)
     return pages.withColumn(out, run(F.col(html)))
 
 

@@ -24,9 +24,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import arrow_runs, columns, fresh
+from .common import arrow_runs, columns, fresh, modest_batches
 
 MARK = "▁"
+#: Words of a model without pieces across marks, line ends or tabs, and without punctuation apart.
+PLAIN_WORDS = f"{MARK}*[^{MARK}\n\t\r]+|{MARK}+|[\n\t\r]"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Fixed values of the model format: piece kinds and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -88,11 +90,13 @@ def from_proto(m) -> PieceModel:
 
 
 class Encoder:
-    """Encodes words and keeps what it found, up to ``most_words`` words and four times as many pairs."""
+    """Encodes words and keeps what it found, up to ``most_words`` words and as many pairs."""
 
-    def __init__(self, model: PieceModel, most_words: int = 100_000, long_word: int = 64):
+    def __init__(self, model: PieceModel, most_words: int = 150_000, long_word: int = 64):
         self.model, self.most_words, self.long_word = model, most_words, long_word
         self.split = re.compile(model.words).findall
+        self.plain = model.words == PLAIN_WORDS and model.prefix and not model.squeeze
+        self.odd = re.compile(rf"[{MARK}\t\r]|\A[ \n]|[ \n]\Z|\n[ \n]| \n").search
         self.known: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.past: dict[str, list[tuple[float, str, str]] | None] = {}
@@ -116,7 +120,7 @@ class Encoder:
         known = self.pairs.get((left, right))
         if known is None:
             known = self._merges(left, right)
-            if len(self.pairs) > 4 * self.most_words:
+            if len(self.pairs) > self.most_words:
                 self.pairs.clear()
             self.pairs[left, right] = known
         return known
@@ -217,12 +221,23 @@ class Encoder:
             return tuple(self.model.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
         return (self.model.unknown_id,)
 
+    def _cut(self, text: str) -> list[str]:
+        """Words of a text. Where each mark begins a word, as in plain prose, splitting at blanks is enough."""
+        if self.plain and "  " not in text and not self.odd(text):
+            if "\n" in text:
+                text = text.replace("\n", " \n ")
+                return self.marked(text).replace(f"{MARK}\n{MARK}", " \n ").replace(MARK, f" {MARK}").split(" ")
+            return self.marked(text).replace(MARK, f" {MARK}").split(" ")
+        return self.split(self.marked(text))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.split(self.marked(t)) for t in texts]
-        fresh = sorted({w for words in cut for w in words}.difference(self.known))
-        if len(self.known) + len(fresh) > self.most_words:
-            self.known = {}
-            fresh = sorted({w for words in cut for w in words})
+        cut = [self._cut(t) for t in texts]
+        words = set(chain.from_iterable(cut))
+        fresh = words.difference(self.known)
+        if len(self.known) + len(fresh) > self.most_words:  # keep what is in use
+            self.known = {w: self.known[w] for w in words.difference(fresh)}
+        self.known[""] = ()
+        fresh = sorted(fresh.difference([""]))
         self.known.update(self.encode_sorted(fresh))
         out = [np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32) for words in cut]
         for w in fresh:
@@ -248,6 +263,7 @@ def _text_of(model: PieceModel, ids: list) -> str:
 def encode_column(docs: DataFrame, model: PieceModel, text: str = "text", out: str = "token_ids", checked: str | None = None) -> DataFrame:
     """Add ``out``, the piece ids of whole texts; null stays null, an empty text has none. With ``checked``
     add a column that says whether decoding gives the text back. All rows and columns are kept."""
+    modest_batches(docs.sparkSession)
     fields = [f for f in docs.schema if f.name not in (out, checked)]
     names = [f.name for f in fields]
     at, inside = names.index(text), [f"c{i}" for i in range(len(fields))]  # names may hold dots
@@ -259,7 +275,7 @@ def encode_column(docs: DataFrame, model: PieceModel, text: str = "text", out: s
 
         own = Encoder(model)
         for batch in batches:
-            for part, texts in arrow_runs(batch, inside[at]):
+            for part, texts in arrow_runs(batch, inside[at], 1 << 21):
                 ids = own.encode(texts)
                 null = part.column(at).is_null()
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
