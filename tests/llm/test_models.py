@@ -118,6 +118,21 @@ def test_pages(page, text):
     assert pages.main_text(page) == text
 
 
+LONG, TALE = ("long " * 60).strip(), ("tale " * 30).strip()
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<div id=content><p>{LONG}</p></div><aside><article><h3>Related</h3></article></aside>", LONG),
+    (f"<div id=content><p>{LONG}</p></div><article><h3>Teaser</h3></article><p>Top</p>", f"{LONG} Teaser"),
+    (f"<p>{LONG}</p><ul><li><a>1</a><li><a>2</a><li><a>3</a></ul><p>tiny</p><article>a</article>", f"{LONG} a"),
+    (f"<p>Skip</p><article>T</article><p>Skip</p><section id=comments><article>{TALE}</article></section>", "T"),
+    (f"<nav><a>Home</a><article>{LONG}</article><footer>f</footer>", LONG),
+    (f"<form id=all><nav><article>n</article></nav><article>{LONG}</article></form>", LONG),
+])
+def test_page_marks_raise_only(page, text):
+    assert pages.main_text(page) == text
+
+
 def test_page_query(spark):
     d = spark.createDataFrame([(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>é🎉</p>", "y"), (2, "v", "<p>" + "z " * 100000, "q")],
                               "page_id long, url string, html string, text string")

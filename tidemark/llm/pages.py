@@ -2,9 +2,10 @@
 
 Markup is stripped to lines, one per block of the page, each with the length of its text outside
 links. Blocks that the markup itself names as menus, headers, footers, asides, notices, adverts,
-forms or comments weigh nothing, and if the page marks its article, so does all outside it. Lengths are
-summed over a sliding window of lines. Where a window's sum surges over a threshold, text begins; where
-the lines fall to nothing for as long as a window, it ends; what lies between is kept.
+forms or comments weigh nothing; blocks of a marked article weigh more. Weights are summed over a sliding
+window of lines, which does not reach over an article's border. Where a window's sum surges over a
+threshold, text begins; where the lines fall to nothing for as long as a window, it ends; what lies
+between is kept.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from .common import modest_batches
 
 @dataclass(frozen=True)
 class PageConfig:
-    """``window`` lines are summed. Without a marked article a stretch must reach ``surge`` characters in
-    some window, or ``share`` of the page's largest window where that is less; with one, any text counts."""
+    """``window`` lines are summed. A stretch must reach ``surge`` characters in some window, or ``share`` of
+    the page's largest window where that is less. A block in a marked article weighs ``raised`` more."""
 
     window: int = 3
     surge: int = 80
     share: float = 0.5
+    raised: int = 160
 
 
 # Element kinds of the markup language.
@@ -40,6 +42,9 @@ NEST = ("article aside blockquote body details dialog div dl fieldset figure foo
 VOID = "area base br col embed hr img input link meta source track wbr".split()
 APART = "nav aside footer form menu dialog fieldset".split()
 ARTICLE = "article main".split()
+# Parts in which an article is not the page's own, by element kind or by a word in class, id or role.
+KEEPING = "nav aside footer".split()
+REMARKS = "comment comments commentlist disqus replies respond".split()
 # Words in a class, id or role that name something other than the text.
 NAMED = ("ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored promo promotion banner "
          "nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside widget related recommended "
@@ -68,6 +73,22 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _keeps(page: str, name: str, attributes: str, at: int) -> bool:
+    """Whether an article inside the element whose content begins at ``at`` is set apart like the rest of
+    it: a menu, aside, footer or comment part that has its own end tag."""
+    if name not in KEEPING:
+        words = (w.lower() for a, v in ATTRIBUTE.findall(attributes) if a.lower() in ("class", "id", "role") for w in NAMED_PARTS.split(v))
+        if not any(w in REMARKS for w in words):
+            return False
+    depth = 1
+    for m in TAG.finditer(page, at):
+        if (m[2] or m[5] or "").lower() == name:
+            depth += -1 if m[1] or m[4] else 1
+            if not depth:
+                return True
+    return False
+
+
 _NAMED, _RAW, _BLOCK, _NEST = frozenset(NAMED), frozenset(RAW), frozenset(BLOCK), frozenset(NEST)
 
 
@@ -75,14 +96,15 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     """Blocks in page order: (text, characters outside links, set apart, inside a marked article).
 
     A tag that the page's end cuts off is dropped, and so is all of an element whose content is no text.
-    Containers close at their own end tag or that of one around them; an article ends whatever part set
-    apart is left open.
+    Containers close at their own end tag or that of one around them. An article ends whatever part set
+    apart is left open, and those that may hold the page's own article, as a form does.
     """
     out: list[tuple[str, int, bool, bool]] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, set apart, in article
-    apart = inside = False
+    stack: list[tuple[str, bool, bool, str, int]] = []  # name, itself set apart, in article, attributes, content's begin
+    keeps: dict[int, bool] = {}
+    apart = held = inside = False
     links = 0
     at = 0
 
@@ -135,17 +157,18 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
                         break
             else:
                 if name in ARTICLE and any(s[1] for s in stack) and not any(s[0] in ARTICLE for s in stack):
-                    first = next(i for i, s in enumerate(stack) if s[1])
-                    del stack[first:]
-                before = stack[-1] if stack else ("", False, False)
-                article = before[2] or name in ARTICLE
-                stack.append((name, before[1] or _apart(name, attributes, before[2]), article))
-            apart, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                    for i, s in enumerate(stack):
+                        if s[1] and s[4] not in keeps:
+                            keeps[s[4]] = _keeps(page, s[0], s[3], s[4])
+                        stack[i] = (s[0], s[1] and keeps[s[4]], *s[2:])
+                before = bool(stack) and stack[-1][2]
+                stack.append((name, _apart(name, attributes, before), before or name in ARTICLE, attributes, at))
+            held, inside = any(s[1] for s in stack), bool(stack) and stack[-1][2]
         elif not closing and _apart(name, attributes, inside):
             # A single block: set apart until the next block begins.
             apart = True
             continue
-        apart = bool(stack) and stack[-1][1]
+        apart = held
     if at < len(page) and m is None:
         put(page[at:])
     end_block()
@@ -155,21 +178,24 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 def main_text(page: str, config: PageConfig = PageConfig()) -> str:
     """The blocks between surges and dives, joined by a space."""
     blocks = lines(page)
-    marked = any(b[3] and not b[2] for b in blocks)
-    weights = [0 if b[2] or marked and not b[3] else b[1] for b in blocks]
-    if marked:  # a block of links alone still belongs to the article
-        weights = [w or int(b[3] and not b[2]) for w, b in zip(weights, blocks)]
-    k = config.window
-    sums = [sum(weights[i:i + k]) for i in range(len(weights))]
-    least = 1 if marked else min(config.surge, config.share * max(sums, default=0)) or 1
+    marked = [inside and not apart for _, _, apart, inside in blocks]
+    # A block of links alone still belongs to the article.
+    weights = [0 if b[2] else b[1] + config.raised * m for b, m in zip(blocks, marked)]
+    sums, ends, end = [0] * len(blocks), [0] * len(blocks), len(blocks)
+    for i in range(len(blocks) - 1, -1, -1):
+        if i + 1 < len(blocks) and marked[i] != marked[i + 1]:
+            end = i + 1
+        ends[i], sums[i] = end, sum(weights[i:min(i + config.window, end)])
+    least = min(config.surge, config.share * max(sums, default=0)) or 1
     kept: list[str] = []
     i = 0
     while i < len(blocks):
         if sums[i] < least or weights[i] == 0:
             i += 1
             continue
-        # Surge: go on until a whole window is empty or, without a marked article, thin.
-        while i < len(blocks) and sums[i] > 0 and (marked or sums[i] >= least or weights[i] > 0):
+        # Surge: go on until a whole window is empty, or is thin from a weightless line on, or a border comes.
+        end = ends[i]
+        while i < end and sums[i] > 0 and (sums[i] >= least or weights[i] > 0):
             if weights[i]:
                 kept.append(blocks[i][0])
             i += 1
