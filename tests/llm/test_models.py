@@ -133,6 +133,22 @@ def test_page_marks_raise_only(page, text):
     assert pages.main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    *((f'<article><div class="{name}">{LONG}</div></article>', LONG) for name in (
+        "entry-content no-sidebar", "has-sidebar", "content-with-footer", "share-enabled", "social-science", "page-banner")),
+    (f'<div class="has-sidebar"><p>{LONG}</p><div class="sidebar"><p>{TALE}</p></div></div>', LONG),
+    (f'<p>{LONG} {LONG} {LONG}</p><div id="social-science"><p>{LONG}</p><p>{LONG}</p></div>', " ".join([LONG] * 5)),
+    (f'<article><h1>T</h1><p class="notice">{LONG}</p><p class="notice">n</p></article>', f"T {LONG}"),
+    (f'<article><h1>T</h1></article><div class="ad">{TALE[:100]}</div>', "T"),
+    (f'<div class="banner"><p>hey</p><article>{LONG}</article><p>b</p>', LONG),
+    (f'<article><p>{LONG}</p><div class="related"><ul>' + "<li><a>one more tale to read</a>" * 20 + "</ul></div></article>", LONG),
+    (f'<article>{LONG}</article><div class="promo"><ul>' + "<li>one <a>more tale to read</a>" * 20 + "</ul></div>", LONG),
+    ("".join(f'<article><h2>T{i}</h2><div class="has-sidebar">{TALE}</div></article>' for i in range(3)), " ".join(f"T{i} {TALE}" for i in range(3))),
+])
+def test_page_names_lower_only(page, text):
+    assert pages.main_text(page) == text
+
+
 def test_page_query(spark):
     d = spark.createDataFrame([(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>é🎉</p>", "y"), (2, "v", "<p>" + "z " * 100000, "q")],
                               "page_id long, url string, html string, text string")

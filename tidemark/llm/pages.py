@@ -1,8 +1,10 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped to lines, one per block of the page, each with the length of its text outside
-links. Blocks that the markup itself names as menus, headers, footers, asides, notices, adverts,
-forms or comments weigh nothing; blocks of a marked article weigh more. Weights are summed over a sliding
+links. Blocks in elements that are menus, headers, footers, asides or forms by their kind weigh nothing;
+blocks of a marked article weigh more. A part that only its class, id or role names as a notice, advert,
+comments or the like weighs less, and nothing where its lines are short or links too; one that holds most
+of the text is taken like any other. Weights are summed over a sliding
 window of lines, which does not reach over an article's border. Where a window's sum surges over a
 threshold, text begins; where the lines fall to nothing for as long as a window, it ends; what lies
 between is kept.
@@ -12,8 +14,10 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -24,12 +28,14 @@ from .common import modest_batches
 @dataclass(frozen=True)
 class PageConfig:
     """``window`` lines are summed. A stretch must reach ``surge`` characters in some window, or ``share`` of
-    the page's largest window where that is less. A block in a marked article weighs ``raised`` more."""
+    the page's largest window where that is less. A block in a marked article weighs ``raised`` more, one in
+    a part named as something else ``doubt`` times less."""
 
     window: int = 3
     surge: int = 80
     share: float = 0.5
     raised: int = 160
+    doubt: int = 4
 
 
 # Element kinds of the markup language.
@@ -58,7 +64,7 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s
 
 
 def _apart(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is not text: by its kind, or by a word in its class, id or role."""
+    """Whether an element is not text: by its kind, or as it is hidden."""
     if name in APART or name == "header" and not in_article:
         return True
     for attribute, value in ATTRIBUTE.findall(attributes):
@@ -67,19 +73,18 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
             return True
         if attribute == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if attribute in ("class", "id", "role") and name not in ("html", "body", *ARTICLE):
-            if any(w.lower() in _NAMED for w in NAMED_PARTS.split(value)):
-                return True
     return False
 
 
-def _keeps(page: str, name: str, attributes: str, at: int) -> bool:
-    """Whether an article inside the element whose content begins at ``at`` is set apart like the rest of
-    it: a menu, aside, footer or comment part that has its own end tag."""
-    if name not in KEEPING:
-        words = (w.lower() for a, v in ATTRIBUTE.findall(attributes) if a.lower() in ("class", "id", "role") for w in NAMED_PARTS.split(v))
-        if not any(w in REMARKS for w in words):
-            return False
+def _words(name: str, attributes: str) -> set[str]:
+    """Words in an element's class, id and role that name something other than the text."""
+    if name in ("html", "body", *ARTICLE):
+        return set()
+    return {w.lower() for a, v in ATTRIBUTE.findall(attributes) if a.lower() in ("class", "id", "role") for w in NAMED_PARTS.split(v)} & _NAMED
+
+
+def _closed(page: str, name: str, at: int) -> bool:
+    """Whether the element whose content begins at ``at`` has its own end tag."""
     depth = 1
     for m in TAG.finditer(page, at):
         if (m[2] or m[5] or "").lower() == name:
@@ -92,19 +97,47 @@ def _keeps(page: str, name: str, attributes: str, at: int) -> bool:
 _NAMED, _RAW, _BLOCK, _NEST = frozenset(NAMED), frozenset(RAW), frozenset(BLOCK), frozenset(NEST)
 
 
-def lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """Blocks in page order: (text, characters outside links, set apart, inside a marked article).
+@dataclass
+class Part:
+    """Blocks from ``start`` to ``end``: an article, or an element named as something else. The latter knows the
+    named part and the article around it, and whether it is one of comments that holds articles."""
+
+    start: int
+    around: int = -1
+    article: int = -1
+    comments: bool = False
+    end: int = -1
+
+
+@dataclass
+class Open:
+    """An open container: itself set apart, its words, the numbers of its named part and of the innermost article."""
+
+    name: str
+    apart: bool
+    words: set[str]
+    at: int
+    named: int
+    article: int
+    closed: bool | None = None
+
+
+def lines(page: str) -> tuple[list[tuple[str, int, bool, int, int]], list[Part], list[Part]]:
+    """Blocks in page order: (text, characters outside links, set apart, article, named part); with the
+    articles and the named parts in order of their start, to which these numbers point, -1 for none.
 
     A tag that the page's end cuts off is dropped, and so is all of an element whose content is no text.
     Containers close at their own end tag or that of one around them. An article ends whatever part set
     apart is left open, and those that may hold the page's own article, as a form does.
     """
-    out: list[tuple[str, int, bool, bool]] = []
+    out: list[tuple[str, int, bool, int, int]] = []
+    articles: list[Part] = []
+    named: list[Part] = []
     text: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool, str, int]] = []  # name, itself set apart, in article, attributes, content's begin
-    keeps: dict[int, bool] = {}
-    apart = held = inside = False
+    stack: list[Open] = []
+    apart = held = False
+    article = part = single = -1
     links = 0
     at = 0
 
@@ -118,10 +151,33 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         whole = " ".join(entities.unescape("".join(text)).split())
         if whole:
             anchors = " ".join(entities.unescape("".join(linked)).split())
-            out.append((whole, max(0, len(whole) - len(anchors)), apart, inside))
+            out.append((whole, max(0, len(whole) - len(anchors)), apart, article, part))
         text.clear()
         linked.clear()
 
+    def close(s: Open) -> None:
+        if s.words and named[s.named].end < 0:
+            named[s.named].end = len(out)
+        if s.name in ARTICLE:
+            articles[s.article].end = len(out)
+
+    def around() -> tuple[int, int]:
+        return (stack[-1].named, stack[-1].article) if stack else (-1, -1)
+
+    def enter_article() -> None:
+        for s in stack:
+            if (s.apart or s.words) and s.closed is None:
+                s.closed = _closed(page, s.name, s.at)
+            s.apart = s.apart and s.name in KEEPING and s.closed
+            if s.words and s.closed:
+                named[s.named].comments |= not s.words.isdisjoint(REMARKS)
+            elif s.words:
+                close(s)
+                s.words = set()
+        now = -1
+        for s in stack:
+            now = s.named = s.named if s.words else now
+
     while True:
         m = TAG.search(page, at)
         if m is None:
@@ -149,38 +205,87 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             continue
         end_block()
         links = 0
+        if single >= 0:
+            named[single].end, single = len(out), -1
         if name in _NEST:
             if closing:
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
+                    if stack[i].name == name:
+                        for s in stack[i:]:
+                            close(s)
                         del stack[i:]
                         break
             else:
-                if name in ARTICLE and any(s[1] for s in stack) and not any(s[0] in ARTICLE for s in stack):
-                    for i, s in enumerate(stack):
-                        if s[1] and s[4] not in keeps:
-                            keeps[s[4]] = _keeps(page, s[0], s[3], s[4])
-                        stack[i] = (s[0], s[1] and keeps[s[4]], *s[2:])
-                before = bool(stack) and stack[-1][2]
-                stack.append((name, _apart(name, attributes, before), before or name in ARTICLE, attributes, at))
-            held, inside = any(s[1] for s in stack), bool(stack) and stack[-1][2]
-        elif not closing and _apart(name, attributes, inside):
-            # A single block: set apart until the next block begins.
-            apart = True
-            continue
+                if name in ARTICLE and around()[1] < 0:
+                    enter_article()
+                part, article = around()
+                new = Open(name, _apart(name, attributes, article >= 0), _words(name, attributes), at, part, article)
+                if new.words:
+                    new.named = len(named)
+                    named.append(Part(len(out), part, article))
+                if name in ARTICLE:
+                    new.article = len(articles)
+                    articles.append(Part(len(out)))
+                stack.append(new)
+            held = any(s.apart for s in stack)
         apart = held
+        part, article = around()
+        if name not in _NEST and not closing:
+            # A single block: set apart or named until the next block begins.
+            apart = apart or _apart(name, attributes, article >= 0)
+            if _words(name, attributes):
+                single = len(named)
+                named.append(Part(len(out), part, article))
+                part = single
     if at < len(page) and m is None:
         put(page[at:])
     end_block()
-    return out
+    for p in (*articles, *named):
+        p.end = len(out) if p.end < 0 else p.end
+    return out, articles, named
+
+
+def _weights(page: str, config: PageConfig) -> tuple[list[str], list[int], list[bool]]:
+    """Every block's text, weight, and whether the mark of an article raises it."""
+    blocks, articles, named = lines(page)
+    n, k, least = len(blocks), config.window, config.surge * config.doubt
+    sizes = [0 if b[2] else b[1] for b in blocks]
+    begin = [0, *accumulate(sizes)]
+    times: list[int] = []  # what the weight of each named part's blocks is divided by; 0 sets apart
+    if named:
+        surge_at = [n] * (n + 1)  # the next window that surges even so
+        for i in range(n - 1, -1, -1):
+            surge_at[i] = i if begin[min(i + k, n)] - begin[i] >= least else surge_at[i + 1]
+        marks = Counter(b[4] for b in blocks if b[3] >= 0 and not b[2])
+        total = begin[n] + config.raised * marks[-1]
+    for p in named:
+        before = times[p.around] if p.around >= 0 else 1
+        own = begin[p.end] - begin[p.start]
+        scope = articles[p.article] if p.article >= 0 else None
+        all_text = begin[scope.end] - begin[scope.start] if scope else total
+        long = surge_at[p.start] <= p.end - k if p.end - p.start >= k else own >= least
+        if before == 0:
+            times.append(0)
+        elif 2 * own > all_text:
+            times.append(before)
+        elif long and not p.comments:
+            times.append(before if scope else config.doubt)
+        else:
+            times.append(0)
+        if times[-1] == 1 and not scope:  # articles in it count as the page's own from here on
+            total += config.raised * marks[len(times) - 1]
+    weights, marked = [], []
+    for size, (_, _, apart, article, part) in zip(sizes, blocks):
+        by = times[part] if part >= 0 else 1
+        marked.append(article >= 0 and not apart and by == 1)
+        # A block of links alone still belongs to the article.
+        weights.append(0 if apart or not by else -(-size // by) + config.raised * marked[-1])
+    return [b[0] for b in blocks], weights, marked
 
 
 def main_text(page: str, config: PageConfig = PageConfig()) -> str:
     """The blocks between surges and dives, joined by a space."""
-    blocks = lines(page)
-    marked = [inside and not apart for _, _, apart, inside in blocks]
-    # A block of links alone still belongs to the article.
-    weights = [0 if b[2] else b[1] + config.raised * m for b, m in zip(blocks, marked)]
+    blocks, weights, marked = _weights(page, config)
     sums, ends, end = [0] * len(blocks), [0] * len(blocks), len(blocks)
     for i in range(len(blocks) - 1, -1, -1):
         if i + 1 < len(blocks) and marked[i] != marked[i + 1]:
@@ -197,7 +302,7 @@ def main_text(page: str, config: PageConfig = PageConfig()) -> str:
         end = ends[i]
         while i < end and sums[i] > 0 and (sums[i] >= least or weights[i] > 0):
             if weights[i]:
-                kept.append(blocks[i][0])
+                kept.append(blocks[i])
             i += 1
     return " ".join(kept)
 
