@@ -1,5 +1,6 @@
 """Mixing, sharding, secrets and licences beyond their SQL."""
 
+import pathlib
 import re
 
 import cases
@@ -85,3 +86,32 @@ def test_licences_in_other_shapes(spark):
     got = {r.doc_id: (r.licences, r.whole) for r in licences.scan(d).collect()}
     assert got[1] == (["MIT"], "MIT") and got[2] == (["MIT"], None) and got[3] == ([], None) and got[4] == (["Apache-2.0"], "Apache-2.0")
     assert licences.scan(d, known=[]).where("n_matches > 0").count() == 0
+
+
+def test_licences_in_full_and_amid_other_text(spark):
+    folder = pathlib.Path(licences.__file__).parent / "texts"
+    full = {p.stem: p.read_text("utf-8") for p in folder.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense"} <= set(full)
+    one_line = lambda t: t.replace("\n", " \n ")
+    mit = licences.TEXTS["MIT"].replace("conditions:\n", "conditions:\n\n").replace("Software.\nTHE", "Software.\n\nTHE")
+    header = licences.TEXTS["Apache-2.0"].replace(" http", "\n\n    http").replace("\nUnless", "\n\nUnless")
+    bsd = {n: licences.TEXTS[f"BSD-{n}-Clause"].replace("met:\n", "met:\n\n").replace("\n2. R", "\n\n2. R").replace(
+        "\n3. N", "\n\n3. N").replace("\nTHIS", "\n\nTHIS") for n in (2, 3)}
+    comment = "/*\n" + "\n".join(" * " + x for x in mit.split("\n")) + "\n */\n\nint x;"
+    cut = mit.replace("The above copyright notice", "The above notice")
+    swapped = "\n\n".join(mit.split("\n\n")[i] for i in (0, 2, 1))
+    texts = [(f"whole {k}", one_line(v), k, k) for k, v in full.items()]
+    texts += [(f"amid {k}", f"Some words.\n\n{v}\n\nx = 1\n", k, None) for k, v in full.items()]
+    texts += [("apache terms", full["Apache-2.0"][:full["Apache-2.0"].index("END OF")], "Apache-2.0", "Apache-2.0"),
+              ("titled", "The MIT License (MIT)\n\nCopyright (c) 2020 Me\n\n" + mit, "MIT", "MIT"),
+              ("titled code", "The MIT License (MIT)\n\nCopyright (c) 2020 Me\n\n" + mit + "\n\ndef f(): pass", "MIT", None),
+              ("comment", comment, "MIT", None), ("header", f"# x\n\n{header}\n\nimport y", "Apache-2.0", None),
+              ("bsd 2", f"x\n\n{bsd[2]}\n\ny", "BSD-2-Clause", None), ("bsd 3", f"x\n\n{bsd[3]}\n\ny", "BSD-3-Clause", None),
+              ("two", f"x\n\n{mit}\n\n{bsd[3]}\n\n{mit}", "BSD-3-Clause,MIT", None),
+              ("cut", f"x\n\n{cut}", "", None), ("swapped", f"x\n\n{swapped}", "", None),
+              ("interrupted", "\n\n".join(p + "\n\nother" for p in mit.split("\n\n")), "", None)]
+    d = spark.createDataFrame([(n, t) for n, t, _, _ in texts], "doc_id string, text string")
+    rows = {r.doc_id: r for r in licences.scan(d).collect()}
+    got = {n: (",".join(rows[n].licences), rows[n].whole) for n, *_ in texts}
+    assert got == {n: (licence, whole) for n, _, licence, whole in texts}
+    assert rows["two"].n_matches == 2

@@ -2,12 +2,15 @@
 
 Text is made canonical: lower case, copyright lines dropped, punctuation and blanks made one space,
 equivalent spellings made one. The whole text, its paragraphs and its lines are then entire texts whose
-digests are hash-joined to the digests of known licences and notices, made canonical the same way.
+digests are hash-joined to the digests of known licences and notices, made canonical the same way. A longer
+licence amid other text is found by the digests of its paragraphs, where all of them meet one after another.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -111,6 +114,60 @@ def known_texts() -> list[tuple[str, str]]:
     return notices + list(TEXTS.items()) + titled
 
 
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License"),
+    "Zlib": ("zlib License", "The zlib License", "The zlib/libpng License"),
+}
+# A line of a licence in TEXTS that begins a list item.
+ITEM = re.compile(r"^[0-9]\.")
+# So many first characters of a paragraph are compared before its digest is made.
+BEGIN = 16
+# Last words of the terms; what follows tells how to apply them and is often left out.
+END = "END OF TERMS AND CONDITIONS"
+
+
+def _breaks(text: str) -> list[str]:
+    """The text with the usual blank lines: sentences that begin a source line after a full stop or colon begin a
+    paragraph; list items do too, or follow each other, or follow what leads to them."""
+    joined = re.sub(r"(?<![.:])\n(?!http)", " ", text)
+    lead = joined.split("\n")
+    out = []
+    for glue in (lambda line, before: False, lambda line, before: ITEM.match(line) and ITEM.match(before), lambda line, before: ITEM.match(line)):
+        made = lead[0]
+        for before, line in zip(lead, lead[1:]):
+            made += ("\n" if glue(line, before) else "\n\n") + line
+        out.append(made)
+    return list(dict.fromkeys(out))
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the complete licences in the folder ``texts``, also without what follows their terms."""
+    out = []
+    for path in sorted((Path(__file__).parent / "texts").glob("*.txt")):
+        text = path.read_text("utf-8")
+        out.append((path.stem, text))
+        if END in text:
+            end = text.index(END)
+            out += [(path.stem, text[:end]), (path.stem, text[:end + len(END)])]
+    return out
+
+
+def more_texts() -> list[tuple[str, str]]:
+    """(licence, text): the complete licences, and the whole ones under more titles than ``known_texts`` has."""
+    return full_texts() + [(licence, f"{title}\n\n{TEXTS[licence]}") for licence, titles in TITLES.items() for title in titles]
+
+
+def spread_texts() -> list[tuple[str, str]]:
+    """(licence, text) of several paragraphs, to be found amid other text. Of a complete licence its terms count."""
+    terms = [(licence, text) for licence, text in full_texts() if END not in text]
+    url = "http://www.apache.org/licenses/LICENSE-2.0"
+    header = TEXTS["Apache-2.0"].replace(f" {url}", f"\n\n{url}\n").replace("Unless", "\nUnless")
+    return terms + [("Apache-2.0", header)] + [(licence, t) for licence, text in TEXTS.items() if licence != "Apache-2.0" for t in _breaks(text)]
+
+
 # Patterns of the canonical form; the second one matches line by line.
 _STEPS = (
     (r"\r\n?", "\n"),
@@ -140,31 +197,71 @@ def _flat(text: Column) -> Column:
 def known_digests(spark: SparkSession, known: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """(licence, digest, size) of the given texts; of equal texts the first licence by name. The list
     comes from the driver, so its size is what was handed in."""
-    rows = spark.createDataFrame(known_texts() if known is None else list(known), "licence string, known string")
+    rows = spark.createDataFrame(known_texts() + more_texts() if known is None else list(known), "licence string, known string")
     flat = rows.select("licence", _flat(canonical(F.col("known"))).alias("flat")).where("flat <> ''")
     return flat.groupBy("flat").agg(F.min("licence").alias("licence")).select(
         "licence", F.sha2("flat", 256).alias("digest"), F.length("flat").alias("size"))
 
 
+def known_paragraphs(spark: SparkSession, known: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """(digest, size, begin, licence, mine, layout, n, seq): every paragraph of the given texts of several paragraphs, ``seq`` of
+    ``n``; ``mine`` is the digest of the whole text, ``layout`` that of its paragraphs."""
+    rows = spark.createDataFrame(spread_texts() if known is None else list(known), "licence string, known string")
+    whole = canonical(F.col("known"))
+    rows = rows.select("licence", F.sha2(_flat(whole), 256).alias("mine"), _paragraphs(whole).alias("parts")).where("size(parts) > 1")
+    rows = rows.groupBy("parts").agg(F.min("licence").alias("licence"), F.min("mine").alias("mine"))
+    layout = F.sha2(F.array_join("parts", "\n\n"), 256).alias("layout")
+    return rows.select("licence", "mine", layout, F.size("parts").alias("n"), F.posexplode("parts").alias("seq", "part")).select(
+        F.sha2("part", 256).alias("digest"), F.length("part").alias("size"), F.substring("part", 1, BEGIN).alias("begin"), "licence", "mine", "layout", "n", "seq")
+
+
+def _paragraphs(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, r"\n{2,}"), _flat), lambda p: p != "")
+
+
 def scan(docs: DataFrame, known: Sequence[tuple[str, str]] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, licences (sorted, distinct), whole (that of the entire text),
-    n_matches (licence and part pairs). Null, empty and unmatched texts have no licences, null whole and 0.
+    n_matches (licence and known text pairs). Null, empty and unmatched texts have no licences, null whole and 0.
 
-    Only parts as long as some known text are digested, as no other can equal one.
+    Only parts as long as some known text or paragraph are digested, as no other can equal one.
     """
     spark = docs.sparkSession
     digests = known_digests(spark, known).collect()  # as many rows as were handed in
-    sizes = sorted({r["size"] for r in digests})
-    table = spark.createDataFrame(digests, "licence string, digest string, size int").select("licence", "digest")
+    spread = known_paragraphs(spark, known).collect()  # as many rows as these have paragraphs
+    sizes, lengths = sorted({r["size"] for r in digests}), sorted({r["size"] for r in spread})
+    begins = sorted({r["begin"] for r in spread})
+    steps_of: dict[str, list] = {}
+    for r in spread:
+        steps_of.setdefault(r["digest"], []).append((r["layout"], r["seq"], r["n"], r["licence"], r["mine"]))
+    licence_of = {r["digest"]: r["licence"] for r in digests}
+    table = spark.createDataFrame([(d, licence_of.get(d), steps_of.get(d)) for d in sorted({*licence_of, *steps_of})],
+                                  "digest string, licence string, runs array<struct<layout: string, seq: int, n: int, licence: string, mine: string>>")
     rows = with_row(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
     rows = rows.select("row", "doc_id", canonical(F.col("text")).alias("c"))
-    part = lambda scope: lambda t: F.struct(F.lit(scope).alias("scope"), _flat(t).alias("flat"))
-    parts = F.concat(F.array(part("text")(F.col("c"))), F.transform(F.split("c", r"\n{2,}"), part("paragraph")),
-                     F.transform(F.split("c", r"\n+"), part("line")))
-    parts = F.array_distinct(F.filter(parts, lambda p: F.length(p["flat"]).isin(sizes) if sizes else F.lit(False)))
-    dealt = rows.select("row", "doc_id", F.explode_outer(parts).alias("p")).select("row", "doc_id", "p.scope", F.sha2("p.flat", 256).alias("mine"))
+    rows = rows.withColumn("paragraphs", _paragraphs(F.col("c")))
+    part = lambda scope, at=F.lit(-1): lambda t: F.struct(F.lit(scope).alias("scope"), t.alias("flat"), at.alias("at"))
+    known_size = lambda p: F.length(p["flat"]).isin(sizes) if sizes else F.lit(False)
+    known_begin = lambda p: F.length(p["flat"]).isin(lengths) & F.substring(p["flat"], 1, BEGIN).isin(begins) if lengths else F.lit(False)
+    parts = F.concat(F.array(part("text")(_flat(F.col("c")))), F.transform("paragraphs", part("paragraph")),
+                     F.transform(F.transform(F.split("c", r"\n+"), _flat), part("line")))
+    parts = F.array_distinct(F.filter(parts, known_size))
+    numbered = F.filter(F.transform("paragraphs", lambda p, i: part("run", i)(p)), known_begin)
+    dealt = rows.select("row", "doc_id", F.explode_outer(F.concat(parts, numbered)).alias("p"))
+    dealt = dealt.select("row", "doc_id", "p.scope", "p.at", F.sha2("p.flat", 256).alias("mine"))
     met = dealt.join(table, F.col("mine") == F.col("digest"), "left")
-    hits = met.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.collect_set(F.when(F.col("licence").isNotNull(), F.struct("scope", "licence", "mine"))).alias("hits"))
+    hit = F.when((F.col("scope") != "run") & F.col("licence").isNotNull(), F.struct("scope", "licence", "mine"))
+    steps = F.when(F.col("scope") == "run", F.transform("runs", lambda r: F.struct(
+        r["layout"].alias("layout"), (F.col("at") - r["seq"]).alias("start"), r["seq"].alias("seq"), r["n"].alias("n"),
+        r["licence"].alias("licence"), r["mine"].alias("mine"))))
+    hits = met.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.collect_set(hit).alias("hits"), F.array_sort(F.flatten(F.collect_list(steps))).alias("steps"))
+
+    # In this order a text whose paragraphs all meet has its first one n - 1 places before its last.
+    def ends(step: Column, i: Column) -> Column:
+        first = F.get("steps", i - step["n"] + 1)
+        return (step["seq"] == step["n"] - 1) & (first["layout"] == step["layout"]) & (first["start"] == step["start"]) & (first["seq"] == 0)
+
+    found = F.transform(F.filter("steps", ends), lambda s: F.struct(F.lit("run").alias("scope"), s["licence"].alias("licence"), s["mine"].alias("mine")))
+    hits = hits.select("doc_id", F.concat("hits", found).alias("hits"))
     whole = F.filter("hits", lambda h: h["scope"] == "text")
     return hits.select("doc_id", F.array_sort(F.array_distinct("hits.licence")).alias("licences"),
                        F.when(F.size(whole) > 0, F.element_at(whole, 1)["licence"]).alias("whole"),
