@@ -189,3 +189,25 @@ def test_neighbours_of_awkward_vectors(spark):
     vectors[340] = [2.0, 1.0]
     assert got.groupby("query_id").vec_id.apply(list).to_dict() == brute(vectors)
     assert neighbours.op4_neighbours(d.limit(0)).count() == 0
+
+
+def test_neighbours_of_ids_with_many_vectors(spark):
+    # Id 7 has a third of all rows, each vector its own, all nearest to the queries; the graph's beam is full of it.
+    rng = np.random.RandomState(3)
+    rows = [(7, [2.0 + float(rng.rand()), float(rng.rand())]) for _ in range(400)] + [(9, [1.0, 1.0]), (9, [9.0, 9.0])] * 200
+    rows += [(i, [float(a), float(b)]) for i, (a, b) in enumerate(rng.rand(400, 2), 100)] + [(20, [1.0, 0.5]), (40, [0.5, 1.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    config = neighbours.GraphConfig(shard_rows=300)
+    index = neighbours.build_index(d, config).collect()
+    kept = [len(r.ids) // 8 for r in index]
+    assert sum(kept) == len({(i, tuple(v)) for i, v in rows}) and len(kept) == 3 and max(kept) < 330
+    got = neighbours.op4_neighbours(d, config).toPandas().sort_values(["query_id", "rank"])
+    for me, q in ((20, (1.0, 0.5)), (40, (0.5, 1.0))):
+        best = {}
+        for i, v in rows:
+            if i != me:
+                best[i] = max(best.get(i, -1), q[0] * v[0] + q[1] * v[1])
+        want = sorted(best, key=lambda i: (-best[i], i))[:20]
+        mine = got[got.query_id == me]
+        assert mine.vec_id.tolist() == want and want[:2] == [9, 7]
+        assert np.allclose(mine.score, [best[i] for i in want])
