@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdup, langid, licences, minhash, mixing, neighbours, pages, pieces, secrets, sharding
+from . import (codes, divergence, exactdup, langid, licences, minhash, mixing, neighbours, packing, pages, pieces, secrets,
+               sharding)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,9 @@ QUERIES: dict[str, Query] = {
     "op8_near_dedup": _over("documents", minhash.op8_near_dedup),
     "op9_secrets": _over("documents", secrets.op9_secrets),
     "op10_shards": _over("documents", sharding.op10_shards),
+    "op11_divergence": _over("documents", divergence.op11_divergence),
+    "op12_packing": _over("documents", packing.op12_packing),
+    "op13_vector_codes": _over("embeddings", codes.op13_vector_codes),
 }
 
 ORACLES: dict[str, str] = {
@@ -35,4 +39,6 @@ ORACLES: dict[str, str] = {
     "op6_licences": licences.ORACLE_SQL,
     "op9_secrets": secrets.ORACLE_SQL,
     "op10_shards": sharding.ORACLE_SQL,
+    "op11_divergence": divergence.ORACLE_SQL,
+    "op13_vector_codes": codes.ORACLE_SQL,
 }
