@@ -5,10 +5,10 @@ import compare
 import pytest
 from conftest import SF
 
-from tidemark.llm import exactdup, licences, mixing, queries, secrets, sharding
+from tidemark.llm import divergence, exactdup, licences, mixing, queries, secrets, sharding
 
 ON_DOCS = {"op3_mix": mixing.op3_mix, "op5_exact_dedup": exactdup.op5_exact_dedup, "op6_licences": licences.op6_licences,
-           "op9_secrets": secrets.op9_secrets, "op10_shards": sharding.op10_shards}
+           "op9_secrets": secrets.op9_secrets, "op10_shards": sharding.op10_shards, "op11_divergence": divergence.op11_divergence}
 
 
 @pytest.fixture(scope="module")
@@ -37,4 +37,4 @@ def test_empty_table(spark, empty_con, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])) and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])) and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))

@@ -74,7 +74,7 @@ def nearest(leaves: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarra
     # By leaf: how much of its path it shares with the leaf before, and at what depth it is alone.
     differ = leaves[1:] != leaves[:-1]
     shared = np.concatenate([[-1], np.where(differ.any(1), differ.argmax(1), width)]) if m else np.zeros(0, int)
-    alone = np.minimum(np.maximum(shared, np.append(shared[1:], -1)) + 1, width)
+    alone = np.clip(np.maximum(shared, np.append(shared[1:], -1)) + 1, 1, width)
     distance = np.zeros((m, len(c)), c.dtype)
     rest = np.zeros((width + 1, len(c)), c.dtype)  # squared norms of the entries from each depth on
     rest[:-1] = np.cumsum((c * c).T[::-1], 0)[::-1]
