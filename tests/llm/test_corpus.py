@@ -27,7 +27,7 @@ def test_divergence_of_many_sources_equals_sql(spark, tmp_path):
     rows += [(1, "seldom seen", "fr", "only", 0), (2, None, "de", "a", 0), (3, "", "de", "b", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     con = cases.connect(docs, tmp_path / "docs")
-    got = divergence.op11_divergence(docs.repartition(7), divergence.AuditConfig(flush=20))
+    got = divergence.op11_divergence(docs.repartition(7), divergence.AuditConfig(flush=20, cells=40))
     assert compare.differences(got, con, divergence.ORACLE_SQL) == []
     rows = {(r.lang, r.source, r.part, r.item): r.value for r in got.collect()}
     assert rows["de", "a", "pair", "b"] == 0 and not [k for k in rows if k[0] == "fr"]
@@ -47,9 +47,9 @@ def test_tree_corrections_count_each_term(spark):
                 gap = divergence._gap
                 expected[lang, a, b] += many * (gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0))
     table = spark.createDataFrame(rows, "lang string, path array<struct<source:string,n:long,p:long,p0:long>>, many long")
-    for order in ([], ["lang", "path"]):  # sorting shares work and changes nothing
+    for order, cells in (([], 1 << 17), (["lang", "path"], 1 << 17), (["lang", "path"], 30)):  # sorting shares work and changes nothing
         sorted_rows = table.coalesce(1).sortWithinPartitions(*order) if order else table
-        got = divergence.tree_corrections(sorted_rows, divergence.AuditConfig()).groupBy("lang", "source", "item").agg(F.sum("value").alias("v"))
+        got = divergence.tree_corrections(sorted_rows, divergence.AuditConfig(cells=cells)).groupBy("lang", "source", "item").agg(F.sum("value").alias("v"))
         assert {(r.lang, r.source, r.item): int(r.v) for r in got.collect() if r.v} == {k: v for k, v in expected.items() if v}
 
 

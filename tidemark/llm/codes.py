@@ -135,7 +135,8 @@ def _start(rows: DataFrame, config: CodeConfig) -> Books:
     books: Books = {}
     for size in sorted(sizes):
         own = rows.where(F.size("v") == size).orderBy(F.col("vec_id").asc_nulls_last(), "v").limit(config.entries)
-        first = np.array([r["v"] for r in own.collect()], np.int64).reshape(-1, size)
+        found = own.collect()
+        first = np.array([r["v"] for r in found], np.int64).reshape(len(found), size)
         books[size] = [first[:, a:b] for a, b in bounds(size, config.parts)]
     return books
 

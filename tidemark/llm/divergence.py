@@ -18,7 +18,9 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import settle
@@ -31,11 +33,13 @@ _LOWER = bytes(b if b >= 0x80 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 els
 
 @dataclass(frozen=True)
 class AuditConfig:
-    """``flush`` bounds the sums a task holds before it passes them on; it changes no result."""
+    """``flush`` bounds the sums a task holds before it passes them on, ``cells`` the rows by depth that it walks
+    together; they change no result."""
 
     least_documents: int = 10
     top_terms: int = 10
     flush: int = 200_000
+    cells: int = 1 << 17
 
 
 def term_counts(docs: DataFrame, config: AuditConfig, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -46,10 +50,14 @@ def term_counts(docs: DataFrame, config: AuditConfig, text: str = "text", lang:
         import pyarrow as pa
 
         def out() -> pa.RecordBatch:
-            rows = [(g, s, t.decode(), n, found[g, s][t]) for (g, s), counts in held.items() for t, n in counts.items()]
-            rows += [(g, s, None, 0, 0) for g, s in held]
-            types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["lang", "source", "term", "n", "docs"])
+            columns = []
+            for (g, s), counts in held.items():
+                terms, size = list(counts), len(counts) + 1
+                columns.append((
+                    pa.repeat(pa.scalar(g, pa.string()), size), pa.repeat(pa.scalar(s, pa.string()), size),
+                    pa.array([*terms, None], pa.binary()).cast(pa.string()), pa.array([*counts.values(), 0], pa.int64()),
+                    pa.array([*map(found[g, s].__getitem__, terms), 0], pa.int64())))
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*columns)], names=["lang", "source", "term", "n", "docs"])
 
         held: dict[tuple, Counter] = {}
         found: dict[tuple, Counter] = {}
@@ -85,59 +93,80 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def _gap(p: int, q: int) -> int:
+def _gap(p, q):
     return (p - q) * (p - q) // (p + q)
 
 
+def _window(lengths: np.ndarray, at: np.ndarray, sources: np.ndarray, p: np.ndarray, p0: np.ndarray, many: np.ndarray):
+    """Corrections of the part of the tree that sorted rows of one language span: arrays (earlier source, later
+    source, value), one entry for each node and ancestor. Row i is ``lengths[i]`` entries from ``at[i]`` on."""
+    wide = int(lengths.max())
+    inside = np.arange(wide) < lengths[:, None]
+    spot = np.where(inside, at[:, None] + np.arange(wide), 0)
+    src, p, p0 = np.where(inside, sources[spot], -1), p[spot], p0[spot]
+    differ = (src[1:] != src[:-1]) | ((p[1:] != p[:-1]) & inside[1:])
+    shared = np.append(-1, np.where(differ.any(1), differ.argmax(1), wide))  # components shared with the row before
+    for depth in range(1, wide):
+        begins = np.flatnonzero(shared <= depth)
+        through = np.add.reduceat(many, begins)  # terms that pass through each node of this depth
+        real = inside[begins, depth]
+        node, weight = begins[real], through[real, None]
+        mine, mine0 = p[node, depth][:, None], p0[node, depth][:, None]
+        above, above0 = p[node, :depth], p0[node, :depth]
+        value = _gap(mine, above) - _gap(mine, above0) - _gap(mine0, above) + _gap(mine0, above0)
+        yield src[node, :depth].reshape(-1), np.repeat(src[node, depth], depth), (weight * value).reshape(-1)
+
+
 def tree_corrections(rows: DataFrame, config: AuditConfig) -> DataFrame:
     """(lang, source, item, value) with source < item: corrections of terms that both sources have.
 
-    ``rows`` hold lang, path (source, n, p, p0: its share and that of an absent term) and many, sorted in each task.
+    ``rows`` hold lang, path (source, n, p, p0: its share and that of an absent term) and many, sorted in each
+    task. The walk takes them in windows; a node that two windows share is worked out in both, each with its terms.
     """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        sums: Counter = Counter()
-        now, path, passing = None, [], []  # the open path of the tree, and the terms that went through each node
-
-        def close(depth: int) -> None:
-            """Leave all nodes deeper than ``depth``: their multiplicities are complete."""
-            while len(path) > depth:
-                node, many = path.pop(), passing.pop()
-                p, p0 = node["p"], node["p0"]
-                for above in path:
-                    q, q0 = above["p"], above["p0"]
-                    value = _gap(p, q) - _gap(p, q0) - _gap(p0, q) + _gap(p0, q0)
-                    if value:
-                        sums[now, above["source"], node["source"]] += many * value
-                if passing:
-                    passing[-1] += many
+        sums: dict[tuple, int] = {}
+
+        def add(lang: str, part: pa.RecordBatch) -> None:
+            path = part.column(1)
+            lengths, flat = path.value_lengths().to_numpy().astype(np.int64), path.flatten()
+            names = flat.field(0).dictionary_encode()
+            known = names.dictionary.to_pylist()
+            p, p0 = flat.field(2).to_numpy(), flat.field(3).to_numpy()
+            made = list(_window(lengths, np.cumsum(lengths) - lengths, names.indices.to_numpy().astype(np.int64), p, p0, part.column(2).to_numpy()))
+            if made:
+                left, right, value = (np.concatenate(c) for c in zip(*made))
+                code, which = np.unique(left * len(known) + right, return_inverse=True)
+                total = np.zeros(len(code), np.int64)
+                np.add.at(total, which, value)
+                for c, v in zip(code.tolist(), total.tolist()):
+                    key = lang, known[c // len(known)], known[c % len(known)]
+                    sums[key] = sums.get(key, 0) + v
 
         def out() -> pa.RecordBatch:
-            from decimal import Decimal
-
             made = [(g, a, b, Decimal(v)) for (g, a, b), v in sums.items()]
             types = [pa.string(), pa.string(), pa.string(), pa.decimal128(38, 0)]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), types)], names=["lang", "source", "item", "value"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                for lang, row, many in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    same = 0
-                    if lang == now:
-                        while same < min(len(path), len(row)) and path[same] == row[same]:
-                            same += 1
-                    close(same)
-                    now = lang
-                    path.extend(row[same:])
-                    passing.extend([0] * (len(row) - same))
-                    passing[-1] += many
+            langs = batch.column(0).to_pylist()
+            ends = np.cumsum(batch.column(1).value_lengths().to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                done, end = int(ends[at - 1]) if at else 0, at + 1
+                longest = int(ends[at]) - done
+                while end < batch.num_rows and langs[end] == langs[at]:
+                    longest = max(longest, int(ends[end] - ends[end - 1]))
+                    if longest * (end + 1 - at) > config.cells:
+                        break
+                    end += 1
+                add(langs[at], batch.slice(at, end - at))
+                at = end
                 if len(sums) > config.flush:
                     yield out()
                     sums.clear()
-        close(0)
         if sums:
             yield out()
 
