@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import string
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -90,17 +91,22 @@ def from_proto(m) -> PieceModel:
 
 
 class Encoder:
-    """Encodes words and keeps what it found, up to ``most_words`` words and as many pairs."""
+    """Encodes words and keeps what it found in two generations of ``most_words`` words (and as many pairs): what
+    was asked for since the last change of generation stays. Words longer than ``long_word`` are not kept, those
+    longer than ``alone`` are walked by themselves, in memory of some twenty bytes a character."""
 
-    def __init__(self, model: PieceModel, most_words: int = 150_000, long_word: int = 64):
-        self.model, self.most_words, self.long_word = model, most_words, long_word
+    def __init__(self, model: PieceModel, most_words: int = 150_000, long_word: int = 64, alone: int = 1000):
+        self.model, self.most_words, self.long_word, self.alone = model, most_words, long_word, alone
         self.split = re.compile(model.words).findall
         self.plain = model.words == PLAIN_WORDS and model.prefix and not model.squeeze
         self.odd = re.compile(rf"[{MARK}\t\r]|\A[ \n]|[ \n]\Z|\n[ \n]| \n").search
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.older_pairs: dict[tuple[str, str], bool] = {}
         self.past: dict[str, list[tuple[float, str, str]] | None] = {}
         self.floor = min(model.scores.values(), default=0.0) - 10
+        self.reach = max(map(len, model.ids), default=1)
         self.trie: dict = {}
         for piece in model.ids:
             node = self.trie
@@ -119,9 +125,12 @@ class Encoder:
         """Whether merging the characters of both by the model's order gives ``left`` and ``right``."""
         known = self.pairs.get((left, right))
         if known is None:
-            known = self._merges(left, right)
+            known = self.older_pairs.get((left, right))
+            if known is None:
+                known = self._merges(left, right)
             if len(self.pairs) > self.most_words:
-                self.pairs.clear()
+                self.older_pairs = dict(self.pairs)
+                self.pairs.clear()  # the same object: a walk holds it
             self.pairs[left, right] = known
         return known
 
@@ -163,56 +172,107 @@ class Encoder:
             else:
                 return True
 
-    def encode_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        """Pieces of each word; ``words`` are distinct and sorted, so neighbours share their beginnings."""
-        scores, ids, trie, bpe = self.model.scores, self.model.ids, self.trie, self.model.bpe
-        pairs, goes_with = self.pairs, self.goes_with
+    def encode_sorted(self, words: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Piece ids of each word, packed; ``words`` are distinct and sorted, so neighbours share their beginnings."""
+        ids, walk = self.model.ids, self._walk_merges if self.model.bpe else self._walk_scores
         before = ""
         # By prefix length: where its last piece begins, that piece, the score, and the trie nodes still open.
-        start, piece, score, open_at = [0], [""], [0.0], [[]]
+        table: tuple[list, list, list, list] = [0], [""], [0.0], [[]]
         for word in words:
+            if len(word) > self.alone:
+                yield word, self._long_word(word)
+                continue
             same, most = 0, min(len(before), len(word))
             while same < most and before[same] == word[same]:
                 same += 1
-            del start[same + 1:], piece[same + 1:], score[same + 1:], open_at[same + 1:]
-            for i in range(same, len(word)):
-                c, still, ended = word[i], [], []
-                for begin, node in open_at[i]:
-                    if c in node:
-                        node = node[c]
-                        still.append((begin, node))
-                        if "" in node:
-                            ended.append((begin, node[""]))
-                if c in trie:
-                    still.append((i, trie[c]))
-                    if "" in trie[c]:
-                        ended.append((i, c))
-                best_start, best_piece, best = i, c, score[i] + self.floor
-                if bpe:
-                    for begin, found in ended:
-                        ok = pairs.get((piece[begin], found))
-                        if ok or ok is None and goes_with(piece[begin], found):
-                            best_start, best_piece = begin, found
-                            break
-                else:
-                    for begin, found in ended:
-                        if score[begin] + scores[found] > best:
-                            best_start, best_piece, best = begin, found, score[begin] + scores[found]
-                start.append(best_start)
-                piece.append(best_piece)
-                score.append(best)
-                open_at.append(still)
+            for column in table:
+                del column[same + 1:]
+            walk(word, same, *table)
+            start, piece = table[0], table[1]
             out, i = [], len(word)
             while i > 0:
                 out.append(piece[i])
                 i = start[i]
             out.reverse()
             try:
-                yield word, tuple([ids[x] for x in out])
+                yield word, array("i", [ids[x] for x in out]).tobytes()
             except KeyError:
-                yield word, tuple(chain.from_iterable(map(self._ids, out)))
+                yield word, array("i", chain.from_iterable(map(self._ids, out))).tobytes()
             before = word
 
+    def _walk_merges(self, word: str, same: int, start: list, piece: list, score: list, open_at: list) -> None:
+        """Extend the table from prefix length ``same``: the longest piece that goes with the one before it."""
+        root, pairs, goes_with = self.trie, self.pairs, self.goes_with
+        now = open_at[same]
+        for i in range(same, len(word)):
+            c, still = word[i], []
+            best_start, best_piece = i, None
+            for begin, node in now:
+                node = node.get(c)
+                if node is not None:
+                    still.append((begin, node))
+                    if best_piece is None:
+                        found = node.get("")
+                        if found is not None:
+                            ok = pairs.get((piece[begin], found))
+                            if ok or ok is None and goes_with(piece[begin], found):
+                                best_start, best_piece = begin, found
+            node = root.get(c)
+            if node is not None:
+                still.append((i, node))
+            start.append(best_start)
+            piece.append(best_piece or c)
+            open_at.append(still)
+            now = still
+
+    def _walk_scores(self, word: str, same: int, start: list, piece: list, score: list, open_at: list) -> None:
+        """The same by the highest sum of scores."""
+        root, scores = self.trie, self.model.scores
+        now = open_at[same]
+        for i in range(same, len(word)):
+            c, still = word[i], []
+            best_start, best_piece, best = i, c, score[i] + self.floor
+            node = root.get(c)
+            for begin, node in now if node is None else [*now, (i, root)]:
+                node = node.get(c)
+                if node is not None:
+                    still.append((begin, node))
+                    found = node.get("")
+                    if found is not None and score[begin] + scores[found] > best:
+                        best_start, best_piece, best = begin, found, score[begin] + scores[found]
+            start.append(best_start)
+            piece.append(best_piece)
+            score.append(best)
+            open_at.append(still)
+            now = still
+
+    def _long_word(self, word: str, step: int = 4096) -> bytes:
+        """The same walk in steps. Only what a piece can reach back to stays in lists; of all other prefixes the
+        last piece is kept as two numbers."""
+        walk, reach = self._walk_merges if self.model.bpe else self._walk_scores, self.reach
+        width, last = array("i", [0]), array("i", [0])  # by prefix length: signs and id of the last piece, -1 without id
+        start, piece, score, open_at = [0], [""], [0.0], [[]]
+        for at in range(0, len(word), step):
+            back = len(start) - 1  # positions that the lists hold before this step
+            walk(word[at - back:at + step], back, start, piece, score, open_at)
+            for i in range(back + 1, len(start)):
+                width.append(i - start[i])
+                last.append(self.model.ids.get(piece[i], -1))
+            shift = max(0, len(start) - 1 - reach)
+            if shift:
+                begins = [[(b - shift, node) for b, node in open_at[-1]]]
+                start = [max(0, b - shift) for b in start[shift:]]
+                piece, score, open_at = piece[shift:], score[shift:], [[]] * (len(start) - 1) + begins
+        out, i = array("i"), len(word)
+        while i > 0:
+            if last[i] >= 0:
+                out.append(last[i])
+            else:
+                out.extend(reversed(self._ids(word[i - width[i]:i])))
+            i -= width[i]
+        out.reverse()
+        return out.tobytes()
+
     def _ids(self, piece: str) -> tuple[int, ...]:
         found = self.model.ids.get(piece)
         if found is not None:
@@ -234,15 +294,19 @@ class Encoder:
         cut = [self._cut(t) for t in texts]
         words = set(chain.from_iterable(cut))
         fresh = words.difference(self.known)
-        if len(self.known) + len(fresh) > self.most_words:  # keep what is in use
-            self.known = {w: self.known[w] for w in words.difference(fresh)}
-        self.known[""] = ()
+        if self.older:
+            again = fresh.intersection(self.older)
+            self.known.update((w, self.older[w]) for w in again)
+            fresh -= again
+        self.known[""] = b""
         fresh = sorted(fresh.difference([""]))
         self.known.update(self.encode_sorted(fresh))
-        out = [np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32) for words in cut]
+        out = [np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in cut]
         for w in fresh:
             if len(w) > self.long_word:
                 del self.known[w]
+        if len(self.known) > self.most_words:
+            self.older, self.known = self.known, {}
         return out
 
 
