@@ -19,7 +19,7 @@ import string
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -95,7 +95,7 @@ class Encoder:
     was asked for since the last change of generation stays. Words longer than ``long_word`` are not kept, those
     longer than ``alone`` are walked by themselves, in memory of some twenty bytes a character."""
 
-    def __init__(self, model: PieceModel, most_words: int = 150_000, long_word: int = 64, alone: int = 1000):
+    def __init__(self, model: PieceModel, most_words: int = 200_000, long_word: int = 64, alone: int = 1000):
         self.model, self.most_words, self.long_word, self.alone = model, most_words, long_word, alone
         self.split = re.compile(model.words).findall
         self.plain = model.words == PLAIN_WORDS and model.prefix and not model.squeeze
@@ -292,8 +292,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self._cut(t) for t in texts]
-        words = set(chain.from_iterable(cut))
-        fresh = words.difference(self.known)
+        fresh = set(filterfalse(self.known.__contains__, chain.from_iterable(cut)))
         if self.older:
             again = fresh.intersection(self.older)
             self.known.update((w, self.older[w]) for w in again)
