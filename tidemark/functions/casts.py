@@ -18,10 +18,15 @@ _NO_NUMBER = r"(?i)\A\s*(?:[+-]?inf(?:inity)?|nan)\s*\z"
 _OTHER_BASE = r"(?i)\A\s*0(?:x([0-9a-f]+)|b([01]+))\s*\z"
 
 # The usual form, which Spark reads as it is.
-_USUAL_TIME = r"\A\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,9})?\s*)?\z"
-# Year, month, day by one kind of separator; hour, minute, second, fraction; a zone is read over.
-_ANY_TIME = (r"\A\s*(\d{1,6})([-/ \\])(\d{1,2})\2(\d{1,2})(?:(?:T| +)(\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:\.(\d*))?)?"
-             r"(?:\s*(?:Z|UTC|[+-]\d{1,2}(?::?\d{2})?))?\s*)?\z")
+_USUAL_TIME = r"\A\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T](?:[01]?\d|2[0-3]):\d{1,2}:\d{1,2}(?:\.\d{1,9})?\s*)?\z"
+# Year, month, day by one kind of separator; hour, minute, second, fraction; a zone is read over. Any other
+# text fits the second half, which has no groups.
+_ANY_TIME = (r"(?s)\A\s*(\d{1,6})([-/ \\])(\d{1,2})\2(\d{1,2})(?:(?:T| +)(\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:\.(\d{0,6})\d*)?)?"
+             r"(?:\s*(?:Z|UTC|[+-]\d{1,2}(?::?\d{2})?))?\s*)?\z|\A.+\z")
+# Every number gets zeros in front, of which the needless ones go again; without groups no time is left.
+_PADDED = "000$1-$3-$4 0$5:0$6:0$7.$80"
+_NEEDLESS = r"\A0+(?=\d{4})|(?<=[ :])0(?=\d\d)"
+_MIDNIGHT = r" 24:(0?0:0?0\.0+)\z"
 
 
 def _number(c: Column, form: str) -> Column:
@@ -52,20 +57,17 @@ def to_flag(c: Column) -> Column:
 
 
 def to_timestamp(c: Column) -> Column:
-    """Text (or a timestamp) to a zone-less timestamp. The usual form is tried first, alone."""
+    """Text (or a timestamp) to a zone-less timestamp.
+
+    The usual form is cast as it is; any other is first brought to that form by one replacement. Hour 24 is
+    the next day's midnight.
+    """
     text = c.cast("string")
-    part = lambda g: F.regexp_extract(text, _ANY_TIME, g)
-    or_zero = lambda g: F.when(part(g) == "", F.lit("0")).otherwise(part(g))
-    late = part(5) == "24"
-    year = F.when(F.length(part(1)) < 4, F.lpad(part(1), 4, "0")).when(F.length(part(1)) > 4, F.concat(F.lit("+"), part(1))).otherwise(part(1))
-    day = F.concat_ws("-", year, part(3), part(4))
-    time = F.concat(F.concat_ws(":", F.when(late, F.lit("0")).otherwise(or_zero(5)), or_zero(6), or_zero(7)), F.lit("."),
-                    F.substring(F.concat(part(8), F.lit("000000")), 1, 6))
-    read = F.concat_ws(" ", day, time).try_cast(T.TimestampNTZType())
-    midnight = (F.hour(read) == 0) & (F.minute(read) == 0) & (F.second(read) == 0) & ~part(8).rlike("[1-9]")
-    read = F.when(~late, read).when(midnight, read + F.expr("INTERVAL 1 DAY"))
-    return F.when(text.rlike(_USUAL_TIME) & ~text.rlike(r"[ T]24:"), text.try_cast(T.TimestampNTZType())).when(
-        text.rlike(_ANY_TIME), read).when(F.trim(text) == "epoch", F.lit("1970-01-01").cast(T.TimestampNTZType()))
+    form = F.regexp_replace(F.regexp_replace(text, _ANY_TIME, _PADDED), _NEEDLESS, "")
+    odd = F.regexp_replace(form, _MIDNIGHT, " 00:$1").try_cast(T.TimestampNTZType()) + F.make_dt_interval(
+        days=form.rlike(_MIDNIGHT).cast("int"))
+    return F.when(text.rlike(_USUAL_TIME), text.try_cast(T.TimestampNTZType())).when(
+        F.trim(text) == "epoch", F.lit("1970-01-01").cast(T.TimestampNTZType())).otherwise(odd)
 
 
 def finite(c: Column) -> Column:

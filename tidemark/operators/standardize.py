@@ -42,8 +42,8 @@ def to_silver(bronze: DataFrame, m: ModelSpec) -> DataFrame:
     The projection comes last so that only the columns a query needs are ranked and shuffled.
     """
     dated = bronze.where(F.col("year").between(m.first_year, m.last_year))
-    order = [casts.to_timestamp(F.col("updated_on")), F.col("ingested_at")]
-    latest = keep_latest(dated, "id", order, m.tie_breakers)
+    dated = dated.withColumn("_updated", casts.to_timestamp(F.col("updated_on")))  # read once, ranked and kept
+    latest = keep_latest(dated, "id", [F.col("_updated"), F.col("ingested_at")], m.tie_breakers)
     text = lambda c: F.col(c).cast("string").alias(c)
     return latest.select(
         F.col("id").alias("crime_id"),
@@ -61,7 +61,7 @@ def to_silver(bronze: DataFrame, m: ModelSpec) -> DataFrame:
         upper_code(F.col("fbi_code")).alias("fbi_code"),
         *[coordinate(c, m).alias(c) for c in COORDINATE_FIELDS[:2]],
         F.col("year"),
-        casts.to_timestamp(F.col("updated_on")).alias("updated_on"),
+        F.col("_updated").alias("updated_on"),
         *[coordinate(c, m).alias(c) for c in COORDINATE_FIELDS[2:]],
         F.col("ingested_at"),
         text("source_file"),

@@ -12,8 +12,8 @@ from ..functions import casts
 from ..functions.measures import count_where
 
 KEY = "id"
-# What decides between equally new versions where nothing else is named: few columns, because
-# every one named is read and ranked.
+# What decides between equally new versions where nothing else is named and rows are pruned: few columns,
+# because every one named is read and ranked. Enough where a table has one row per key.
 TIES = ("batch_id", "source_file", "case_number")
 
 
@@ -22,12 +22,18 @@ def _newest_first(df: DataFrame, order: list[Column], tie_breakers: tuple[str, .
     return [c.desc_nulls_last() for c in order] + [F.col(c).desc_nulls_last() for c in ties]
 
 
+def all_ties(df: DataFrame, key: str, first: tuple[str, ...] = ()) -> tuple[str, ...]:
+    """Every column but the key, the ones in ``first`` before the others: a total order of different rows."""
+    return first + tuple(c for c in df.columns if c != key and c not in first)
+
+
 def keep_latest(df: DataFrame, key: str, order: list[Column],
                 tie_breakers: tuple[str, ...] = ()) -> DataFrame:
     """One row per ``key``: the first by ``order`` descending, then by the tie-breakers.
 
     The filter on the row number becomes a group limit that runs before the shuffle, so
-    each task sends at most one version per key.
+    each task sends at most one version per key. Where rows with one key may tie in all of these, the
+    winner is undefined: name ``all_ties`` then.
     """
     newest = Window.partitionBy(key).orderBy(*_newest_first(df, order, tie_breakers))
     return (df.withColumn("_version", F.row_number().over(newest))
@@ -35,9 +41,14 @@ def keep_latest(df: DataFrame, key: str, order: list[Column],
 
 
 def latest_stage(records: DataFrame, tie_breakers: tuple[str, ...] = ()) -> DataFrame:
-    """A batch ready to merge: keyed rows only, newest version of each key."""
-    keyed = records.where(F.col(KEY).isNotNull())
-    return keep_latest(keyed, KEY, [casts.to_timestamp(F.col("updated_on"))], tie_breakers)
+    """A batch ready to merge: keyed rows only, newest version of each key.
+
+    Equally new versions are told apart by the tie-breakers, then by every column, all of which a batch carries
+    anyway: the result does not depend on how the batch is cut or in what order it is read.
+    """
+    keyed = records.where(F.col(KEY).isNotNull()).withColumn("_updated", casts.to_timestamp(F.col("updated_on")))
+    ties = all_ties(records, KEY, tie_breakers or tuple(c for c in TIES if c in records.columns))
+    return keep_latest(keyed, KEY, [F.col("_updated")], ties).drop("_updated")
 
 
 def _time(side: str) -> Column:

@@ -49,9 +49,9 @@ def bootstrap(spark: SparkSession, root: str, history: DataFrame, buckets: int,
 
     With one row per key the buckets are even, whatever the history's keys looked like.
     """
-    order = [casts.to_timestamp(F.col("updated_on"))]
-    newest = versions.keep_latest(history, "id", order, tie_breakers)
-    bronze = newest.select(*BRONZE_SCHEMA.names)
+    dated = history.withColumn("_updated", casts.to_timestamp(F.col("updated_on")))
+    ties = versions.all_ties(history, "id", tie_breakers)
+    bronze = versions.keep_latest(dated, "id", [F.col("_updated")], ties).select(*BRONZE_SCHEMA.names)
     run_id = f"bootstrap-{uuid.uuid4()}"
     ref = snapshots.write_keyed([snapshots.by_bucket(bronze, "id", buckets)],
                                 root, run_id, BRONZE, "id", buckets)
