@@ -1,6 +1,10 @@
 """Snapshots, refresh runs, exports and the continuous upsert."""
 
 import json
+import os
+import random
+import re
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -150,7 +154,7 @@ def test_rewriting_does_not_multiply_files(spark, root):
         ref = snapshots.resolve(snapshots.current(spark, root), BRONZE)
         stage = snapshots.read_table(spark, snapshots.write_table(
             history(spark, i, 100 + i, 200 + i, 300 + i), root, f"s{i}", "stage"))
-        merged = refresh.merge_batch(spark, snapshots.read_table(spark, ref), stage, root, f"r{i}", ref)
+        merged, _ = refresh.merge_batch(spark, stage, root, f"r{i}", ref)
         snapshots.promote(spark, root, f"r{i}", snapshots.current(spark, root), {BRONZE: merged})
     table = snapshots.read_current(spark, root, BRONZE)
     assert table.count() == 49 + 1 + 4 * 3 and len(table.inputFiles()) <= 2 * 4
@@ -332,3 +336,72 @@ def test_inventory(spark):
     assert (row.row_count, row.range_start, row.range_end) == (2, "2024-03-05 14:30:00", "2024-05-01 00:00:00")
     assert [c.name for c in row.columns] == SILVER_SCHEMA.names and row.columns[2].type == "TIMESTAMP"
     assert len(BRONZE_SCHEMA) == 25
+
+
+# --- touched buckets ---------------------------------------------------------------
+
+
+def files_of(df):
+    """Path, size and time of each file, by which one that was written again is seen."""
+    return {p: (os.path.getsize(q), os.stat(q).st_mtime_ns) for p in df.inputFiles() for q in [p.replace("file://", "")]}
+
+
+def test_only_touched_buckets_are_read_and_written(spark, root):
+    refresh.bootstrap(spark, root, history(spark, *range(200)), 16)
+    ref = snapshots.resolve(snapshots.current(spark, root), BRONZE)
+    before = files_of(snapshots.read_table(spark, ref))
+    stage = snapshots.read_table(spark, snapshots.write_table(
+        bronze(spark, dict(id=3, updated_on="2024-03-02 00:00:00", block="n"), dict(id=1000)), root, "s", "stage"))
+    merged, touched = refresh.merge_batch(spark, stage, root, "r", ref)
+    assert touched == sorted({r[0] for r in stage.select(snapshots.bucket_of("id", 16)).collect()}) and 0 < len(touched) <= 2
+    read = snapshots.read_table(spark, ref, touched)
+    text = read._jdf.queryExecution().executedPlan().toString()
+    listed = re.search(r"PartitionFilters: \[([^\]]*\])", text).group(1)
+    assert "_bucket" in listed and all(str(b) in listed for b in touched)
+    assert len(read.inputFiles()) == len(touched)
+    after = files_of(snapshots.read_table(spark, merged))
+    kept = {p: v for p, v in after.items() if p in before}
+    assert len(kept) == len(before) - len(touched) and all(before[p] == v for p, v in kept.items())
+    assert files_of(snapshots.read_table(spark, ref)) == before  # readers of the old version see it unchanged
+    assert dict(values(snapshots.read_table(spark, merged), "id", "block")) == {**{i: "B" for i in range(200)}, 3: "n", 1000: "B"}
+
+
+def test_layers_kept_up_by_deltas_equal_a_rebuild(spark, root, tmp_path):
+    """Random batches with corrections, moves between years, types, districts and cells, and an empty batch."""
+    rng = random.Random(11)
+    start = [dict(id=i, updated_on="2024-01-01 00:00:00", primary_type=rng.choice("XYZ"), arrest=rng.random() < 0.5,
+                  year=2024, latitude=41.6 + rng.randrange(3) / 1000, longitude=-87.6) for i in range(40)]
+    refresh.bootstrap(spark, root, bronze(spark, *start), 8)
+    for turn in range(4):
+        landing = tmp_path / f"in{turn}"
+        made = []
+        for _ in range(0 if turn == 3 else 12):
+            year, located = rng.choice([2023, 2024, 2024, 2025]), rng.random() < 0.5
+            made.append(record(rng.randrange(60), f"2024-0{turn + 2}-{rng.randrange(10, 28)}T00:00:00.000",
+                               primary_type=rng.choice("XYZ"), arrest=rng.random() < 0.5, year=str(year), date=f"{year}-03-05T14:30:00.000",
+                               latitude="41.601" if located else None, longitude="-87.6" if located else None, district=rng.choice(["001", "013", None])))
+        land(landing, *made)
+        refresh.run(spark, RefreshConfig(root, str(landing), start_year=2020))
+        refs = snapshots.current(spark, root).tables
+        stored = snapshots.read_table(spark, refs[BRONZE])
+        silver_now = snapshots.read_table(spark, refs[SILVER])
+        whole = refresh.to_silver(stored, RefreshConfig(root, "").model)
+        assert sorted(map(str, silver_now.collect())) == sorted(map(str, whole.collect()))
+        for name, frame in rollups.gold_tables(whole, RefreshConfig(root, "").model).items():
+            kept = snapshots.read_table(spark, refs[name])
+            assert kept.schema.simpleString() == frame.schema.simpleString()
+            assert sorted(map(str, kept.collect())) == sorted(map(str, frame.collect())), (turn, name)
+    runs = {p for p in snapshots.resolve(snapshots.current(spark, root), SILVER).runs if p}
+    assert len(runs) > 1  # buckets of several runs make up the table
+
+
+def test_another_model_rebuilds_all_layers(spark, root, tmp_path):
+    refresh.bootstrap(spark, root, history(spark, *range(30)), 4)
+    land(tmp_path / "in", record(1))
+    refresh.run(spark, RefreshConfig(root, str(tmp_path / "in")))
+    assert snapshots.read_current(spark, root, SILVER).count() == 30
+    (tmp_path / "none").mkdir()
+    narrow = replace(RefreshConfig(root, "").model, first_year=2024, void_coordinate_ids=(5,))
+    refresh.run(spark, RefreshConfig(root, str(tmp_path / "none"), model=narrow))
+    ref = snapshots.resolve(snapshots.current(spark, root), SILVER)
+    assert len({p for p in ref.runs if p}) == 1 and snapshots.read_table(spark, ref).where("crime_id = 5").first().latitude is None

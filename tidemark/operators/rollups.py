@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import calendar as cal
-from ..functions.measures import count_where, grid_bin, outcome_measures
+from ..functions.measures import count_where, grid_bin, outcome_measures, rate_pct
 from ..spec import ModelSpec
 from .standardize import area_district, cube_community, cube_district
 
@@ -71,6 +71,21 @@ def gold_tables(silver: DataFrame, m: ModelSpec) -> dict[str, DataFrame]:
     return {name: build(silver, m) for name, (build, _) in GOLD.items()}
 
 
+def maintained(name: str, stored: DataFrame, gone: DataFrame, come: DataFrame, m: ModelSpec) -> DataFrame:
+    """The Gold table ``name`` after rows ``gone`` of Silver were replaced by rows ``come``.
+
+    Counts are additive, so the old rows' roll-up is taken off the stored one and the new rows' is added; a
+    group without records goes. Rates follow from the counts. Equal to a rebuild, without reading the rest of Silver.
+    """
+    build, grain = GOLD[name]
+    sign = lambda df, by: df.withColumns({c: F.col(c) * by for c in ("total_crimes", "total_arrests")})
+    signed = stored.unionByName(sign(build(come, m), 1)).unionByName(sign(build(gone, m), -1))
+    total, arrests = F.sum("total_crimes"), F.sum("total_arrests")
+    counted = signed.groupBy(*grain).agg(
+        total.alias("total_crimes"), arrests.alias("total_arrests"), rate_pct(arrests, total).alias("arrest_rate"))
+    return counted.where(F.col("total_crimes") > 0)
+
+
 # --- cubes -------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -58,16 +59,16 @@ def bootstrap(spark: SparkSession, root: str, history: DataFrame, buckets: int,
     return snapshots.promote(spark, root, run_id, snapshots.current(spark, root), {BRONZE: ref})
 
 
-def merge_batch(spark: SparkSession, bronze: DataFrame, stage: DataFrame, root: str,
-                run_id: str, ref: TableRef) -> TableRef:
-    """Write Bronze with a staged batch merged in.
+def merge_batch(spark: SparkSession, stage: DataFrame, root: str, run_id: str, ref: TableRef) -> tuple[TableRef, list[int]]:
+    """Merge a staged batch into Bronze: the new Bronze and the buckets it rewrote.
 
-    The rows Bronze has already keep their bucket and are not shuffled when the batch is small;
-    only the new rows are sent to their buckets.
+    Only buckets that hold a key of the batch are read and written. The rows they have already keep their
+    bucket and are not shuffled when the batch is small; only the new rows are sent to their buckets.
     """
-    kept, added = versions.merge_parts(bronze, stage)
+    touched = snapshots.touched_buckets(stage, "id", ref)
+    kept, added = versions.merge_parts(snapshots.read_table(spark, ref, touched), stage)
     return snapshots.write_keyed([kept, snapshots.by_bucket(added, "id", ref.buckets)],
-                                 root, run_id, BRONZE, "id", ref.buckets)
+                                 root, run_id, BRONZE, "id", ref.buckets, ref, touched), touched
 
 
 def stage_batch(spark: SparkSession, records: DataFrame, root: str, run_id: str,
@@ -83,18 +84,34 @@ def _checked(results: DataFrame, root: str, run_id: str, name: str) -> TableRef:
     return snapshots.write_table(ordered, root, run_id, name)
 
 
-def build_layers(spark: SparkSession, bronze: DataFrame, root: str, run_id: str, m: ModelSpec,
-                 buckets: int, record: runlog.RunRecord) -> dict[str, TableRef]:
-    """Silver, its gate, Gold, its gate; returns what to publish or raises."""
-    refs = {SILVER: snapshots.write_keyed([to_silver(bronze, m)], root, run_id, SILVER,
-                                          "crime_id", buckets)}
+def _stamp(m: ModelSpec) -> str:
+    return hashlib.md5(repr(m).encode()).hexdigest()
+
+
+def build_layers(spark: SparkSession, bronze_ref: TableRef, root: str, run_id: str, m: ModelSpec,
+                 parent: Manifest, touched: list[int], record: runlog.RunRecord) -> dict[str, TableRef]:
+    """Silver, its gate, Gold, its gate; returns what to publish or raises.
+
+    Where the published layers were made with the same model from the same buckets, Silver is derived for the
+    ``touched`` buckets only, and Gold takes off what these buckets gave before and adds what they give now.
+    """
+    bronze, buckets, before = snapshots.read_table(spark, bronze_ref), bronze_ref.buckets, parent.tables.get(SILVER)
+    partly = before is not None and (before.stamp, before.buckets) == (_stamp(m), buckets) and all(
+        name in parent.tables for name in rollups.GOLD)
+    some = touched if partly else None
+    derived = to_silver(snapshots.read_table(spark, bronze_ref, some), m)
+    refs = {SILVER: snapshots.write_keyed([derived], root, run_id, SILVER, "crime_id", buckets, before, some, _stamp(m))}
     silver = snapshots.read_table(spark, refs[SILVER])
     record.silver_rows_after = silver.count()
     name = "silver_quality_results"
     refs[name] = _checked(quality.silver_checks(bronze, silver, m), root, run_id, name)
     quality.gate(snapshots.read_table(spark, refs[name]), quality.SILVER_FAILED)
 
-    frames = rollups.gold_tables(silver, m)
+    if partly:
+        gone, come = snapshots.read_table(spark, before, touched), snapshots.read_table(spark, refs[SILVER], touched)
+        frames = {n: rollups.maintained(n, snapshots.read_table(spark, parent.tables[n]), gone, come, m) for n in rollups.GOLD}
+    else:
+        frames = rollups.gold_tables(silver, m)
     refs.update(zip(frames, together([
         lambda n=n, f=f: snapshots.write_table(f, root, run_id, n) for n, f in frames.items()])))
     gold = {name: snapshots.read_table(spark, refs[name]) for name in frames}
@@ -120,16 +137,17 @@ def _refresh(spark: SparkSession, cfg: RefreshConfig, record: runlog.RunRecord)
     record.api_records_fetched = changed.count()
 
     refs: dict[str, TableRef] = {}
+    touched: list[int] = []
     if record.api_records_fetched:
         stamped = intake.stamp_lineage(changed, record.batch_id, cfg.source, record.started_at)
         stage = stage_batch(spark, stamped, root, run_id, m)
         record.stage_rows = stage.count()
         counts = versions.change_counts(bronze, stage).first()
         record.rows_inserted, record.rows_updated, record.overlap_rows = counts
-        refs[BRONZE] = merge_batch(spark, bronze, stage, root, run_id, ref)
-        bronze = snapshots.read_table(spark, refs[BRONZE])
+        ref, touched = merge_batch(spark, stage, root, run_id, ref)
+        refs[BRONZE], bronze = ref, snapshots.read_table(spark, ref)
 
-    refs.update(build_layers(spark, bronze, root, run_id, m, ref.buckets, record))
+    refs.update(build_layers(spark, ref, root, run_id, m, parent, touched, record))
     after = bronze.agg(F.count(F.lit(1)).alias("n"),
                        F.max(casts.to_timestamp(F.col("updated_on"))).alias("newest")).first()
     record.bronze_rows_after, record.watermark_after = after

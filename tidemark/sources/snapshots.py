@@ -5,8 +5,9 @@ manifest. Readers resolve tables through the newest manifest, so a run that fail
 leaves nothing behind that anyone reads. There is one writer at a time; a second one is noticed, and
 if two publish the same version, neither counts and readers keep the version before.
 
-Keyed tables are bucketed by their key. Ranking versions, checking keys and merging a batch then
-need no shuffle of the table, only of what joins it.
+Keyed tables are bucketed by their key, and each bucket is a partition with a folder of its own. Ranking
+versions, checking keys and merging a batch need no shuffle of the table, only of what joins it. A run writes
+only the buckets it touches; the manifest says for every bucket which run's folder is current.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from contextlib import contextmanager
 from dataclasses import astuple, dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+BUCKET = "_bucket"  # the partition column of keyed tables; their own columns have other names
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("run_id", T.StringType()),
@@ -27,6 +29,8 @@ MANIFEST_SCHEMA = T.StructType([
         T.StructField("schema", T.StringType()),
         T.StructField("key", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
+        T.StructField("runs", T.ArrayType(T.StringType())),
+        T.StructField("stamp", T.StringType()),
     ]))),
 ])
 
@@ -41,13 +45,15 @@ class ConcurrentPublish(RuntimeError):
 
 @dataclass(frozen=True)
 class TableRef:
-    """Where a table is, its schema as JSON (an empty table has no file to read it from) and its
-    bucketing."""
+    """Where a table is, its schema as JSON (an empty table has no file to read it from) and, of a keyed
+    one, its bucketing, the folder that holds each bucket (None: no rows) and what it was derived with."""
 
     path: str
     schema: str
     key: str | None = None
     buckets: int | None = None
+    runs: tuple[str | None, ...] | None = None
+    stamp: str | None = None
 
 
 @dataclass(frozen=True)
@@ -69,23 +75,39 @@ def write_table(df: DataFrame, root: str, run_id: str, name: str) -> TableRef:
     return ref
 
 
-def write_keyed(parts: list[DataFrame], root: str, run_id: str, name: str, key: str,
-                buckets: int) -> TableRef:
-    """Write ``parts`` as one table bucketed by ``key``.
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket Spark puts a key into."""
+    return F.pmod(F.hash(F.col(key)), F.lit(buckets))
+
+
+def touched_buckets(batch: DataFrame, key: str, ref: TableRef) -> list[int]:
+    """Buckets of a keyed table that hold a key of ``batch`` or would."""
+    return sorted(r[0] for r in batch.select(bucket_of(key, ref.buckets)).distinct().collect())
+
+
+def write_keyed(parts: list[DataFrame], root: str, run_id: str, name: str, key: str, buckets: int,
+                over: TableRef | None = None, touched: list[int] | None = None, stamp: str | None = None) -> TableRef:
+    """Write ``parts`` as one table bucketed by ``key``, or as the ``touched`` buckets of ``over``.
 
     Parts are written one after the other instead of as a union, which would forget how the
     larger one is partitioned. Each part should come partitioned by its key or be small. What is
     read from a keyed table is read bucket by bucket, so that a bucket stays one file per part
-    however often the table is rewritten.
+    however often the table is rewritten. Files of buckets that are not touched stay as they are.
     """
-    ref = TableRef(f"{run_folder(root, run_id)}/{name}", parts[0].schema.json(), key, buckets)
+    path = f"{run_folder(root, run_id)}/{name}"
+    schema = parts[0].schema.json()
     table = f"tidemark_{uuid.uuid4().hex}"
-    with _whole_buckets(parts[0].sparkSession):
+    spark = parts[0].sparkSession
+    with _whole_buckets(spark):
         for position, part in enumerate(parts):
-            (part.write.format("parquet").mode("append" if position else "error")
-             .bucketBy(buckets, key).option("path", ref.path).saveAsTable(table))
-        parts[0].sparkSession.sql(f"DROP TABLE {table}")  # a name only; the files are outside
-    return ref
+            (part.withColumn(BUCKET, bucket_of(key, buckets)).write.format("parquet").mode("append" if position else "error")
+             .partitionBy(BUCKET).bucketBy(buckets, key).option("path", path).saveAsTable(table))
+        written = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        spark.sql(f"DROP TABLE {table}")  # a name only; the files are outside
+    runs = list(over.runs) if over and touched is not None else [None] * buckets
+    for bucket in range(buckets) if touched is None else touched:
+        runs[bucket] = path if bucket in written else None
+    return TableRef(path, schema, key, buckets, tuple(runs), stamp)
 
 
 @contextmanager
@@ -106,22 +128,28 @@ def by_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 
 def _name(ref: TableRef) -> str:
-    return "tidemark_" + uuid.uuid5(uuid.NAMESPACE_URL, ref.path).hex
+    return "tidemark_" + uuid.uuid5(uuid.NAMESPACE_URL, json.dumps([ref.path, ref.runs])).hex
 
 
-def read_table(spark: SparkSession, ref: TableRef) -> DataFrame:
-    """A written table; a bucketed one is announced to the catalog with its bucketing."""
+def read_table(spark: SparkSession, ref: TableRef, only: list[int] | None = None) -> DataFrame:
+    """A written table; a bucketed one is announced to the catalog with its bucketing and the folder of each
+    bucket. With ``only`` a keyed table's other buckets are not read."""
     schema = T.StructType.fromJson(json.loads(ref.schema))
     if ref.key is None:
         return spark.read.schema(schema).parquet(ref.path)
     table = _name(ref)
+    quoted = lambda path: path.replace("'", "\\'")
     if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                            for f in schema.fields)
-        location = ref.path.replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet "
-                  f"CLUSTERED BY (`{ref.key}`) INTO {ref.buckets} BUCKETS LOCATION '{location}'")
-    return spark.table(table)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
+                  f"CLUSTERED BY (`{ref.key}`) INTO {ref.buckets} BUCKETS LOCATION '{quoted(ref.path)}'")
+        places = [f"PARTITION ({BUCKET}={i}) LOCATION '{quoted(path)}/{BUCKET}={i}'" for i, path in enumerate(ref.runs) if path]
+        if places:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(places)}")
+    found = spark.table(table)
+    if only is not None:
+        found = found.where(F.col(BUCKET).isin(only))
+    return found.drop(BUCKET)
 
 
 def _manifests(root: str) -> str:
@@ -153,7 +181,7 @@ def current(spark: SparkSession, root: str) -> Manifest:
     row, highest = found["manifest"], found["highest"] or 0
     if row is None:
         return Manifest(highest=highest)
-    tables = {name: TableRef(*t) for name, t in row["tables"].items()}
+    tables = {name: TableRef(*t[:4], tuple(t["runs"]) if t["runs"] else None, t["stamp"]) for name, t in row["tables"].items()}
     return Manifest(row["version"], row["run_id"], tables, highest)
 
 
@@ -164,7 +192,8 @@ def stale_tables(spark: SparkSession, root: str, keep: int) -> DataFrame:
     if rows is None:
         return spark.createDataFrame([], "path string")
     named = _valid(rows).select("version", F.when(F.col("n") == 1, F.col("version")).alias("good"),
-                                F.explode(F.transform(F.map_values("manifest.tables"), lambda t: t["path"])).alias("path"))
+                                F.explode(F.flatten(F.transform(
+                                    F.map_values("manifest.tables"), lambda t: F.array_compact(F.coalesce(t["runs"], F.array(t["path"])))))).alias("path"))
     kept = (_valid(rows).where("n = 1").orderBy(F.desc("version")).limit(keep)
             .agg(F.min("version")).scalar())
     per = named.groupBy("path").agg(F.max("good").alias("last"))

@@ -28,7 +28,7 @@ def upsert_batch(batch: DataFrame, epoch: int, root: str, stream: str, source: s
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     stamped = intake.stamp_lineage(batch, f"{stream}_{epoch}", source, now)
     stage = stage_batch(spark, stamped, root, run_id, m)
-    merged = merge_batch(spark, snapshots.read_table(spark, ref), stage, root, run_id, ref)
+    merged, _ = merge_batch(spark, stage, root, run_id, ref)
     snapshots.promote(spark, root, run_id, parent, {BRONZE: merged})
 
 
