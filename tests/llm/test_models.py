@@ -1,6 +1,7 @@
 """Language identification, pieces, pages and neighbours."""
 
 import random
+import time
 
 import cases
 import numpy as np
@@ -149,6 +150,49 @@ def test_page_names_lower_only(page, text):
     assert pages.main_text(page) == text
 
 
+SAID = ("they said " * 45).strip()
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f'<article><p>{LONG}</p><div class="comments"><p>{SAID}</p></div></article>', LONG),
+    (f'<div id="content"><p>{LONG}</p></div><div id="comments"><p>{SAID}</p><p>{SAID}</p><p>{SAID}</p></div>', LONG),
+    (f'<article><p>{LONG}</p></article><ul class="commentlist"><li>{SAID}</li><li>{SAID}</li></ul>', LONG),
+    (f'<article><p>{LONG}</p><div class="advert">{SAID}</div><p>{TALE}</p></article>', f"{LONG} {TALE}"),
+    (f'<div class="cookie-consent"><p>{SAID}</p></div><div id="content"><p>{LONG}</p></div>', LONG),
+    (f'<article><p class="newsletter-box">{SAID}</p><p>{LONG}</p></article>', LONG),
+    # What a name only touches, the page's only text, and a wrapper around the article stay.
+    (f'<div class="has-comments"><p>{LONG}</p></div>', LONG), (f'<div class="notice"><p>{LONG}</p></div><p>by us</p>', f"{LONG} by us"),
+    (f'<div class="subscription"><article>{LONG}</article></div><p>{TALE}</p>', f"{LONG} {TALE}"),
+    (f'<div class="notice-of-meeting"><p>{LONG}</p><p>{LONG}</p></div>', f"{LONG} {LONG}"),
+])
+def test_parts_that_are_plainly_no_text(page, text):
+    assert pages.main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", ['<div class="ad">', '<div class="ad">x', "<ul><li>", "<article><div>", "<article></article><nav>", "</section><div hidden>",
+                                  '<div class="comments"><p>x</p>'])
+def test_hostile_pages_take_linear_time(unit):
+    began = time.process_time()
+    pages.main_text(unit * ((1 << 20) // len(unit)))
+    assert time.process_time() - began < 15
+
+
+def test_window_sums_equal_brute_force():
+    """Surge and dive by looking at every window by itself."""
+    rng = random.Random(6)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, 20, 50, 90, 200]) for _ in range(rng.randrange(1, 25))]
+        page = "".join(f"<p>{'x' * n}</p>" if n else "<p><a>link</a></p>" for n in sizes)
+        sums = [sum(sizes[i:i + 3]) for i in range(len(sizes))]
+        least = min(80, 0.5 * max(sums)) or 1
+        want, inside = [], False
+        for n, total in zip(sizes, sums):
+            inside = (total >= least and n > 0) if not inside else total > 0 and (total >= least or n > 0)
+            if inside and n:
+                want.append("x" * n)
+        assert pages.main_text(page) == " ".join(want)
+
+
 def test_page_query(spark):
     d = spark.createDataFrame([(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>é🎉</p>", "y"), (2, "v", "<p>" + "z " * 100000, "q")],
                               "page_id long, url string, html string, text string")

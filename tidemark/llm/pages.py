@@ -2,8 +2,9 @@
 
 Markup is stripped to lines, one per block of the page, each with the length of its text outside
 links. Blocks in elements that are menus, headers, footers, asides or forms by their kind weigh nothing;
-blocks of a marked article weigh more. A part that only its class, id or role names as a notice, advert,
-comments or the like weighs less, and nothing where its lines are short or links too; one that holds most
+blocks of a marked article weigh more. A part whose class or id is plainly that of comments, an advert or a
+notice weighs nothing, however long it is, unless there is hardly any other text. Other names (a sidebar, a
+share bar) only lower a part's weight, to nothing where its lines are short or links too; one that holds most
 of the text is taken like any other. Weights are summed over a sliding
 window of lines, which does not reach over an article's border. Where a window's sum surges over a
 threshold, text begins; where the lines fall to nothing for as long as a window, it ends; what lies
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,6 +59,11 @@ NAMED = ("ad ads advert adverts advertisement advertisements advertising adsense
          "footer masthead topbar toolbar cookie cookies consent gdpr notice popup modal overlay newsletter subscribe "
          "subscription signup login share sharing social comment comments commentlist disqus replies respond "
          "complementary contentinfo search alert disclaimer").split()
+# Those of them that are never text when a class or id consists of nothing else, and words that may stand beside them.
+PLAINLY = ("ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored promo promotion cookie cookies "
+           "consent gdpr notice popup newsletter subscribe subscription signup login comment comments commentlist disqus replies "
+           "respond").split()
+BESIDE = "area box block list section thread wrapper container bar banner form item items content body slot unit top bottom the".split()
 NAMED_PARTS = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
@@ -83,18 +90,32 @@ def _words(name: str, attributes: str) -> set[str]:
     return {w.lower() for a, v in ATTRIBUTE.findall(attributes) if a.lower() in ("class", "id", "role") for w in NAMED_PARTS.split(v)} & _NAMED
 
 
-def _closed(page: str, name: str, at: int) -> bool:
-    """Whether the element whose content begins at ``at`` has its own end tag."""
-    depth = 1
-    for m in TAG.finditer(page, at):
-        if (m[2] or m[5] or "").lower() == name:
-            depth += -1 if m[1] or m[4] else 1
-            if not depth:
+def _plainly(attributes: str) -> bool:
+    """Whether a class or id names comments, an advert or a notice and nothing else."""
+    for attribute, value in ATTRIBUTE.findall(attributes):
+        for token in value.strip("\"'").split() if attribute.lower() in ("class", "id") else ():
+            words = [w.lower() for w in NAMED_PARTS.split(token) if w]
+            if not _PLAINLY.isdisjoint(words) and all(w in _PLAINLY or w in _BESIDE for w in words):
                 return True
     return False
 
 
+def _closed(page: str) -> set[int]:
+    """Where the content begins of each element that has its own end tag."""
+    found: set[int] = set()
+    begun: dict[str, list[int]] = {}
+    for m in TAG.finditer(page):
+        name = (m[2] or m[5] or "").lower()
+        if name in _NEST:
+            if not (m[1] or m[4]):
+                begun.setdefault(name, []).append(m.end())
+            elif begun.get(name):
+                found.add(begun[name].pop())
+    return found
+
+
 _NAMED, _RAW, _BLOCK, _NEST = frozenset(NAMED), frozenset(RAW), frozenset(BLOCK), frozenset(NEST)
+_PLAINLY, _BESIDE = frozenset(PLAINLY), frozenset(BESIDE)
 
 
 @dataclass
@@ -106,6 +127,7 @@ class Part:
     around: int = -1
     article: int = -1
     comments: bool = False
+    plainly: bool = False
     end: int = -1
 
 
@@ -119,7 +141,6 @@ class Open:
     at: int
     named: int
     article: int
-    closed: bool | None = None
 
 
 def lines(page: str) -> tuple[list[tuple[str, int, bool, int, int]], list[Part], list[Part]]:
@@ -136,7 +157,10 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, int, int]], list[Part],
     text: list[str] = []
     linked: list[str] = []
     stack: list[Open] = []
-    apart = held = False
+    open_names: Counter = Counter()
+    closed: set[int] | None = None
+    entered = held = 0  # containers that an article went through already, and those set apart
+    apart = False
     article = part = single = -1
     links = 0
     at = 0
@@ -165,18 +189,21 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, int, int]], list[Part],
         return (stack[-1].named, stack[-1].article) if stack else (-1, -1)
 
     def enter_article() -> None:
-        for s in stack:
-            if (s.apart or s.words) and s.closed is None:
-                s.closed = _closed(page, s.name, s.at)
-            s.apart = s.apart and s.name in KEEPING and s.closed
-            if s.words and s.closed:
+        nonlocal closed, entered, held
+        if closed is None:
+            closed = _closed(page)
+        now = stack[entered - 1].named if entered else -1
+        for s in stack[entered:]:
+            whole = s.at in closed
+            if s.apart and not (s.name in KEEPING and whole):
+                s.apart, held = False, held - 1
+            if s.words and whole:
                 named[s.named].comments |= not s.words.isdisjoint(REMARKS)
             elif s.words:
                 close(s)
                 s.words = set()
-        now = -1
-        for s in stack:
             now = s.named = s.named if s.words else now
+        entered = len(stack)
 
     while True:
         m = TAG.search(page, at)
@@ -209,12 +236,14 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, int, int]], list[Part],
             named[single].end, single = len(out), -1
         if name in _NEST:
             if closing:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].name == name:
-                        for s in stack[i:]:
-                            close(s)
-                        del stack[i:]
+                while open_names[name]:
+                    s = stack.pop()
+                    close(s)
+                    open_names[s.name] -= 1
+                    held -= s.apart
+                    if s.name == name:
                         break
+                entered = min(entered, len(stack))
             else:
                 if name in ARTICLE and around()[1] < 0:
                     enter_article()
@@ -222,20 +251,21 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, int, int]], list[Part],
                 new = Open(name, _apart(name, attributes, article >= 0), _words(name, attributes), at, part, article)
                 if new.words:
                     new.named = len(named)
-                    named.append(Part(len(out), part, article))
+                    named.append(Part(len(out), part, article, plainly=_plainly(attributes)))
                 if name in ARTICLE:
                     new.article = len(articles)
                     articles.append(Part(len(out)))
                 stack.append(new)
-            held = any(s.apart for s in stack)
-        apart = held
+                open_names[name] += 1
+                held += new.apart
+        apart = held > 0
         part, article = around()
         if name not in _NEST and not closing:
             # A single block: set apart or named until the next block begins.
             apart = apart or _apart(name, attributes, article >= 0)
             if _words(name, attributes):
                 single = len(named)
-                named.append(Part(len(out), part, article))
+                named.append(Part(len(out), part, article, plainly=_plainly(attributes)))
                 part = single
     if at < len(page) and m is None:
         put(page[at:])
@@ -258,13 +288,16 @@ def _weights(page: str, config: PageConfig) -> tuple[list[str], list[int], list[
             surge_at[i] = i if begin[min(i + k, n)] - begin[i] >= least else surge_at[i + 1]
         marks = Counter(b[4] for b in blocks if b[3] >= 0 and not b[2])
         total = begin[n] + config.raised * marks[-1]
+        starts = sorted(a.start for a in articles)
     for p in named:
         before = times[p.around] if p.around >= 0 else 1
         own = begin[p.end] - begin[p.start]
         scope = articles[p.article] if p.article >= 0 else None
         all_text = begin[scope.end] - begin[scope.start] if scope else total
         long = surge_at[p.start] <= p.end - k if p.end - p.start >= k else own >= least
-        if before == 0:
+        other = begin[scope.end] - begin[scope.start] - own if scope else begin[n] - own
+        holds = scope is None and not p.comments and bisect_left(starts, p.end) > bisect_left(starts, p.start)  # the page's own article
+        if before == 0 or p.plainly and not holds and other >= config.surge:
             times.append(0)
         elif 2 * own > all_text:
             times.append(before)
