@@ -5,7 +5,7 @@ import os
 import random
 import re
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -405,3 +405,27 @@ def test_another_model_rebuilds_all_layers(spark, root, tmp_path):
     refresh.run(spark, RefreshConfig(root, str(tmp_path / "none"), model=narrow))
     ref = snapshots.resolve(snapshots.current(spark, root), SILVER)
     assert len({p for p in ref.runs if p}) == 1 and snapshots.read_table(spark, ref).where("crime_id = 5").first().latitude is None
+
+
+def test_only_unread_arrivals_are_read(spark, root, tmp_path):
+    refresh.bootstrap(spark, root, history(spark, 99), 4)
+    landing = tmp_path / "in"
+    cfg = RefreshConfig(root, str(landing), arrival="arrival_date")
+    day = lambda back: f"arrival_date={datetime.now(timezone.utc).date() - timedelta(days=back)}"
+    land(landing / day(40), record(1))
+    land(landing / day(39), record(2))
+    assert refresh.run(spark, cfg).first().api_records_fetched == 2  # nothing read before: all folders
+    land(landing / day(40), record(50), name="never")  # not what its folder says
+    land(landing / day(1), record(3), name="late")  # within the overlap
+    land(landing / day(0), record(4))
+    assert refresh.run(spark, cfg).first().api_records_fetched == 2
+    assert sorted(r.id for r in snapshots.read_current(spark, root, BRONZE).collect()) == [1, 2, 3, 4, 99]
+    since = refresh._unread_since(spark, cfg)
+    read = intake.read_landing(spark, str(landing), arrival="arrival_date", since=since)
+    text = read._jdf.queryExecution().executedPlan().toString()
+    assert "arrival_date" in re.search(r"PartitionFilters: \[([^\]]*)\]", text).group(1) and tuple(read.columns) == SOURCE_FIELDS
+    assert len(read.inputFiles()) == 5 and read.count() == 2
+    # Without the column, or for another pipeline, everything is read.
+    assert intake.read_landing(spark, str(landing)).count() == 5
+    assert refresh._unread_since(spark, replace(cfg, pipeline_name="other")) is None
+    assert refresh._unread_since(spark, replace(cfg, arrival=None)) is None

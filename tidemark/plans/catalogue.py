@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -88,6 +88,17 @@ def _(spark, sf):
         fixture.bronze(spark, sf), mark.select("watermark").scalar(), 2001)
 
 
+@query("s1_pruned_landing")
+def _(spark, sf):
+    # Landed in folders by the month of arrival; a later run reads those from one date on.
+    folder = scratch_path(spark, "arrivals")
+    arrived = fixture.bronze(spark, sf).withColumn("arrival_date", F.trunc("ingested_at", "month"))
+    arrived.select(*[c for c in SOURCE_FIELDS if c != "location"], "arrival_date").write.partitionBy("arrival_date").json(folder)
+    landed = intake.type_bronze(intake.read_landing(spark, folder, arrival="arrival_date", since=date(2001, 3, 1)))
+    return landed.groupBy("year", "primary_type").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("id").alias("ids"), F.max("updated_on").alias("newest"))
+
+
 @query("s2_stamped_intake")
 def _(spark, sf):
     records = intake.with_source_fields(fixture.bronze(spark, sf))

@@ -214,6 +214,9 @@ WHERE CAST(updated_on AS TIMESTAMP) >= (
     SELECT max(CAST(updated_on AS TIMESTAMP)) - INTERVAL '8760' HOUR
     FROM bronze WHERE source_file <> 'src-0')
   AND year >= 2001""")
+_sql("s1_pruned_landing", "bronze", """
+SELECT year, primary_type, count(*) AS records, count(DISTINCT id) AS ids, max(updated_on) AS newest
+FROM bronze WHERE CAST(ingested_at AS DATE) >= DATE '2001-03-01' GROUP BY ALL""")
 _sql("s2_stamped_intake", "bronze", """
 SELECT id, case_number, date, block, iucr, primary_type, description, location_description, arrest,
   domestic, beat, district, ward, community_area, fbi_code, x_coordinate, y_coordinate, year,

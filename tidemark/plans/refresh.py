@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,6 +38,9 @@ class RefreshConfig:
     target_database: str = "default"
     model: ModelSpec = field(default_factory=ModelSpec)
     start_year: int | None = None  # extraction only; default: the model's first year
+    # Partition column of the landing area, the date a file arrived. Folders that the last successful run of this
+    # pipeline name, less the overlap, has seen are not read again; one landing area per pipeline name.
+    arrival: str | None = None
 
 
 def _now() -> datetime:
@@ -123,6 +126,12 @@ def build_layers(spark: SparkSession, bronze_ref: TableRef, root: str, run_id: s
     return refs
 
 
+def _unread_since(spark: SparkSession, cfg: RefreshConfig) -> date | None:
+    """The first arrival date that may hold files no successful run has read."""
+    last = runlog.last_success(spark, cfg.root, cfg.pipeline_name) if cfg.arrival else None
+    return None if last is None else (last - timedelta(hours=cfg.model.overlap_hours)).date()
+
+
 def _refresh(spark: SparkSession, cfg: RefreshConfig, record: runlog.RunRecord) -> None:
     m, root, run_id = cfg.model, cfg.root, record.run_id
     start_year = m.first_year if cfg.start_year is None else cfg.start_year
@@ -132,7 +141,7 @@ def _refresh(spark: SparkSession, cfg: RefreshConfig, record: runlog.RunRecord)
 
     mark = intake.with_overlap(intake.high_water_mark(bronze, start_year), m.overlap_hours).first()
     record.watermark_before = mark["watermark"]
-    landed = intake.read_landing(spark, cfg.landing, cfg.landing_format)
+    landed = intake.read_landing(spark, cfg.landing, cfg.landing_format, cfg.arrival, _unread_since(spark, cfg))
     changed = intake.incremental_slice(landed, record.watermark_before, start_year)
     record.api_records_fetched = changed.count()
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -11,11 +11,18 @@ from ..spec import (BRONZE_SCHEMA, COORDINATE_FIELDS, FLAG_FIELDS, INTEGER_FIELD
                     SOURCE_FIELDS, SOURCE_SCHEMA)
 
 
-def read_landing(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Landed records with a fixed schema: absent fields are NULL, unknown ones dropped."""
-    if fmt == "json":
-        return spark.read.schema(SOURCE_SCHEMA).json(path)
-    return with_source_fields(spark.read.format(fmt).load(path))
+def read_landing(spark: SparkSession, path: str, fmt: str = "json", arrival: str | None = None,
+                 since: date | None = None) -> DataFrame:
+    """Landed records with a fixed schema: absent fields are NULL, unknown ones dropped.
+
+    Where the area is partitioned by the date of arrival (folders ``<arrival>=2024-03-05``), only folders
+    from ``since`` on are listed and read; without ``since`` all are.
+    """
+    reader = spark.read.schema(SOURCE_SCHEMA) if fmt == "json" else spark.read
+    landed = reader.format(fmt).load(path)
+    if arrival is not None and since is not None and arrival in landed.columns:
+        landed = landed.where(F.col(arrival) >= F.lit(since))
+    return landed.select(*SOURCE_FIELDS) if fmt == "json" else with_source_fields(landed)
 
 
 def with_source_fields(records: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..spec import RUN_LOG_SCHEMA
@@ -70,6 +71,18 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path(root))
 
 
+def last_success(spark: SparkSession, root: str, pipeline_name: str) -> datetime | None:
+    """When the pipeline's last successful run began; nothing where none is recorded."""
+    try:
+        log = read_log(spark, root)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    done = log.where((F.col("status") == "SUCCESS") & (F.col("pipeline_name") == pipeline_name))
+    return done.agg(F.max("started_at")).first()[0]
+
+
 def recent_runs(log: DataFrame, n: int = 10, with_end: bool = True) -> DataFrame:
     """The newest runs."""
     columns = [c for c in RECENT_COLUMNS if with_end or c != "ended_at"]
