@@ -429,3 +429,46 @@ def test_only_unread_arrivals_are_read(spark, root, tmp_path):
     assert intake.read_landing(spark, str(landing)).count() == 5
     assert refresh._unread_since(spark, replace(cfg, pipeline_name="other")) is None
     assert refresh._unread_since(spark, replace(cfg, arrival=None)) is None
+
+
+# --- roll-up lattice and observed figures ------------------------------------------
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gold_from_parents_equals_gold_from_silver(spark, tmp_path):
+    """Rows without key, arrest flag, district, or one or both coordinates, and no rows at all."""
+    rng = random.Random(5)
+    pick = lambda *of: rng.choice(of)
+    rows = [dict(crime_id=pick(None, *range(1000)), arrest=pick(True, False, None), district=pick("001", "031", "999", None),
+                 primary_type=pick("A", "B", None), domestic=pick(True, False, None), year=pick(2023, 2024),
+                 date=pick(None, datetime(2024, 1, 1, 5), datetime(2023, 12, 31, 23)),
+                 latitude=pick(None, 41.0004, 41.0016), longitude=pick(None, -87.0, -87.0004)) for _ in range(400)]
+    silver(spark, *rows).write.parquet(str(tmp_path / "s"))
+    for s in (spark.read.parquet(str(tmp_path / "s")), silver(spark, dict()).limit(0)):
+        parents = rollups.parent_rollups(s, M)
+        assert _plan(parents).split("== Initial Plan ==")[0].count("FileScan") <= 1
+        for name, frame in rollups.gold_tables(s, M).items():
+            got = rollups.from_parent(name, parents)
+            assert got.schema.simpleString() == frame.schema.simpleString()
+            assert sorted(map(str, got.collect())) == sorted(map(str, frame.collect())), name
+
+
+def test_runs_count_while_they_write(spark, root, tmp_path, monkeypatch):
+    """No job that only counts, and the landing area is parsed once."""
+    refresh.bootstrap(spark, root, history(spark, 1, 2, 3), 4)
+    land(tmp_path / "in", record(1), record(1, "2024-03-07T00:00:00.000"), record(4), record(5, None), record(6, "never"))
+    def refuse(*_):
+        raise AssertionError("a job of its own")
+    monkeypatch.setattr(type(spark.range(1)), "count", refuse)
+    refresh.run(spark, RefreshConfig(root, str(tmp_path / "in"), start_year=2020))
+    monkeypatch.undo()
+    told = runlog.read_log(spark, root).first()
+    batch = spark.read.parquet(f"{snapshots.run_folder(root, told.run_id)}/bronze_batch")
+    assert (told.api_records_fetched, told.stage_rows) == (batch.count(), 2)
+    assert (told.rows_inserted, told.rows_updated, told.overlap_rows) == (1, 1, 1)
+    stored = snapshots.read_current(spark, root, BRONZE)
+    assert (told.bronze_rows_after, told.silver_rows_after) == (stored.count(), stored.count())
+    assert told.watermark_after == datetime(2024, 3, 7) and told.gold_tables_passed == 5

@@ -125,3 +125,25 @@ def test_newest_by_update_then_intake(spark):
 def test_missing_keys(spark):
     raw = bronze(spark, dict(id=1), dict(id=2, year=1990), dict(id=None))
     assert values(versions.missing_keys(raw, to_silver(raw, M)), "id") == [(2,)]
+
+
+def test_merge_by_content_does_not_depend_on_splits_or_order(spark):
+    """Random versions with equal, unknown and oddly written times, cut into batches at random and in any order."""
+    rng = random.Random(23)
+    rows = [dict(id=rng.randrange(12), updated_on=rng.choice([None, "never", T0, T1, "2024/1/2", T2]), block=rng.choice([None, "a", "b"]),
+                 arrest=rng.choice([True, False, None]), latitude=rng.choice([None, 41.5, float("nan")])) for _ in range(80)]
+    order = versions.content_order(bronze(spark, {}).columns, ("block",))
+    assert order[0] == "block" and set(order) == set(bronze(spark, {}).columns) - {"id"}
+    tables = set()
+    for cuts in (0, 1, 3):
+        rng.shuffle(rows)
+        at = [0, *sorted(rng.sample(range(1, len(rows)), cuts)), len(rows)]
+        table = bronze(spark, {}).limit(0)
+        for a, b in zip(at, at[1:]):
+            stage = versions.latest_stage(bronze(spark, *rows[a:b]), by_content=order)
+            merged = versions.upsert_newer(table, stage, order)
+            table = spark.createDataFrame(merged.collect(), table.schema)
+        assert table.select("id").distinct().count() == table.count()
+        tables.add(tuple(sorted(map(str, table.collect()))))
+    assert len(tables) == 1
+    assert sorted(map(str, versions.upsert_newer(table, stage, order).collect())) == list(tables.pop())  # a replay

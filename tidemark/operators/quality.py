@@ -11,7 +11,7 @@ from ..functions.calendar import weekday_name
 from ..functions.labels import status_label
 from ..functions.measures import count_where, rate_pct
 from ..spec import COORDINATE_FIELDS, LINEAGE_FIELDS, UNASSIGNED, ModelSpec
-from .rollups import GOLD, silver_totals
+from .rollups import GOLD, silver_totals, total_parts, totals_of
 
 # Gate messages, and the names of the tests and metrics below.
 SILVER_PASSED = "SILVER QUALITY GATE PASSED"
@@ -69,28 +69,36 @@ def _results(totals: DataFrame, tests: dict[str, Column]) -> DataFrame:
             .withColumn("validation_status", status_label(F.col("failed_rows"))))
 
 
-def silver_checks(bronze: DataFrame, silver: DataFrame, m: ModelSpec) -> DataFrame:
-    """Eight rows: test name, failed rows, status.
+def silver_state(bronze: DataFrame, silver: DataFrame, m: ModelSpec) -> DataFrame:
+    """One row: rows, keys and broken rules of Silver, the keys of Bronze, and the totals Gold must add up to.
 
-    Silver is read once. The rules and the row count are summed per key first, which gives the
-    distinct keys without a second pass and needs no shuffle where Silver is already
-    partitioned by its key (bucketed, or fresh from the version ranking).
+    Silver is read once. Everything is summed per key first, which gives the distinct keys without a second
+    pass and needs no shuffle where Silver is already partitioned by its key (bucketed, or fresh from the
+    version ranking).
     """
-    rules = _silver_rules(m)
+    rules, parts = _silver_rules(m), total_parts()
     per_key = silver.groupBy("crime_id").agg(
         F.count(F.lit(1)).alias("copies"),
-        *[count_where(broken).alias(name) for name, broken in rules.items()])
+        *[count_where(broken).alias(name) for name, broken in rules.items()],
+        *[c.alias(name) for name, c in parts.items()])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     totals = per_key.agg(
         total("copies").alias("silver_rows"), F.count("crime_id").alias("silver_keys"),
-        *[total(name).alias(name) for name in rules])
-    bronze_keys = bronze.agg(F.countDistinct("id").alias("bronze_keys")).scalar()
-    tests = {
+        *[total(name).alias(name) for name in rules], *totals_of(list(parts), m))
+    return totals.withColumn("bronze_keys", bronze.agg(F.countDistinct("id").alias("bronze_keys")).scalar())
+
+
+def silver_results(state: DataFrame, m: ModelSpec) -> DataFrame:
+    """Eight rows: test name, failed rows, status."""
+    return _results(state, {
         "bronze_to_silver_row_reconciliation": F.abs(F.col("bronze_keys") - F.col("silver_rows")),
         "duplicate_crime_ids": F.col("silver_rows") - F.col("silver_keys"),
-        **{name: F.col(name) for name in rules},
-    }
-    return _results(totals.withColumn("bronze_keys", bronze_keys), tests)
+        **{name: F.col(name) for name in _silver_rules(m)},
+    })
+
+
+def silver_checks(bronze: DataFrame, silver: DataFrame, m: ModelSpec) -> DataFrame:
+    return silver_results(silver_state(bronze, silver, m), m)
 
 
 # --- Gold --------------------------------------------------------------------------
@@ -136,12 +144,15 @@ def _gold_sums(table: str, rollup: DataFrame, totals: Column, m: ModelSpec) -> D
     ).withColumn("gold_table", F.lit(table))
 
 
-def gold_checks(silver: DataFrame, rollups: dict[str, DataFrame], m: ModelSpec) -> DataFrame:
+def gold_checks(silver: DataFrame, rollups: dict[str, DataFrame], m: ModelSpec,
+                state: DataFrame | None = None) -> DataFrame:
     """One row per Gold table: five metrics and a status.
 
-    The Silver totals are one scalar subquery, named once for the grid and once for all sums.
+    The Silver totals are one scalar subquery, named once for the grid and once for all sums; they come from
+    ``state`` (``silver_state``, stored) if there is one, else from Silver.
     """
-    totals = silver_totals(silver, m).select(F.struct("*").alias("totals")).scalar()
+    found = silver_totals(silver, m) if state is None else state
+    totals = found.select(F.struct("*").alias("totals")).scalar()
     parts = [_gold_sums(name, frame, totals, m) for name, frame in rollups.items()]
     sums = parts[0]
     for part in parts[1:]:

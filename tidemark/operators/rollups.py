@@ -71,19 +71,68 @@ def gold_tables(silver: DataFrame, m: ModelSpec) -> dict[str, DataFrame]:
     return {name: build(silver, m) for name, (build, _) in GOLD.items()}
 
 
-def maintained(name: str, stored: DataFrame, gone: DataFrame, come: DataFrame, m: ModelSpec) -> DataFrame:
-    """The Gold table ``name`` after rows ``gone`` of Silver were replaced by rows ``come``.
+# The lattice: two parents hold every Gold grain, so that Silver is read once, not once per table. The area
+# table's districts are normalised in the parent already; a row without both coordinates has no bins there.
+PARENTS: dict[str, tuple[str, ...]] = {
+    "times": ("year", "month", "primary_type", "domestic", "day_of_week_number", "hour_of_day"),
+    "places": ("year", "district", "lat_bin", "long_bin"),
+}
+
+
+def parent_of(name: str) -> str:
+    """The parent that a Gold table is rolled up from; its weekday's name follows from the number."""
+    grain = set(GOLD[name][1]) - {"day_of_week"}
+    return next(parent for parent, keys in PARENTS.items() if grain <= set(keys))
 
-    Counts are additive, so the old rows' roll-up is taken off the stored one and the new rows' is added; a
-    group without records goes. Rates follow from the counts. Equal to a rebuild, without reading the rest of Silver.
+
+def parent_rollups(silver: DataFrame, m: ModelSpec, sign: Column | None = None) -> DataFrame:
+    """Additive counts at the finest grains, ``parent`` naming the grain, in one pass over Silver.
+
+    With ``sign`` (1 or -1 for a row) they are changes of the counts. Groups are bounded by calendar, codes and
+    grid, and each task reduces its rows to them first. Columns that are not of a grain are NULL.
     """
-    build, grain = GOLD[name]
-    sign = lambda df, by: df.withColumns({c: F.col(c) * by for c in ("total_crimes", "total_arrests")})
-    signed = stored.unionByName(sign(build(come, m), 1)).unionByName(sign(build(gone, m), -1))
+    located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    one = F.when(F.col("crime_id").isNotNull(), F.lit(1) if sign is None else sign)
+    rows = silver.select(
+        F.col("year"), cal.month_of(F.col("date")).alias("month"), F.col("primary_type"), F.col("domestic"),
+        cal.iso_weekday(F.col("date")).alias("day_of_week_number"), cal.hour_of(F.col("date")).alias("hour_of_day"),
+        area_district(F.col("district"), m).alias("district"),
+        F.when(located, grid_bin(F.col("latitude"), m.bin_scale)).alias("lat_bin"),
+        F.when(located, grid_bin(F.col("longitude"), m.bin_scale)).alias("long_bin"),
+        one.alias("one"), F.when(F.col("arrest"), one).alias("arrested"))
+    keys = [c for c in rows.columns if c not in ("one", "arrested")]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    sets = [[F.col(k) for k in grain] for grain in PARENTS.values()]
+    of_times, of_places = PARENTS
+    return rows.groupingSets(sets, *keys).agg(
+        F.when(F.grouping("month") == 0, F.lit(of_times)).otherwise(F.lit(of_places)).alias("parent"),
+        total("one").alias("total_crimes"), total("arrested").alias("total_arrests"))
+
+
+def _summed(df: DataFrame, grain: tuple[str, ...]) -> DataFrame:
     total, arrests = F.sum("total_crimes"), F.sum("total_arrests")
-    counted = signed.groupBy(*grain).agg(
+    return df.groupBy(*grain).agg(
         total.alias("total_crimes"), arrests.alias("total_arrests"), rate_pct(arrests, total).alias("arrest_rate"))
-    return counted.where(F.col("total_crimes") > 0)
+
+
+def from_parent(name: str, parents: DataFrame) -> DataFrame:
+    """A Gold table from its parent; equal to the roll-up of Silver itself."""
+    counts = parents.where(F.col("parent") == parent_of(name))
+    if "lat_bin" in GOLD[name][1]:
+        counts = counts.where(F.col("lat_bin").isNotNull())
+    if "day_of_week" in GOLD[name][1]:
+        counts = counts.withColumn("day_of_week", cal.weekday_name(F.col("day_of_week_number")))
+    return _summed(counts, GOLD[name][1])
+
+
+def maintained(name: str, stored: DataFrame, changes: DataFrame) -> DataFrame:
+    """The Gold table ``name`` after rows of Silver were replaced.
+
+    ``changes`` are signed parents: what the old rows gave is taken off the stored counts, what the new ones give
+    is added; a group without records goes. Rates follow from the counts. Equal to a rebuild, without reading the
+    rest of Silver.
+    """
+    return _summed(stored.unionByName(from_parent(name, changes)), GOLD[name][1]).where(F.col("total_crimes") > 0)
 
 
 # --- cubes -------------------------------------------------------------------------
@@ -165,19 +214,36 @@ def profile(silver: DataFrame) -> DataFrame:
         F.coalesce(F.sum("keys"), F.lit(0)).cast("bigint").alias("unique_ids"))
 
 
-def silver_totals(silver: DataFrame, m: ModelSpec) -> DataFrame:
-    """One row: what the Gold tables must add up to, and the range of the grid."""
+LOCATED = ("latitude", "longitude")
+
+
+def total_parts() -> dict[str, Column]:
+    """What ``silver_totals`` is made of, as sums and extremes that may be taken group by group first."""
     located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     arrested = F.col("arrest")
-    return silver.agg(
-        F.count(F.lit(1)).alias("all_crimes"),
-        count_where(arrested).alias("all_arrests"),
-        count_where(located).alias("hotspot_crimes"),
-        count_where(located & arrested).alias("hotspot_arrests"),
-        grid_bin(F.min("latitude"), m.bin_scale).alias("minimum_lat_bin"),
-        grid_bin(F.max("latitude"), m.bin_scale).alias("maximum_lat_bin"),
-        grid_bin(F.min("longitude"), m.bin_scale).alias("minimum_long_bin"),
-        grid_bin(F.max("longitude"), m.bin_scale).alias("maximum_long_bin"))
+    return {
+        "all_crimes": F.count(F.lit(1)), "all_arrests": count_where(arrested),
+        "hotspot_crimes": count_where(located), "hotspot_arrests": count_where(located & arrested),
+        **{f"minimum_{c}": F.min(c) for c in LOCATED}, **{f"maximum_{c}": F.max(c) for c in LOCATED}}
+
+
+def totals_of(parts: list[str], m: ModelSpec) -> list[Column]:
+    """The totals from rows of ``parts``."""
+    made = []
+    for name in parts:
+        if name.startswith(("minimum", "maximum")):
+            extreme, _, c = name.partition("_")
+            best = F.min(name) if extreme == "minimum" else F.max(name)
+            made.append(grid_bin(best, m.bin_scale).alias(f"{extreme}_{'lat' if c == 'latitude' else 'long'}_bin"))
+        else:
+            made.append(F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name))
+    return made
+
+
+def silver_totals(silver: DataFrame, m: ModelSpec) -> DataFrame:
+    """One row: what the Gold tables must add up to, and the range of the grid."""
+    parts = total_parts()
+    return silver.agg(*[c.alias(name) for name, c in parts.items()]).agg(*totals_of(list(parts), m))
 
 
 def value_lists(monthly: DataFrame, area: DataFrame, silver: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import casts
 from ..functions.measures import count_where
+from ..spec import LINEAGE_FIELDS
 
 KEY = "id"
 # What decides between equally new versions where nothing else is named and rows are pruned: few columns,
@@ -40,14 +41,24 @@ def keep_latest(df: DataFrame, key: str, order: list[Column],
             .where(F.col("_version") == 1).drop("_version"))
 
 
-def latest_stage(records: DataFrame, tie_breakers: tuple[str, ...] = ()) -> DataFrame:
+def content_order(columns: list[str], first: tuple[str, ...] = ()) -> tuple[str, ...]:
+    """All stored columns but the key, in the order that decides between equally new versions by content: the
+    ones in ``first``, what was sent, and how it came in. With it, the newest version of a key is the largest in
+    one total order, so merging is commutative, associative and idempotent."""
+    first = tuple(c for c in first if c in columns)
+    sent = tuple(c for c in columns if c != KEY and c not in first and c not in LINEAGE_FIELDS)
+    return first + sent + tuple(c for c in LINEAGE_FIELDS if c in columns and c not in first)
+
+
+def latest_stage(records: DataFrame, tie_breakers: tuple[str, ...] = (), by_content: tuple[str, ...] = ()) -> DataFrame:
     """A batch ready to merge: keyed rows only, newest version of each key.
 
     Equally new versions are told apart by the tie-breakers, then by every column, all of which a batch carries
-    anyway: the result does not depend on how the batch is cut or in what order it is read.
+    anyway: the result does not depend on how the batch is cut or in what order it is read. With ``by_content``
+    (``content_order``) these columns decide alone, in the same way as in a merge by content.
     """
     keyed = records.where(F.col(KEY).isNotNull()).withColumn("_updated", casts.to_timestamp(F.col("updated_on")))
-    ties = all_ties(records, KEY, tie_breakers or tuple(c for c in TIES if c in records.columns))
+    ties = by_content or all_ties(records, KEY, tie_breakers or tuple(c for c in TIES if c in records.columns))
     return keep_latest(keyed, KEY, [F.col("_updated")], ties).drop("_updated")
 
 
@@ -55,35 +66,52 @@ def _time(side: str) -> Column:
     return casts.to_timestamp(F.col(f"{side}.updated_on"))
 
 
-def _source_wins() -> Column:
-    """True when the staged version is at least as new; unknown times never win."""
+def _source_wins(by_content: tuple[str, ...] = ()) -> Column:
+    """True when the staged version is at least as new; unknown times never win. By content it must be larger by
+    time, then by the columns named, where an unknown value (also an unknown time) is the smallest."""
+    if by_content:
+        rank = lambda side: F.struct(_time(side), *[F.col(f"{side}.{c}") for c in by_content])
+        return F.col(f"source.{KEY}").isNotNull() & (rank("source") > rank("target"))
     return F.coalesce(_time("source") >= _time("target"), F.lit(False))
 
 
-def merge_parts(target: DataFrame, stage: DataFrame) -> tuple[DataFrame, DataFrame]:
+MERGE_MARKS = ("_found", "_replace")
+
+
+def merge_known(target: DataFrame, stage: DataFrame, by_content: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``target`` with the staged version where that wins, and two marks: whether the key is staged
+    at all (``_found``) and whether the staged version was taken (``_replace``)."""
+    same_key = F.col(f"target.{KEY}") == F.col(f"source.{KEY}")
+    joined = (target.alias("target").join(stage.alias("source"), same_key, "left")
+              .withColumn("_found", F.col(f"source.{KEY}").isNotNull()).withColumn("_replace", _source_wins(by_content)))
+    return joined.select(*[
+        F.when(F.col("_replace"), F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
+        for c in target.columns], *MERGE_MARKS)
+
+
+def merge_parts(target: DataFrame, stage: DataFrame, by_content: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """``target`` after merging ``stage`` (one row per key), as the rows whose keys it had already
     (replaced when the staged version is at least as new) and the rows with new keys.
 
+    With ``by_content`` (``content_order``) equal and unknown times are decided by the rows themselves and not by
+    which came first, so that any split of the same rows into batches, in any order, gives one table.
+
     Not one full outer join: here the target only ever sits on the left of a left join, so a small
     stage is broadcast by its measured size and the target is not shuffled at all, a large one is
     joined by key and a hot target key is split at run time. The new rows are the staged ones whose
     key a left semi join does not find.
     """
     columns = target.columns
-    same_key = F.col(f"target.{KEY}") == F.col(f"source.{KEY}")
-    joined = (target.alias("target").join(stage.alias("source"), same_key, "left")
-              .withColumn("_replace", _source_wins()))
-    kept = joined.select(*[
-        F.when(F.col("_replace"), F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
-        for c in columns])
+    kept = merge_known(target, stage, by_content).drop(*MERGE_MARKS)
     known = target.select(KEY).join(stage.select(KEY), KEY, "left_semi").distinct()
     added = stage.select(*columns).join(known, KEY, "left_anti").select(*columns)
     return kept, added
 
 
-def upsert_newer(target: DataFrame, stage: DataFrame) -> DataFrame:
-    """``target`` with ``stage`` merged in: newer or equally old versions replace, new keys are added."""
-    kept, added = merge_parts(target, stage)
+def upsert_newer(target: DataFrame, stage: DataFrame, by_content: tuple[str, ...] = ()) -> DataFrame:
+    """``target`` with ``stage`` merged in: newer or equally old versions replace (by content: larger ones), new
+    keys are added."""
+    kept, added = merge_parts(target, stage, by_content)
     return kept.unionByName(added)
 
 

@@ -10,9 +10,10 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import casts
+from ..functions.measures import count_where
 from ..operators import quality, rollups, versions
 from ..operators.standardize import to_silver
-from ..session import together
+from ..session import observed, together
 from ..sources import intake, runlog, snapshots
 from ..sources.snapshots import Manifest, TableRef
 from ..spec import BRONZE_SCHEMA, ModelSpec
@@ -62,29 +63,57 @@ def bootstrap(spark: SparkSession, root: str, history: DataFrame, buckets: int,
     return snapshots.promote(spark, root, run_id, snapshots.current(spark, root), {BRONZE: ref})
 
 
-def merge_batch(spark: SparkSession, stage: DataFrame, root: str, run_id: str, ref: TableRef) -> tuple[TableRef, list[int]]:
+def by_content(m: ModelSpec) -> tuple[str, ...]:
+    return versions.content_order(BRONZE_SCHEMA.names, m.tie_breakers) if m.order_free else ()
+
+
+def merge_batch(spark: SparkSession, stage: DataFrame, root: str, run_id: str, ref: TableRef,
+                record: runlog.RunRecord | None = None, content: tuple[str, ...] = ()) -> tuple[TableRef, list[int]]:
     """Merge a staged batch into Bronze: the new Bronze and the buckets it rewrote.
 
     Only buckets that hold a key of the batch are read and written. The rows they have already keep their
-    bucket and are not shuffled when the batch is small; only the new rows are sent to their buckets.
+    bucket and are not shuffled when the batch is small; only the new rows are sent to their buckets. What the
+    merge changes is counted by the tasks that write it.
     """
     touched = snapshots.touched_buckets(stage, "id", ref)
-    kept, added = versions.merge_parts(snapshots.read_table(spark, ref, touched), stage)
-    return snapshots.write_keyed([kept, snapshots.by_bucket(added, "id", ref.buckets)],
-                                 root, run_id, BRONZE, "id", ref.buckets, ref, touched), touched
-
-
-def stage_batch(spark: SparkSession, records: DataFrame, root: str, run_id: str,
-                m: ModelSpec) -> DataFrame:
-    """Type, reduce to one row per key, and write the batch, which is read several times."""
-    typed = versions.latest_stage(intake.type_bronze(records), m.tie_breakers)
-    return snapshots.read_table(spark, snapshots.write_table(typed, root, run_id, "bronze_stage"))
-
-
-def _checked(results: DataFrame, root: str, run_id: str, name: str) -> TableRef:
-    """Check results are kept with the run before a gate may raise on them."""
+    target = snapshots.read_table(spark, ref, touched)
+    _, added = versions.merge_parts(target, stage)
+    known, changes = observed(versions.merge_known(target, stage, content), overlap_rows=count_where(F.col("_found")),
+                              rows_updated=count_where(F.col("_replace")))
+    new, news = observed(snapshots.by_bucket(added, "id", ref.buckets), rows_inserted=F.count(F.lit(1)))
+    merged = snapshots.write_keyed([known.drop(*versions.MERGE_MARKS), new], root, run_id, BRONZE, "id",
+                                   ref.buckets, ref, touched)
+    if record is not None:
+        record.count(changes.get, news.get)
+    return merged, touched
+
+
+def write_batch(spark: SparkSession, records: DataFrame, root: str, run_id: str, record: runlog.RunRecord) -> DataFrame:
+    """Landed records, typed and written once, so that the landing area is parsed once."""
+    typed, seen = observed(intake.type_bronze(records), api_records_fetched=F.count(F.lit(1)))
+    batch = snapshots.read_table(spark, snapshots.write_table(typed, root, run_id, "bronze_batch"))
+    record.count(seen.get)
+    return batch
+
+
+def stage_batch(spark: SparkSession, typed: DataFrame, root: str, run_id: str, m: ModelSpec,
+                record: runlog.RunRecord | None = None) -> tuple[DataFrame, datetime | None]:
+    """Reduce a typed batch to one row per key and write it, as it is read several times; also its newest
+    update time."""
+    latest, seen = observed(versions.latest_stage(typed, m.tie_breakers, by_content(m)), stage_rows=F.count(F.lit(1)),
+                            newest=F.max(casts.to_timestamp(F.col("updated_on"))))
+    stage = snapshots.read_table(spark, snapshots.write_table(latest, root, run_id, "bronze_stage"))
+    if record is not None:
+        record.stage_rows = seen.get["stage_rows"]
+    return stage, seen.get["newest"]
+
+
+def _checked(results: DataFrame, root: str, run_id: str, name: str) -> tuple[TableRef, int]:
+    """Check results, kept with the run before a gate may raise on them, and how many passed."""
     ordered = results.coalesce(1).sortWithinPartitions(results.columns[0])
-    return snapshots.write_table(ordered, root, run_id, name)
+    watched, seen = observed(ordered, passed=count_where(F.col("validation_status") == "PASS"))
+    ref = snapshots.write_table(watched, root, run_id, name)
+    return ref, seen.get["passed"]
 
 
 def _stamp(m: ModelSpec) -> str:
@@ -97,6 +126,7 @@ def build_layers(spark: SparkSession, bronze_ref: TableRef, root: str, run_id: s
 
     Where the published layers were made with the same model from the same buckets, Silver is derived for the
     ``touched`` buckets only, and Gold takes off what these buckets gave before and adds what they give now.
+    Silver is read twice: for the checks, with the totals Gold must add up to, and for the parents of Gold.
     """
     bronze, buckets, before = snapshots.read_table(spark, bronze_ref), bronze_ref.buckets, parent.tables.get(SILVER)
     partly = before is not None and (before.stamp, before.buckets) == (_stamp(m), buckets) and all(
@@ -105,24 +135,28 @@ def build_layers(spark: SparkSession, bronze_ref: TableRef, root: str, run_id: s
     derived = to_silver(snapshots.read_table(spark, bronze_ref, some), m)
     refs = {SILVER: snapshots.write_keyed([derived], root, run_id, SILVER, "crime_id", buckets, before, some, _stamp(m))}
     silver = snapshots.read_table(spark, refs[SILVER])
-    record.silver_rows_after = silver.count()
+    found, seen = observed(quality.silver_state(bronze, silver, m), silver_rows_after=F.max("silver_rows"))
+    state = snapshots.read_table(spark, snapshots.write_table(found, root, run_id, "silver_state"))
+    record.count(seen.get)
     name = "silver_quality_results"
-    refs[name] = _checked(quality.silver_checks(bronze, silver, m), root, run_id, name)
+    refs[name], _ = _checked(quality.silver_results(state, m), root, run_id, name)
     quality.gate(snapshots.read_table(spark, refs[name]), quality.SILVER_FAILED)
 
     if partly:
         gone, come = snapshots.read_table(spark, before, touched), snapshots.read_table(spark, refs[SILVER], touched)
-        frames = {n: rollups.maintained(n, snapshots.read_table(spark, parent.tables[n]), gone, come, m) for n in rollups.GOLD}
+        signed = gone.withColumn("_sign", F.lit(-1)).unionByName(come.withColumn("_sign", F.lit(1)))
+        parents = rollups.parent_rollups(signed, m, F.col("_sign"))
     else:
-        frames = rollups.gold_tables(silver, m)
+        parents = rollups.parent_rollups(silver, m)
+    parents = snapshots.read_table(spark, snapshots.write_table(parents, root, run_id, "gold_parents"))
+    frames = {n: rollups.maintained(n, snapshots.read_table(spark, parent.tables[n]), parents) if partly
+              else rollups.from_parent(n, parents) for n in rollups.GOLD}
     refs.update(zip(frames, together([
         lambda n=n, f=f: snapshots.write_table(f, root, run_id, n) for n, f in frames.items()])))
     gold = {name: snapshots.read_table(spark, refs[name]) for name in frames}
     name = "gold_quality_results"
-    refs[name] = _checked(quality.gold_checks(silver, gold, m), root, run_id, name)
-    results = snapshots.read_table(spark, refs[name])
-    record.gold_tables_passed = results.where("validation_status = 'PASS'").count()
-    quality.gate(results, quality.GOLD_FAILED, len(rollups.GOLD))
+    refs[name], record.gold_tables_passed = _checked(quality.gold_checks(silver, gold, m, state), root, run_id, name)
+    quality.gate(snapshots.read_table(spark, refs[name]), quality.GOLD_FAILED, len(rollups.GOLD))
     return refs
 
 
@@ -139,27 +173,26 @@ def _refresh(spark: SparkSession, cfg: RefreshConfig, record: runlog.RunRecord)
     ref = snapshots.resolve(parent, BRONZE)
     bronze = snapshots.read_table(spark, ref)
 
-    mark = intake.with_overlap(intake.high_water_mark(bronze, start_year), m.overlap_hours).first()
+    mark = intake.with_overlap(intake.bronze_state(bronze, start_year), m.overlap_hours).first()
     record.watermark_before = mark["watermark"]
     landed = intake.read_landing(spark, cfg.landing, cfg.landing_format, cfg.arrival, _unread_since(spark, cfg))
     changed = intake.incremental_slice(landed, record.watermark_before, start_year)
-    record.api_records_fetched = changed.count()
+    stamped = intake.stamp_lineage(changed, record.batch_id, cfg.source, record.started_at)
+    batch = write_batch(spark, stamped, root, run_id, record)
 
     refs: dict[str, TableRef] = {}
     touched: list[int] = []
+    times = [mark["newest"]]
     if record.api_records_fetched:
-        stamped = intake.stamp_lineage(changed, record.batch_id, cfg.source, record.started_at)
-        stage = stage_batch(spark, stamped, root, run_id, m)
-        record.stage_rows = stage.count()
-        counts = versions.change_counts(bronze, stage).first()
-        record.rows_inserted, record.rows_updated, record.overlap_rows = counts
-        ref, touched = merge_batch(spark, stage, root, run_id, ref)
-        refs[BRONZE], bronze = ref, snapshots.read_table(spark, ref)
+        stage, newest = stage_batch(spark, batch, root, run_id, m, record)
+        ref, touched = merge_batch(spark, stage, root, run_id, ref, record, by_content(m))
+        refs[BRONZE] = ref
+        times.append(newest)
 
     refs.update(build_layers(spark, ref, root, run_id, m, parent, touched, record))
-    after = bronze.agg(F.count(F.lit(1)).alias("n"),
-                       F.max(casts.to_timestamp(F.col("updated_on"))).alias("newest")).first()
-    record.bronze_rows_after, record.watermark_after = after
+    # A merge adds rows and never lowers the newest time: a staged row that is not taken is older than a stored one.
+    record.bronze_rows_after = mark["bronze_rows"] + record.rows_inserted
+    record.watermark_after = max((t for t in times if t is not None), default=None)
     snapshots.promote(spark, root, run_id, parent, refs)
 
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Results must not depend on the machine's zone; everything else is left to AQE.
 SETTINGS = {
@@ -63,6 +63,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, **figures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and the figures that its write will have counted on the way.
+
+    To be put last before a write: the tasks that write are counted once each, also when executors are lost,
+    which does not hold for tasks before a shuffle.
+    """
+    seen = Observation(uuid.uuid4().hex)
+    return df.observe(seen, *[c.alias(name) for name, c in figures.items()]), seen
+
+
 def together(jobs: list[Callable]) -> list:
     """Run independent Spark jobs side by side, so that one's last tasks do not idle the cluster.
 

@@ -97,18 +97,25 @@ def type_bronze(records: DataFrame) -> DataFrame:
     return records.select(*[typed(f) for f in known], *extra)
 
 
-def high_water_mark(bronze: DataFrame, start_year: int,
-                    not_after: datetime | None = None) -> DataFrame:
-    """One row, ``high_water_mark``: the newest update time, else January 1 of ``start_year``.
+def bronze_state(bronze: DataFrame, start_year: int, not_after: datetime | None = None) -> DataFrame:
+    """One row: ``bronze_rows``, ``newest`` update time and ``high_water_mark``, the newest update time, else
+    January 1 of ``start_year``.
 
-    One record dated in the future would hide later changes; ``not_after`` leaves such out.
+    One record dated in the future would hide later changes; ``not_after`` leaves such out of the mark.
     """
     updated = casts.to_timestamp(F.col("updated_on"))
+    known = updated
     if not_after is not None:
-        updated = F.when(updated <= F.lit(not_after).cast(T.TimestampNTZType()), updated)
-    newest = F.max(updated)
+        known = F.when(updated <= F.lit(not_after).cast(T.TimestampNTZType()), updated)
     floor = F.lit(f"{start_year:04d}-01-01 00:00:00").cast(T.TimestampNTZType())
-    return bronze.agg(F.coalesce(newest, floor).alias("high_water_mark"))
+    return bronze.agg(F.count(F.lit(1)).alias("bronze_rows"), F.max(updated).alias("newest"),
+                      F.coalesce(F.max(known), floor).alias("high_water_mark"))
+
+
+def high_water_mark(bronze: DataFrame, start_year: int,
+                    not_after: datetime | None = None) -> DataFrame:
+    """One row, ``high_water_mark`` of ``bronze_state``."""
+    return bronze_state(bronze, start_year, not_after).select("high_water_mark")
 
 
 def with_overlap(mark: DataFrame, overlap_hours: int) -> DataFrame:

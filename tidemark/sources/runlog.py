@@ -45,6 +45,12 @@ class RunRecord:
     gold_tables_passed: int = 0
     error_message: str | None = None
 
+    def count(self, *figures: dict[str, int]) -> None:
+        """Take over counters by name."""
+        for found in figures:
+            for name, n in found.items():
+                setattr(self, name, n)
+
     def finish(self, status: str, at: datetime, error: str | None = None) -> None:
         self.status, self.ended_at = status, at
         self.duration_seconds = (at - self.started_at).total_seconds()

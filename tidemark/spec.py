@@ -96,6 +96,9 @@ class ModelSpec:
     # Extra Bronze columns that break ties between versions with equal timestamps,
     # compared in descending order. Empty: every remaining column takes part.
     tie_breakers: tuple[str, ...] = ()
+    # Equal or unknown update times are decided by the rows' content, not by which came last: any split of the same
+    # records into batches, in any order, then gives one Bronze table.
+    order_free: bool = False
 
 
 # --- filters -----------------------------------------------------------------------

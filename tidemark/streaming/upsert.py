@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.refresh import BRONZE, merge_batch, stage_batch
+from ..plans.refresh import BRONZE, by_content, merge_batch, stage_batch
 from ..sources import intake, snapshots
 from ..spec import SOURCE_SCHEMA, ModelSpec
 
@@ -27,8 +27,8 @@ def upsert_batch(batch: DataFrame, epoch: int, root: str, stream: str, source: s
     run_id = f"{stream}-{epoch}-{uuid.uuid4().hex}"
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     stamped = intake.stamp_lineage(batch, f"{stream}_{epoch}", source, now)
-    stage = stage_batch(spark, stamped, root, run_id, m)
-    merged, _ = merge_batch(spark, stage, root, run_id, ref)
+    stage, _ = stage_batch(spark, intake.type_bronze(stamped), root, run_id, m)
+    merged, _ = merge_batch(spark, stage, root, run_id, ref, content=by_content(m))
     snapshots.promote(spark, root, run_id, parent, {BRONZE: merged})
 
 
