@@ -177,6 +177,24 @@ def time_cube(silver: DataFrame) -> DataFrame:
         cal.iso_weekday(F.col("date")).alias("day"), cal.hour_of(F.col("date")).alias("hour")])
 
 
+# --- distinct values of any selection ----------------------------------------------
+
+
+def distinct_cube(silver: DataFrame, column: str, keys: list[str], lg_size: int = 12) -> DataFrame:
+    """By ``keys`` a sketch of the distinct values of ``column``. Sketches merge, distinct counts do not add up:
+    one pass over Silver answers every later selection of whole groups. NULL values do not count.
+
+    A sketch holds at most 2^``lg_size`` registers; the standard error is 1.04 / 2^(``lg_size`` / 2).
+    """
+    return silver.groupBy(*keys).agg(F.hll_sketch_agg(F.col(column), F.lit(lg_size)).alias("sketch"))
+
+
+def distinct_estimate(cube: DataFrame, by: list[str]) -> DataFrame:
+    """By ``by`` the estimated distinct values (``approx_distinct``) over the groups selected. The exact count stays
+    ``countDistinct`` on Silver."""
+    return cube.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"))
+
+
 # --- totals ------------------------------------------------------------------------
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import calendar as cal
 from ..functions import labels
@@ -150,6 +151,28 @@ def _(spark, sf):
     return versions.upsert_newer(*_target_and_stage(spark, sf))
 
 
+@query("j2_order_free_upsert")
+def _(spark, sf):
+    # The feeds one by one, in an order that is not that of their names: merged by content it does not matter.
+    all_versions = settle(fixture.bronze(spark, sf), "versions")
+    order = versions.content_order(all_versions.columns, MODEL.tie_breakers)
+    feed = lambda name: versions.latest_stage(all_versions.where(F.col("source_file") == name), by_content=order)
+    table = settle(feed("src-1"), "merged")
+    for name in ("src-0", "src-2"):
+        table = settle(versions.upsert_newer(table, settle(feed(name), "stage"), order), "merged")
+    return table
+
+
+@query("p1_nested_location")
+def _(spark, sf):
+    # A nested field as a sender delivers it is kept as compact JSON text.
+    path, address = scratch_path(spark, "nested"), F.struct(
+        F.col("block").alias("human_address"), F.when(F.col("tie1") % 97 != 0, F.col("tie1").cast("string")).alias("latitude"))
+    sent = fixture.bronze(spark, sf).select(F.col("id").cast("string").alias("id"), address.alias("location"), "tie1")
+    sent.write.option("ignoreNullFields", "false").json(path)
+    return intake.type_bronze(intake.read_landing(spark, path)).select("id", "location")
+
+
 # --- Silver and Gold ---------------------------------------------------------------
 
 
@@ -580,6 +603,26 @@ def _(spark, sf):
         labels.percent_text(total, F.lit(0)).alias("undefined_text"))
 
 
+@query("a7_distinct_sketches")
+def _(spark, sf):
+    # Distinct blocks of selections, from one cube of sketches; the exact counts stand beside the check of the error.
+    s = settled_silver(spark, sf, "block", "case_number", "year", "primary_type", "domestic")
+    keys, some = ["year", "primary_type", "domestic"], F.col("year").between(1996, 1999) & ~F.col("domestic")
+    out = None
+    for column in ("block", "case_number"):
+        cube = settle(rollups.distinct_cube(s, column, keys), "sketches").where(some)
+        exact = s.where(some)
+        for by in ([], ["year"], ["primary_type"]):
+            told = exact.groupBy(*by).agg(F.countDistinct(column).alias("distinct_values"))
+            guess = rollups.distinct_estimate(cube, by)
+            both = told.join(guess, by) if by else told.withColumn("approx_distinct", guess.scalar())
+            near = F.abs(F.col("approx_distinct") - F.col("distinct_values")) <= 0.065 * F.col("distinct_values")  # four standard errors
+            rows = both.select(F.lit(column).alias("counted"), F.concat_ws("", *[F.col(c).cast("string") for c in by]).alias("selection"),
+                               "distinct_values", near.alias("within_error"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- snapshots, runs and exports ---------------------------------------------------
 # These write real tables, into a new folder below the shared one, and read them back.
 
@@ -692,6 +735,17 @@ def _(spark, sf):
     return _refreshed(spark, sf)[1].drop("run_id", "batch_id")
 
 
+@query("o1_run_identity")
+def _(spark, sf):
+    root, _summary = _refreshed(spark, sf)
+    took = F.unix_micros(F.col("ended_at").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))
+    return runlog.read_log(spark, root).select(
+        F.col("run_id").rlike(r"\A[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z").alias("run_id_formed"),
+        (F.col("batch_id") == F.date_format("started_at", "'api_'yyyyMMdd'T'HHmmss'Z'")).alias("batch_id_formed"),
+        (F.abs(took / 1e6 - F.col("duration_seconds")) < 1e-3).alias("duration_agrees"),
+        "stage_rows", "overlap_rows", "watermark_before", "watermark_after", "bronze_rows_after")
+
+
 @query("o1_refreshed_bronze")
 def _(spark, sf):
     root, _summary = _refreshed(spark, sf)
@@ -740,15 +794,42 @@ def _(spark, sf):
         GROUP BY year""")
 
 
+# What identifies a row of a published dataset.
+_ITEM = {**{n: [c for c in k if c not in ("lat_bin", "long_bin")] for n, k in bundle.ORDER.items()},
+         "values": ["dimension", "value"], "inventory": ["table_name", "grain"]}
+
+
+def _published(name: str, df: DataFrame) -> DataFrame:
+    """A dataset's rows in one form: item, crimes, arrests, rate. Coverage figures become one row each."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("~"))
+    if name == "meta":
+        times = ["min_date", "max_date", "last_updated"]
+        whole = [c for c in df.columns if c not in (*times, "refresh_mode")]
+        pairs = [(F.concat(F.lit(f"{c}="), text(c)), F.lit(None).cast("bigint")) for c in (*times, "refresh_mode")]
+        pairs += [(F.lit(c), F.col(c).cast("bigint")) for c in whole]
+        df = df.select(F.stack(F.lit(len(pairs)), *[part for pair in pairs for part in pair]).alias("item", "total_crimes"))
+    elif name == "hotspots":
+        mills = lambda c: F.round(F.col(c) * 1000).cast("bigint").cast("string")
+        df = df.withColumn("item", F.concat_ws("|", mills("lat_bin"), mills("long_bin")))
+    else:
+        df = df.withColumn("item", F.concat_ws("|", *[text(c) for c in _ITEM[name]]))
+    if name == "inventory":
+        df = df.withColumn("total_crimes", F.col("row_count"))
+    have = lambda c, kind: (F.col(c) if c in df.columns else F.lit(None)).cast(kind)
+    return df.select(F.lit(name).alias("dataset"), "item", have("total_crimes", "bigint").alias("crimes"),
+                     have("total_arrests", "bigint").alias("arrests"), have("arrest_rate", "double").alias("rate"))
+
+
 @query("o6_bundle")
 def _(spark, sf):
-    paths = bundle.build(spark, _gold(spark, sf), scratch_path(spark, "bundle"), "tables")
-    rows = [spark.read.text(path).agg(F.count(F.lit(1)).alias("row_count"))
-            .select(F.lit(name).alias("dataset"), "row_count") for name, path in paths.items()]
-    out = rows[0]
-    for other in rows[1:]:
-        out = out.unionByName(other)
-    return out
+    out = scratch_path(spark, "bundle")
+    bundle.build(spark, _gold(spark, sf), out, "tables")
+    datasets = [_published(name, exports.read_export(spark, ref.path, T.StructType.fromJson(json.loads(ref.schema))))
+                for name, ref in snapshots.current(spark, out).tables.items()]
+    rows = datasets[0]
+    for other in datasets[1:]:
+        rows = rows.unionByName(other)
+    return rows
 
 
 @query("x1_stream_upsert")

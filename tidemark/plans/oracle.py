@@ -261,6 +261,12 @@ _sql("j1_j3_change_counts", "stage target", """
   FROM stage s LEFT JOIN target t ON s.id = t.id)
 SELECT *, overlap_rows - rows_updated AS rows_kept FROM c""")
 _sql("j2_upsert_newer", "merged", "SELECT * FROM merged")
+_sql("j2_order_free_upsert", "bronze", f"""
+SELECT * EXCLUDE (v) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_UPDATE}) AS v FROM bronze) WHERE v = 1""")
+_sql("p1_nested_location", "bronze", """
+SELECT id, concat('{"human_address":"', block, '","latitude":',
+  CASE WHEN tie1 % 97 = 0 THEN 'null' ELSE concat('"', tie1, '"') END, '}') AS location FROM bronze""")
 
 # --- Silver and Gold ---------------------------------------------------------------
 
@@ -270,14 +276,23 @@ _sql("a2_area", "area", "SELECT * FROM area")
 _sql("a3_outcome", "outcome", "SELECT * FROM outcome")
 _sql("a4_time_of_week", "week", "SELECT * FROM week")
 _sql("a5_hotspots", "grid", "SELECT * FROM grid")
-_sql("a9_profile", "silver", """
+_PROFILE = """
 SELECT count(*) AS row_count, count(DISTINCT crime_id) AS unique_ids, min(date) AS min_date,
   max(date) AS max_date, max(updated_on) AS last_updated,
   count(DISTINCT primary_type) AS crime_types, count(DISTINCT district) AS districts,
   count(DISTINCT community_area) AS communities,
   CAST(sum(CAST(arrest AS INTEGER)) AS BIGINT) AS arrests,
   CAST(sum(CAST(domestic AS INTEGER)) AS BIGINT) AS domestic_incidents,
-  count(latitude) AS geocoded_rows FROM silver""")
+  count(latitude) AS geocoded_rows FROM silver"""
+_sql("a9_profile", "silver", _PROFILE)
+
+def _distinct(column: str, by: str) -> str:
+    return f"""SELECT '{column}' AS counted, {f"CAST({by} AS VARCHAR)" if by else "''"} AS selection,
+  count(DISTINCT {column}) AS distinct_values, TRUE AS within_error FROM chosen {f"GROUP BY {by}" if by else ""}"""
+
+
+_sql("a7_distinct_sketches", "silver", ", chosen AS (SELECT * FROM silver WHERE year BETWEEN 1996 AND 1999 AND NOT domestic)\n"
+     + "\nUNION ALL ".join(_distinct(column, by) for column in ("block", "case_number") for by in ("", "year", "primary_type")))
 _TOTALS = """
 SELECT count(*) AS all_crimes, count(CASE WHEN arrest THEN 1 END) AS all_arrests,
   count(CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN 1 END) AS hotspot_crimes,
@@ -824,6 +839,11 @@ SELECT 'SUCCESS' AS status, (SELECT count(*) FROM slice) AS api_records_fetched,
   count(CASE WHEN is_new THEN 1 END) AS rows_inserted,
   count(CASE WHEN is_update THEN 1 END) AS rows_updated, count(*) AS bronze_rows_after,
   count(*) AS silver_rows_after, CAST(5 AS INTEGER) AS gold_tables_passed FROM j""")
+_sql("o1_run_identity", "target", _BATCH + """
+SELECT TRUE AS run_id_formed, TRUE AS batch_id_formed, TRUE AS duration_agrees,
+  (SELECT count(*) FROM batch) AS stage_rows, (SELECT count(*) FROM batch JOIN target USING (id)) AS overlap_rows,
+  (SELECT w FROM wm) AS watermark_before, max(CAST(updated_on AS TIMESTAMP)) AS watermark_after,
+  count(*) AS bronze_rows_after FROM j""")
 _sql("o1_refreshed_bronze", "target", _BATCH + f"\nSELECT {', '.join(_SENT)}, CAST(NULL AS VARCHAR) AS location FROM j")
 _sql("o2_empty_batch", "bronze", """
 SELECT 'SUCCESS' AS status, CAST(0 AS BIGINT) AS api_records_fetched, count(DISTINCT id) AS bronze_rows_after,
@@ -836,15 +856,31 @@ _sql("f1_keyed_latest", "bronze", f"""
 SELECT id, updated_on, primary_type, year FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_UPDATE}) AS v FROM bronze WHERE tie1 % 50 <> 0)
 WHERE v = 1""")
+def _published(name: str, cte: str, keys: str, rate: bool) -> str:
+    item = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '~')" for k in keys.split())
+    return f"SELECT '{name}', {item}, total_crimes, total_arrests, {'arrest_rate' if rate else 'NULL'} FROM {cte}"
+
+
+_FIGURES = ("row_count", "unique_ids", "crime_types", "districts", "communities", "arrests", "domestic_incidents", "geocoded_rows")
 _sql("o6_bundle", "monthly area outcome week grid months years times", f"""
-, vals AS ({_VALUES})
-SELECT 'meta' AS dataset, CAST(1 AS BIGINT) AS row_count
-UNION ALL SELECT 'inventory', 6
-UNION ALL SELECT 'monthly', count(*) FROM monthly UNION ALL SELECT 'area', count(*) FROM area
-UNION ALL SELECT 'arrest', count(*) FROM outcome UNION ALL SELECT 'time', count(*) FROM week
-UNION ALL SELECT 'values', count(*) FROM vals UNION ALL SELECT 'hotspots', count(*) FROM grid
-UNION ALL SELECT 'monthly_geo', count(*) FROM months UNION ALL SELECT 'geo_cube', count(*) FROM years
-UNION ALL SELECT 'time_cube', count(*) FROM times""")
+, vals AS ({_VALUES}), profile AS ({_PROFILE}),
+coded AS (SELECT * REPLACE (CAST(domestic AS INTEGER) AS domestic) FROM outcome),
+cells AS (SELECT *, CAST(round(lat_bin * 1000) AS BIGINT) AS la, CAST(round(long_bin * 1000) AS BIGINT) AS lo FROM grid),
+published(dataset, item, crimes, arrests, rate) AS (
+""" + "\nUNION ALL ".join([
+    _published("monthly", "monthly", "year month primary_type", True), _published("area", "area", "year district", True),
+    _published("arrest", "coded", "year primary_type domestic", True),
+    _published("time", "week", "day_of_week_number hour_of_day", True), _published("hotspots", "cells", "la lo", True),
+    _published("geo_cube", "years", "year district community_area primary_type domestic", False),
+    _published("monthly_geo", "months", "year month district community_area primary_type domestic", False),
+    _published("time_cube", "times", "year month primary_type domestic day hour", False),
+    "SELECT 'values', dimension || '|' || coalesce(value, '~'), NULL, NULL, NULL FROM vals",
+    *[f"SELECT 'inventory', '{name}|{grain}', count(*), NULL, NULL FROM {cte}" for name, cte, _, grain, _ in _INVENTORY],
+    *[f"SELECT 'meta', '{c}=' || CAST({c} AS VARCHAR), NULL, NULL, NULL FROM profile" for c in ("min_date", "max_date", "last_updated")],
+    "SELECT 'meta', 'refresh_mode=Automated daily pipeline', NULL, NULL, NULL",
+    "SELECT 'meta', 'hotspot_total', sum(total_crimes), NULL, NULL FROM grid",
+    *[f"SELECT 'meta', '{c}', {c}, NULL, NULL FROM profile" for c in _FIGURES]]) + """)
+SELECT dataset, item, CAST(crimes AS BIGINT) AS crimes, CAST(arrests AS BIGINT) AS arrests, CAST(rate AS DOUBLE) AS rate FROM published""")
 _sql("x1_stream_upsert", "bronze", f"""
 SELECT {', '.join(_SENT)}, CAST(NULL AS VARCHAR) AS location FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY {_BY_SENT.format(between="source_file, ")}) AS v FROM bronze)
