@@ -39,6 +39,13 @@ def test_mix_takes_what_is_planned_and_larger_budgets_nest(spark):
     assert all(more[i].taken >= less[i].taken for i in range(600))
 
 
+def test_mix_reaches_targets_where_a_third_of_the_rows_share_an_id(spark):
+    rows = [(None if i % 3 == 0 else i, f"w{i} " * (1 + i % 7), "a" if i % 5 else "b") for i in range(1500)]
+    got = mixing.op3_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    for _, mine in got.groupby("target"):
+        assert abs(mine.taken.sum() - mine.target.iloc[0]) <= 3.5 + 1e-6
+
+
 def test_mix_keeps_columns_of_awkward_documents(spark):
     d = cases.awkward(spark)
     assert mixing.mix(d).columns == d.columns and mixing.mix(cases.empty(spark)).count() == 0
@@ -53,8 +60,9 @@ def test_shards_match_the_mixture(spark):
     assert (abs(by["a"] - 112.5) <= 2).all() and (abs(by["b"] - 11.25) <= 2).all() and by[""].max() <= 2
     for _, slots in got.groupby("shard").slot:
         assert sorted(slots) == list(range(len(slots)))
-    small = sharding.assign_shards(d, sharding.ShardConfig(shards=8, bucket_rows=7)).toPandas()
-    assert small.sort_values("doc_id").shard.tolist() == got.sort_values("doc_id").shard.tolist()
+    for config in (sharding.ShardConfig(shards=8, bucket_rows=7), sharding.ShardConfig(shards=8, bucket_rows=7, block=3)):
+        small = sharding.assign_shards(d, config).toPandas()
+        assert small.sort_values("doc_id").shard.tolist() == got.sort_values("doc_id").shard.tolist()
 
 
 def test_trigram_queries():

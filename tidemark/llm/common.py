@@ -51,6 +51,11 @@ def id_hash(*columns: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(parts), 1, 15), 16, 10).cast("bigint")
 
 
+def row_hash(key: Column, text: Column, source: Column, seed: int = 0) -> Column:
+    """``id_hash`` of a document's id, text and source: rows of one id spread, unless they are equal in all three."""
+    return id_hash(key, F.md5(F.coalesce(text, F.lit(""))), source, seed=seed)
+
+
 def small_runs(texts: Iterable[str], most_chars: int = 1 << 21, most: int = 512) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs [start, end) of bounded text, so that memory follows one run."""
     start = size = end = 0

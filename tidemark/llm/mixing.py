@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import settle
-from .common import SPACE, columns, id_hash, with_row
+from .common import SPACE, columns, row_hash, with_row
 
 HASH_BITS = 60
 
@@ -77,7 +77,7 @@ def plan_mix(docs: DataFrame, config: MixConfig = MixConfig(), key: str = "doc_i
              source: str = "source") -> tuple[DataFrame, DataFrame]:
     """(every row as row, key, size, source, h; every source as s, source_size, target, whole, cut)."""
     sized = docs.select("row", F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-                        id_hash(F.col(key), seed=config.seed).alias("h"))
+                        row_hash(F.col(key), F.col(text), F.col(source), config.seed).alias("h"))
     sized = settle(sized, "mix-sizes")
     aims = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), config)
     aims = aims.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
@@ -108,8 +108,9 @@ def op3_mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """One row per document: doc_id, size (words), source_size, target, taken (size x copies).
 
     Null and empty texts have size 0 and are never taken. Null is a source of its own, last in
-    order. Documents of one hash (a repeated id) are taken alike. Whole documents are taken, so a
-    source misses its target by half the document at its threshold at most.
+    order. Rows equal in id, text and source share a hash and are taken alike; rows that only share an id are
+    not. Whole documents are taken, so a source misses its target by half the document (or the group of equal
+    rows) at its threshold at most.
     """
     sized, aims = plan_mix(with_row(docs.select("doc_id", "text", "source")), config)
     copies = F.col("whole") + (F.col("h") < F.col("cut")).cast("bigint")
@@ -121,7 +122,7 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """The mixture itself: rows of ``docs``, each as often as it is taken. Rows without words stay out."""
     _, aims = plan_mix(with_row(docs.select("doc_id", "text", "source")), config)
     picked = docs.select(F.struct(*columns(docs)).alias("d"), F.col("source").alias("src"),
-                         id_hash(F.col("doc_id"), seed=config.seed).alias("h"), word_count(F.col("text")).alias("size"))
+                         row_hash(F.col("doc_id"), F.col("text"), F.col("source"), config.seed).alias("h"), word_count(F.col("text")).alias("size"))
     picked = picked.where("size > 0").join(aims, picked["src"].eqNullSafe(aims["s"]))
     copies = (F.col("whole") + (F.col("h") < F.col("cut")).cast("bigint")).cast("int")
     return picked.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).select("d.*")
@@ -131,7 +132,7 @@ def mix(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
 ORACLE_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|' || coalesce(source, '')), 1, 15))::BIGINT AS h
   FROM documents),
 named AS (
   SELECT source, source_size, 3 * source_size AS most,

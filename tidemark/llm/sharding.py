@@ -15,24 +15,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import settle
-from .common import id_hash
+from .common import row_hash
 from .mixing import HASH_BITS
 
 
 @dataclass(frozen=True)
 class ShardConfig:
-    """``bucket_rows`` is about the number of rows ranked together; it changes no result."""
+    """``bucket_rows`` is about the number of rows ranked together, ``block`` the number of buckets summed together;
+    they change no result."""
 
     shards: int = 40
     seed: int = 0
     bucket_rows: int = 2048
-
-
-def _offsets(counts: DataFrame, by: list[str], bucket: str) -> DataFrame:
-    """Rows in earlier buckets and in all, from (by, bucket, n)."""
-    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    return (counts.withColumn("before", F.sum("n").over(group.orderBy(bucket)) - F.col("n"))
-            .withColumn("all_n", F.sum("n").over(group)).drop("n"))
+    block: int = 4096
 
 
 def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -42,9 +37,26 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return on
 
 
-def _ranked(rows: DataFrame, by: list[str], bucket: str, order: list[Column], name: str) -> DataFrame:
+def _offsets(counts: DataFrame, by: list[str], bucket: str, block: int) -> DataFrame:
+    """Rows in earlier buckets (``before``) and in all (``all_n``), from (by, bucket, n).
+
+    Summed in two levels, ``block`` buckets at a time, so that no task orders all buckets: the one window without
+    buckets sees a row per block.
+    """
+    counts = settle(counts.withColumn("block", F.floor(F.col(bucket) / block)), "shard-counts")
+    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    blocks = counts.groupBy(*by, "block").agg(F.sum("n").alias("block_n"))
+    blocks = (blocks.withColumn("block_before", F.sum("block_n").over(group.orderBy("block")) - F.col("block_n"))
+              .withColumn("all_n", F.sum("block_n").over(group)).drop("block_n"))
+    blocks = blocks.select(*[F.col(c).alias(f"o_{c}") for c in [*by, "block"]], "block_before", "all_n")
+    inside = counts.withColumn("earlier", F.sum("n").over(W.partitionBy(*by, "block").orderBy(bucket)) - F.col("n"))
+    joined = inside.join(blocks, _same(inside, blocks, [*by, "block"]))
+    return joined.select(*by, bucket, (F.col("block_before") + F.col("earlier")).alias("before"), "all_n")
+
+
+def _ranked(rows: DataFrame, by: list[str], bucket: str, order: list[Column], name: str, block: int) -> DataFrame:
     """Add ``name`` (rank from 0 within ``by``) and ``all_n`` (rows of ``by``)."""
-    offsets = _offsets(rows.groupBy(*by, bucket).agg(F.count("*").alias("n")), by, bucket)
+    offsets = _offsets(rows.groupBy(*by, bucket).agg(F.count("*").alias("n")), by, bucket, block)
     offsets = offsets.select(*[F.col(c).alias(f"o_{c}") for c in [*by, bucket]], "before", "all_n")
     inside = rows.withColumn("inside", F.row_number().over(W.partitionBy(*by, bucket).orderBy(*order)) - 1)
     joined = inside.join(offsets, _same(inside, offsets, [*by, bucket]))
@@ -56,22 +68,22 @@ def assign_shards(docs: DataFrame, config: ShardConfig = ShardConfig(), key: str
     """One row per row of ``docs``: doc_id, size (UTF-8 bytes + 16), text_crc32, source, shard, slot, fraction.
 
     A null text has no bytes (its CRC-32 is 0, that of no bytes). Null is a source like any other.
-    Equal ids share a hash; such rows are ordered by CRC-32 and size, and rows equal in those are
-    interchangeable, so a rerun gives the same result. An empty table has no shards.
+    Rows equal in id, text and source share a hash and are interchangeable, so a rerun gives the same result; rows
+    that only share an id spread over the buckets. An empty table has no shards.
     """
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     slim = settle(docs.select(
         F.col(key).alias("doc_id"), (F.octet_length(body) + 16).cast("bigint").alias("size"),
         F.crc32(body).alias("text_crc32"), F.col(source).alias("source"),
-        id_hash(F.col(key), seed=config.seed).alias("h")), "shard-rows")
+        row_hash(F.col(key), F.col(text), F.col(source), config.seed).alias("h")), "shard-rows")
     total = slim.count()
     buckets = max(1, -(-total // config.bucket_rows))
     ties = [F.col("h"), F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
     by_hash = slim.withColumn("bucket", F.floor(F.col("h") / (float(1 << HASH_BITS) / buckets)))
-    ranked = _ranked(by_hash, ["source"], "bucket", ties, "source_rank")
+    ranked = _ranked(by_hash, ["source"], "bucket", ties, "source_rank", config.block)
     ranked = ranked.withColumn("fraction", (F.col("source_rank") * 2 + 1) / (F.col("all_n") * 2)).drop("all_n", "bucket")
     ranked = settle(ranked.withColumn("bucket", F.floor(F.col("fraction") * buckets)), "shard-ranks")
-    placed = _ranked(ranked, [], "bucket", [F.col("fraction"), F.col("source").asc_nulls_last(), *ties], "at")
+    placed = _ranked(ranked, [], "bucket", [F.col("fraction"), F.col("source").asc_nulls_last(), *ties], "at", config.block)
     shard = F.expr(f"at * {config.shards} div all_n")
     first = F.expr(f"(shard * all_n + {config.shards - 1}) div {config.shards}")
     return (placed.withColumn("shard", shard).withColumn("slot", F.col("at") - first)
@@ -92,10 +104,10 @@ WITH steps(i, v) AS (
                         lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END)
   FROM range(256) t(i)),
 crc AS (SELECT list(v ORDER BY i) AS t FROM steps),
-hexed AS (SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+hexed AS (SELECT doc_id, source, text, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
 summed AS (
   SELECT doc_id, source, n + 16 AS size,
-         ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h,
+         ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|' || coalesce(source, '')), 1, 15))::BIGINT AS h,
          xor(4294967295::UBIGINT, list_reduce([4294967295::UBIGINT] || list_transform(range(n), lambda k: ('0x' || substr(x, 2 * k + 1, 2))::UBIGINT),
              lambda a, b: xor(a >> 8, t[((xor(a, b) & 255) + 1)::BIGINT])))::BIGINT AS text_crc32
   FROM hexed, crc),
