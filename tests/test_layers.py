@@ -472,3 +472,24 @@ def test_runs_count_while_they_write(spark, root, tmp_path, monkeypatch):
     stored = snapshots.read_current(spark, root, BRONZE)
     assert (told.bronze_rows_after, told.silver_rows_after) == (stored.count(), stored.count())
     assert told.watermark_after == datetime(2024, 3, 7) and told.gold_tables_passed == 5
+
+
+def test_cubes_by_year_are_pruned(spark, root):
+    from tidemark.operators import filters
+    from tidemark.spec import FilterSpec
+    years = [2021, 2022, 2023, 2024, None]
+    s = silver(spark, *[dict(crime_id=i, year=years[i % 5], date=datetime(years[i % 5] or 2020, 1 + i % 12, 3)) for i in range(60)])
+    ref = snapshots.write_keyed([s], root, "r", SILVER, "crime_id", 2)
+    snapshots.promote(spark, root, "r", snapshots.current(spark, root), {SILVER: ref})
+    bundle.publish_cubes(spark, root)
+    for name, build in bundle.CUBES.items():
+        stored, made = snapshots.read_current(spark, root, name), build(s)
+        assert stored.schema.simpleString() == made.schema.simpleString()
+        assert sorted(map(str, stored.collect())) == sorted(map(str, made.collect()))
+        assert len(stored.inputFiles()) == 5
+        chosen = FilterSpec(start="2022-05", end="2023-02")
+        some = filters.apply_filter(stored, chosen)
+        assert sorted(map(str, some.collect())) == sorted(map(str, filters.apply_filter(made, chosen).collect()))
+        listed = re.search(r"PartitionFilters: \[([^\]]*)\]", _plan(some)).group(1)
+        assert ">= 2022" in listed and "<= 2023" in listed
+    assert set(snapshots.current(spark, root).tables) == {SILVER, *bundle.CUBES}

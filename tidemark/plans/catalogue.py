@@ -735,6 +735,23 @@ def _(spark, sf):
     return _refreshed(spark, sf)[1].drop("run_id", "batch_id")
 
 
+@query("s9_f4_cubes_by_year")
+def _(spark, sf):
+    # Published in folders by year; the selections read only those of their years.
+    root = scratch_path(spark, "cubes")
+    ref = snapshots.write_keyed([silver(spark, sf)], root, "run-1", refresh.SILVER, "crime_id", _buckets(spark))
+    snapshots.promote(spark, root, "run-1", snapshots.current(spark, root), {refresh.SILVER: ref})
+    bundle.publish_cubes(spark, root)
+    months, times = (snapshots.read_current(spark, root, name) for name in bundle.CUBES)
+    parts = {"months": (months, SELECTION), "place": (months, PLACE), "times": (times, SELECTION), "arrested": (times, ARRESTED)}
+    rows = [filters.apply_filter(cube, f).groupBy("year").agg(F.sum(filters.metric(f)).cast("bigint").alias("value"))
+            .select(F.lit(name).alias("selection"), "year", "value") for name, (cube, f) in parts.items()]
+    out = rows[0]
+    for other in rows[1:]:
+        out = out.unionByName(other)
+    return out
+
+
 @query("o1_run_identity")
 def _(spark, sf):
     root, _summary = _refreshed(spark, sf)

@@ -839,6 +839,9 @@ SELECT 'SUCCESS' AS status, (SELECT count(*) FROM slice) AS api_records_fetched,
   count(CASE WHEN is_new THEN 1 END) AS rows_inserted,
   count(CASE WHEN is_update THEN 1 END) AS rows_updated, count(*) AS bronze_rows_after,
   count(*) AS silver_rows_after, CAST(5 AS INTEGER) AS gold_tables_passed FROM j""")
+_sql("s9_f4_cubes_by_year", "sel sel_place tsel tsel_arrested", "\nUNION ALL ".join(
+    f"SELECT '{name}' AS selection, year, CAST(sum(value) AS BIGINT) AS value FROM {cte} GROUP BY year" for name, cte in
+    (("months", "sel"), ("place", "sel_place"), ("times", "tsel"), ("arrested", "tsel_arrested"))))
 _sql("o1_run_identity", "target", _BATCH + """
 SELECT TRUE AS run_id_formed, TRUE AS batch_id_formed, TRUE AS duration_agrees,
   (SELECT count(*) FROM batch) AS stage_rows, (SELECT count(*) FROM batch JOIN target USING (id)) AS overlap_rows,

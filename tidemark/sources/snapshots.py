@@ -68,10 +68,10 @@ def run_folder(root: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/runs/{run_id}"
 
 
-def write_table(df: DataFrame, root: str, run_id: str, name: str) -> TableRef:
-    """Write a table into the run's folder."""
+def write_table(df: DataFrame, root: str, run_id: str, name: str, by: tuple[str, ...] = ()) -> TableRef:
+    """Write a table into the run's folder, in folders by the columns in ``by``, whose values must be few."""
     ref = TableRef(f"{run_folder(root, run_id)}/{name}", df.schema.json())
-    df.write.parquet(ref.path)
+    df.write.partitionBy(*by).parquet(ref.path)
     return ref
 
 
@@ -136,7 +136,7 @@ def read_table(spark: SparkSession, ref: TableRef, only: list[int] | None = None
     bucket. With ``only`` a keyed table's other buckets are not read."""
     schema = T.StructType.fromJson(json.loads(ref.schema))
     if ref.key is None:
-        return spark.read.schema(schema).parquet(ref.path)
+        return spark.read.schema(schema).parquet(ref.path).select(*schema.names)  # folder columns come last otherwise
     table = _name(ref)
     quoted = lambda path: path.replace("'", "\\'")
     if not spark.catalog.tableExists(table):
