@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.calendar import weekday_name
 from ..functions.labels import status_label
 from ..functions.measures import count_where, rate_pct
+from ..sources.snapshots import bucket_of
 from ..spec import COORDINATE_FIELDS, LINEAGE_FIELDS, UNASSIGNED, ModelSpec
 from .rollups import GOLD, silver_totals, total_parts, totals_of
 
@@ -69,25 +70,63 @@ def _results(totals: DataFrame, tests: dict[str, Column]) -> DataFrame:
             .withColumn("validation_status", status_label(F.col("failed_rows"))))
 
 
+def _per_key(silver: DataFrame, m: ModelSpec) -> DataFrame:
+    """Rows, broken rules and totals by key, which gives the distinct keys without a second pass and needs no
+    shuffle where Silver is already partitioned by its key (bucketed, or fresh from the version ranking)."""
+    return silver.groupBy("crime_id").agg(
+        F.count(F.lit(1)).alias("copies"),
+        *[count_where(broken).alias(name) for name, broken in _silver_rules(m).items()],
+        *[c.alias(name) for name, c in total_parts().items()])
+
+
+def _total(c: str) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0))
+
+
 def silver_state(bronze: DataFrame, silver: DataFrame, m: ModelSpec) -> DataFrame:
     """One row: rows, keys and broken rules of Silver, the keys of Bronze, and the totals Gold must add up to.
 
-    Silver is read once. Everything is summed per key first, which gives the distinct keys without a second
-    pass and needs no shuffle where Silver is already partitioned by its key (bucketed, or fresh from the
-    version ranking).
+    Silver is read once.
     """
-    rules, parts = _silver_rules(m), total_parts()
-    per_key = silver.groupBy("crime_id").agg(
-        F.count(F.lit(1)).alias("copies"),
-        *[count_where(broken).alias(name) for name, broken in rules.items()],
-        *[c.alias(name) for name, c in parts.items()])
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    totals = per_key.agg(
-        total("copies").alias("silver_rows"), F.count("crime_id").alias("silver_keys"),
-        *[total(name).alias(name) for name in rules], *totals_of(list(parts), m))
+    totals = _per_key(silver, m).agg(
+        _total("copies").alias("silver_rows"), F.count("crime_id").alias("silver_keys"),
+        *[_total(name).alias(name) for name in _silver_rules(m)], *totals_of(list(total_parts()), m))
     return totals.withColumn("bronze_keys", bronze.agg(F.countDistinct("id").alias("bronze_keys")).scalar())
 
 
+def _merged(m: ModelSpec) -> list[Column]:
+    """Sums and extremes of rows of ``bucket_state``."""
+    sums = ["silver_rows", "silver_keys", "bronze_keys", *_silver_rules(m)]
+    best = {"minimum": F.min, "maximum": F.max}
+    return [_total(name).alias(name) for name in sums] + [
+        best.get(name.partition("_")[0], _total)(name).alias(name) for name in total_parts()]
+
+
+def bucket_state(bronze: DataFrame, silver: DataFrame, m: ModelSpec, buckets: int) -> DataFrame:
+    """One row per bucket of the key: rows, keys and broken rules of Silver, the keys of Bronze, and the parts of
+    the totals Gold must add up to.
+
+    A key has one bucket in both tables, so rows of different buckets add up, and a bucket that was written anew
+    replaces its row without a look at the others. Tables bucketed by key are not shuffled, only their buckets' sums.
+    """
+    of_silver = _per_key(silver, m).select(
+        bucket_of("crime_id", buckets).alias("bucket"), F.col("copies").alias("silver_rows"),
+        F.col("crime_id").isNotNull().cast("bigint").alias("silver_keys"), F.lit(0).cast("bigint").alias("bronze_keys"),
+        *_silver_rules(m), *total_parts())
+    keys = bronze.where(F.col("id").isNotNull()).groupBy("id").agg(F.lit(1).cast("bigint").alias("bronze_keys"))
+    of_bronze = keys.select(bucket_of("id", buckets).alias("bucket"), "bronze_keys")
+    each = [rows.groupBy("bucket").agg(*columns) for rows, columns in (
+        (of_silver, _merged(m)), (of_bronze, [_total("bronze_keys").alias("bronze_keys")]))]
+    return each[0].unionByName(each[1], allowMissingColumns=True).groupBy("bucket").agg(*_merged(m))
+
+
+def merged_state(states: DataFrame, m: ModelSpec) -> DataFrame:
+    """``silver_state`` from rows of ``bucket_state``."""
+    sums = ["silver_rows", "silver_keys", *_silver_rules(m)]
+    return states.agg(*[_total(name).alias(name) for name in sums], *totals_of(list(total_parts()), m),
+                      _total("bronze_keys").alias("bronze_keys"))
+
+
 def silver_results(state: DataFrame, m: ModelSpec) -> DataFrame:
     """Eight rows: test name, failed rows, status."""
     return _results(state, {

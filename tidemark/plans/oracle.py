@@ -401,6 +401,7 @@ _GOLD = "monthly area outcome week grid"
 _sql("q1_q8_silver_checks", "silver", _silver_checks("silver", 1995, 2001, "11, 26", (4, 3, 2, 2)))
 _sql("q1_q8_defects_found", "unvoided",
      _silver_checks("unvoided", 1996, 2000, "11, 26", (4, 2, 2, 3)))
+SQL["q1_q8_checks_kept_up"] = SQL["q1_q8_defects_found"]
 _sql("q9_silver_gate", "silver",
      _silver_checks("silver", 1995, 2001, "11, 26", (4, 3, 2, 2)).replace(
          "SELECT test_name, failed_rows,", ", g AS (SELECT test_name, failed_rows,") + """)

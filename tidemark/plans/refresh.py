@@ -19,6 +19,7 @@ from ..sources.snapshots import Manifest, TableRef
 from ..spec import BRONZE_SCHEMA, ModelSpec
 
 BRONZE, SILVER = "bronze_crimes", "silver_crimes"
+STATE = "silver_check_state"  # what the checks need to know, one row per bucket
 
 
 class RefreshFailed(RuntimeError):
@@ -120,24 +121,44 @@ def _stamp(m: ModelSpec) -> str:
     return hashlib.md5(repr(m).encode()).hexdigest()
 
 
+def stale_buckets(spark: SparkSession, bronze_ref: TableRef, state: TableRef) -> list[int]:
+    """Buckets whose Bronze is not the one that their Silver was derived from, whoever wrote them since."""
+    made_from = dict(snapshots.read_table(spark, state).select("bucket", "source").collect())  # one row per bucket
+    return [i for i, path in enumerate(bronze_ref.runs) if made_from.get(i) != path]
+
+
+def write_state(spark: SparkSession, bronze_ref: TableRef, silver_ref: TableRef, root: str, run_id: str, m: ModelSpec,
+                stored: TableRef | None, some: list[int] | None) -> tuple[TableRef, int]:
+    """The state of the checks by bucket, and the rows of Silver; of all buckets, or of ``some`` with the stored
+    rows of the others. ``source`` is the folder of Bronze that a bucket was derived from."""
+    again = range(bronze_ref.buckets) if some is None else some
+    origin = spark.createDataFrame([(i, bronze_ref.runs[i]) for i in again], "bucket int, source string")
+    bronze, silver = (snapshots.read_table(spark, ref, some) for ref in (bronze_ref, silver_ref))
+    rows = origin.join(quality.bucket_state(bronze, silver, m, bronze_ref.buckets), "bucket", "left")
+    if some is not None:
+        rows = rows.unionByName(snapshots.read_table(spark, stored).join(origin, "bucket", "left_anti"))
+    watched, seen = observed(rows, silver_rows_after=F.coalesce(F.sum("silver_rows"), F.lit(0)))
+    return snapshots.write_table(watched, root, run_id, STATE), seen.get["silver_rows_after"]
+
+
 def build_layers(spark: SparkSession, bronze_ref: TableRef, root: str, run_id: str, m: ModelSpec,
-                 parent: Manifest, touched: list[int], record: runlog.RunRecord) -> dict[str, TableRef]:
+                 parent: Manifest, record: runlog.RunRecord) -> dict[str, TableRef]:
     """Silver, its gate, Gold, its gate; returns what to publish or raises.
 
-    Where the published layers were made with the same model from the same buckets, Silver is derived for the
-    ``touched`` buckets only, and Gold takes off what these buckets gave before and adds what they give now.
-    Silver is read twice: for the checks, with the totals Gold must add up to, and for the parents of Gold.
+    Where the published layers were made with the same model from the same buckets, Silver is derived and checked
+    for the buckets only whose Bronze has changed since, and Gold takes off what these buckets gave before and adds
+    what they give now. The checks still speak for all of Silver: the state of the other buckets is kept.
     """
-    bronze, buckets, before = snapshots.read_table(spark, bronze_ref), bronze_ref.buckets, parent.tables.get(SILVER)
+    buckets, before = bronze_ref.buckets, parent.tables.get(SILVER)
     partly = before is not None and (before.stamp, before.buckets) == (_stamp(m), buckets) and all(
-        name in parent.tables for name in rollups.GOLD)
-    some = touched if partly else None
-    derived = to_silver(snapshots.read_table(spark, bronze_ref, some), m)
-    refs = {SILVER: snapshots.write_keyed([derived], root, run_id, SILVER, "crime_id", buckets, before, some, _stamp(m))}
+        name in parent.tables for name in (STATE, *rollups.GOLD))
+    touched = stale_buckets(spark, bronze_ref, parent.tables[STATE]) if partly else None
+    derived = to_silver(snapshots.read_table(spark, bronze_ref, touched), m)
+    refs = {SILVER: snapshots.write_keyed([derived], root, run_id, SILVER, "crime_id", buckets, before, touched, _stamp(m))}
     silver = snapshots.read_table(spark, refs[SILVER])
-    found, seen = observed(quality.silver_state(bronze, silver, m), silver_rows_after=F.max("silver_rows"))
-    state = snapshots.read_table(spark, snapshots.write_table(found, root, run_id, "silver_state"))
-    record.count(seen.get)
+    refs[STATE], record.silver_rows_after = write_state(spark, bronze_ref, refs[SILVER], root, run_id, m,
+                                                        parent.tables.get(STATE), touched)
+    state = quality.merged_state(snapshots.read_table(spark, refs[STATE]), m)
     name = "silver_quality_results"
     refs[name], _ = _checked(quality.silver_results(state, m), root, run_id, name)
     quality.gate(snapshots.read_table(spark, refs[name]), quality.SILVER_FAILED)
@@ -181,15 +202,14 @@ def _refresh(spark: SparkSession, cfg: RefreshConfig, record: runlog.RunRecord)
     batch = write_batch(spark, stamped, root, run_id, record)
 
     refs: dict[str, TableRef] = {}
-    touched: list[int] = []
     times = [mark["newest"]]
     if record.api_records_fetched:
         stage, newest = stage_batch(spark, batch, root, run_id, m, record)
-        ref, touched = merge_batch(spark, stage, root, run_id, ref, record, by_content(m))
+        ref, _ = merge_batch(spark, stage, root, run_id, ref, record, by_content(m))
         refs[BRONZE] = ref
         times.append(newest)
 
-    refs.update(build_layers(spark, ref, root, run_id, m, parent, touched, record))
+    refs.update(build_layers(spark, ref, root, run_id, m, parent, record))
     # A merge adds rows and never lowers the newest time: a staged row that is not taken is older than a stored one.
     record.bronze_rows_after = mark["bronze_rows"] + record.rows_inserted
     record.watermark_after = max((t for t in times if t is not None), default=None)
