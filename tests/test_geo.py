@@ -4,9 +4,10 @@ import math
 import random
 from collections import defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 
-from tidemark.functions.projection import window_origin, world_size
+from tidemark.functions.projection import window_bounds, window_origin, world_size
 from tidemark.operators import geo
 from tidemark.spec import Viewport
 
@@ -83,3 +84,69 @@ def test_heat_zones(grid, cells, zoom, size):
 def test_nothing_in_view(grid):
     far = Viewport(zoom=13, width=300, height=300, latitude=10.0, longitude=10.0)
     assert geo.pixel_clusters(grid, far).count() == 0 and geo.heat_zones(grid, far).count() == 0
+
+
+# --- cells in order of space --------------------------------------------------------
+
+
+def interleaved(row, column):
+    return sum(((row >> i & 1) << 2 * i + 1) | ((column >> i & 1) << 2 * i) for i in range(geo.KEY_BITS))
+
+
+@pytest.mark.parametrize("scale", [1000.0, 1e7])
+def test_place_key(spark, scale):
+    places = [(41.6, -87.9), (-90.0, -180.0), (90.0, 180.0), (0.0, 0.0), (-33.868, 151.209), (95.0, -200.0), (None, 1.0), (1.0, None)]
+    df = spark.createDataFrame(places, "lat double, lon double")
+    found = [r[0] for r in df.select(geo.place_key(df.lat, df.lon, scale)).collect()]
+    top = (1 << geo.KEY_BITS) - 1
+    number = lambda c, lowest: max(0, min(top, int(math.floor((c - lowest) * scale + 0.5))))
+    assert found == [None if None in p else interleaved(number(p[0], -90), number(p[1], -180)) for p in places]
+
+
+@pytest.mark.parametrize("most", [1, 4, 32, 500])
+def test_ranges_hold_every_visible_cell(spark, grid, most):
+    for view in (VIEW, Viewport(zoom=14, width=300, height=900), Viewport(zoom=9, width=50, height=50, latitude=41.7),
+                 Viewport(zoom=1, width=900, height=900), Viewport(zoom=12, width=400, height=400, longitude=-180.0)):
+        ranges = geo.view_ranges(view, 1000.0, most)
+        assert 1 <= len(ranges) <= most and all(a[1] + 1 < b[0] for a, b in zip(ranges, ranges[1:]))
+        keyed = geo.visible(grid, view).select(geo.place_key(grid.lat_bin, grid.long_bin, 1000.0).alias("k"))
+        assert all(any(a <= r.k <= b for a, b in ranges) for r in keyed.collect())
+
+
+def test_more_ranges_read_less(spark):
+    size = lambda n: sum(b - a + 1 for a, b in geo.view_ranges(VIEW, 1000.0, n))
+    sizes = [size(n) for n in (1, 4, 16, 64, 500)]
+    assert sizes == sorted(sizes, reverse=True)
+    south, west, north, east = window_bounds(VIEW.latitude, VIEW.longitude, VIEW.zoom, VIEW.width, VIEW.height, geo.MARGIN)
+    assert sizes[-1] < 1.25 * (north - south) * (east - west) * 1e6
+
+
+def test_a_view_reads_its_part_only(spark, tmp_path):
+    """The ranges are pushed to the scan, and the statistics of most files exclude them; the views are the same."""
+    rng = random.Random(9)
+    cells = {(rng.randrange(-90000, 90000) / 1000, rng.randrange(-180000, 180000) / 1000) for _ in range(20000)} | {
+        (41.6 + i / 1000, -87.9 + j / 1000) for i in range(0, 400, 8) for j in range(0, 400, 8)}
+    grid = spark.createDataFrame([(a, b, rng.randint(1, 50), 1, 0.0) for a, b in cells] + [(None, 1.0, 5, 1, 0.0)],
+                                 "lat_bin double, long_bin double, total_crimes bigint, total_arrests bigint, arrest_rate double")
+    path = str(tmp_path / "cells")
+    geo.space_ordered(grid, 1000.0, 40).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == len(cells) + 1
+    some = geo.in_view(stored, VIEW, 1000.0)
+    assert some.columns == grid.columns
+    plan = some._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(place_key" in plan and "LessThanOrEqual(place_key" in plan
+    wanted = geo.view_ranges(VIEW, 1000.0)
+    spans = []
+    for file in (tmp_path / "cells").glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for group in range(meta.num_row_groups):
+            stats = [meta.row_group(group).column(i).statistics for i in range(meta.num_columns)][meta.schema.names.index("place_key")]
+            spans.append((stats.min, stats.max) if stats.has_min_max else None)
+    read = [s for s in spans if s and any(a <= s[1] and s[0] <= b for a, b in wanted)]
+    assert len(spans) >= 40 and 1 <= len(read) <= 8
+    key = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert key(geo.pixel_clusters(some, VIEW)) == key(geo.pixel_clusters(grid, VIEW))
+    assert key(geo.heat_zones(some, VIEW).drop("tier")) == key(geo.heat_zones(grid, VIEW).drop("tier"))
+    nothing = geo.space_ordered(grid.limit(0), 1000.0)
+    assert geo.in_view(nothing, VIEW, 1000.0).count() == 0

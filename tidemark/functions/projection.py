@@ -39,3 +39,12 @@ def window_origin(latitude: float, longitude: float, zoom: int,
     x = (longitude + 180.0) / 360.0 * world_size(zoom)
     y = (1.0 - math.log(math.tan(phi) + 1.0 / math.cos(phi)) / math.pi) / 2.0 * world_size(zoom)
     return x - width / 2.0, y - height / 2.0
+
+
+def window_bounds(latitude: float, longitude: float, zoom: int, width: float, height: float,
+                  margin: float) -> tuple[float, float, float, float]:
+    """South, west, north and east of a window with a margin of pixels around it."""
+    left, top = window_origin(latitude, longitude, zoom, width, height)
+    degrees = lambda x: x / world_size(zoom) * 360.0 - 180.0
+    parallel = lambda y: math.degrees(math.atan(math.sinh(math.pi * (1.0 - 2.0 * y / world_size(zoom)))))
+    return (parallel(top + height + margin), degrees(left - margin), parallel(top - margin), degrees(left + width + margin))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import quality, rollups
+from ..operators import geo, quality, rollups
 from ..session import together
 from ..sources import exports, snapshots
 from .refresh import SILVER
@@ -34,6 +34,17 @@ def publish_cubes(spark: SparkSession, root: str) -> snapshots.Manifest:
     return snapshots.promote(spark, root, run_id, parent, dict(zip(CUBES, refs)))
 
 
+GRID = "grid_by_place"
+
+
+def publish_grid(spark: SparkSession, root: str, scale: float, files: int | None = None) -> snapshots.Manifest:
+    """Publish the cells of the current snapshot in order of space, so that a map view reads only its part."""
+    parent, run_id = snapshots.current(spark, root), f"grid-{uuid.uuid4().hex}"
+    cells = snapshots.read_table(spark, snapshots.resolve(parent, "gold_crime_hotspots"))
+    ref = snapshots.write_table(geo.space_ordered(cells, scale, files), root, run_id, GRID)
+    return snapshots.promote(spark, root, run_id, parent, {GRID: ref})
+
+
 # The order datasets are published in; NULLs come last.
 ORDER = {
     "monthly": ("year", "month", "primary_type"),

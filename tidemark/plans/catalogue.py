@@ -518,6 +518,28 @@ def _(spark, sf):
                    "x", "y", "latitude", "longitude", "score", "intensity", "radius")
 
 
+def _grid_by_place(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells as published in order of space."""
+    root = scratch_path(spark, "places")
+    ref = snapshots.write_table(grid(spark, sf), root, "run-1", "gold_crime_hotspots")
+    snapshots.promote(spark, root, "run-1", snapshots.current(spark, root), {"gold_crime_hotspots": ref})
+    bundle.publish_grid(spark, root, MODEL.bin_scale)
+    return snapshots.read_current(spark, root, bundle.GRID)
+
+
+@query("c12_clusters_by_place")
+def _(spark, sf):
+    cells = geo.in_view(_grid_by_place(spark, sf), VIEW, MODEL.bin_scale)
+    return rounded(geo.pixel_clusters(cells, VIEW), "x", "y", "latitude", "longitude", "radius")
+
+
+@query("c13_zones_by_place")
+def _(spark, sf):
+    cells = geo.in_view(_grid_by_place(spark, sf), NARROW_VIEW, MODEL.bin_scale)
+    return rounded(geo.heat_zones(cells, NARROW_VIEW),
+                   "x", "y", "latitude", "longitude", "score", "intensity", "radius")
+
+
 # --- outcomes ----------------------------------------------------------------------
 
 

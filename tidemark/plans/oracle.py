@@ -672,6 +672,8 @@ SELECT {_CENTRE}, round(score + 1e-10, 6) AS score, round(intensity + 1e-10, 6)
 
 _sql("c13_heat_zones", "grid", _heat(11, 900, 620, 13))
 _sql("c13_heat_zones_close", "grid", _heat(13, 700, 400, 10, "-87.86e0"))
+# the same views from cells in order of space
+SQL |= {"c12_clusters_by_place": SQL["c12_pixel_clusters"], "c13_zones_by_place": SQL["c13_heat_zones_close"]}
 
 # --- outcomes ----------------------------------------------------------------------
 
