@@ -120,8 +120,10 @@ def test_one_large_group_of_near_copies(spark):
             mine[k] = f"v{i}_{k}"
         texts[i] = " ".join(mine)
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = minhash.op8_near_dedup(d, minhash.NearConfig(block=16)).toPandas()
-    assert dict(zip(got.doc_id, got.class_id)) == brute_classes(texts)
+    expected = brute_classes(texts)
+    for most in (1 << 22, 300):  # one task a cluster, and about one pair of texts a task
+        got = minhash.op8_near_dedup(d, minhash.NearConfig(block=16, cluster_shingles=most)).toPandas()
+        assert dict(zip(got.doc_id, got.class_id)) == expected
 
 
 def test_awkward_near_copies(spark):

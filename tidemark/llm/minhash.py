@@ -203,9 +203,9 @@ def _sets(rows: DataFrame, wanted: DataFrame, config: NearConfig) -> DataFrame:
 
     words = F.unhex(F.md5(F.trim(F.regexp_replace("text", f"[{SPACE}]+", " "))))
     wanted = wanted.select("node", F.col("words").alias("wanted_words"))
-    # One shuffle of the texts, whatever the size; of equal texts only one goes on.
-    texts = rows.where("text is not null").select("text", words.alias("words")).join(wanted.hint("merge"), F.col("words") == F.col("wanted_words"))
-    texts = texts.groupBy("wanted_words").agg(F.first("node").alias("node"), F.first("text").alias("text"))
+    # One shuffle of the texts, whatever the size; of equal texts each task sends one.
+    texts = rows.where("text is not null").groupBy(words.alias("words")).agg(F.first("text").alias("text"))
+    texts = texts.join(wanted.hint("merge"), F.col("words") == F.col("wanted_words")).select("node", "text")
     return settle(texts.mapInPandas(run, "node long, h array<long>, w array<long>"), "near-shingles")
 
 
@@ -240,8 +240,12 @@ def _root(parent: dict, x: int) -> int:
 
 
 def _clusters(members: DataFrame, config: NearConfig) -> DataFrame:
-    """Where links across components may be: rows (cluster, band, node, comp) of nodes that hang together by
-    promising pairs in a block of a bucket; a cluster with too many shingles for one task is given as pairs (a, b)."""
+    """Where links across components may be: rows (cluster, band, node, comp, part) of nodes that hang together by
+    promising pairs in a block of a bucket.
+
+    What hangs together is cut into parts of at most half of ``cluster_shingles``, or one text; a cluster holds the
+    nodes of promising pairs inside a part, or between two (``part`` 0 and 1), so that one task can hold its shingles.
+    """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"))
     sizes = sizes.where("least < most").select("bucket", F.ceil(F.col("n") / config.block).cast("int").alias("blocks"))
     mine = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
@@ -267,13 +271,15 @@ def _clusters(members: DataFrame, config: NearConfig) -> DataFrame:
         name = f"{pdf['bucket'].iloc[0]}:{pdf['i'].iloc[0]}:{pdf['j'].iloc[0]}"
         out = []
         for root, group in groups.items():
-            if n[group].sum() <= config.cluster_shingles:
-                out += [(f"{name}:{node[root]}", band, node[k], comp[k], None, None) for k in group]
-            else:
-                out += [(None, band, None, None, *sorted((node[k], node[o]))) for k in group for o in pairs.get(k, ())]
-        return pd.DataFrame(out, columns=["cluster", "band", "node", "comp", "a", "b"], dtype=object)
+            part = dict(zip(group, (np.cumsum(n[group]) - 1) * 2 // config.cluster_shingles))
+            held: dict[tuple, set[int]] = {}
+            for k in group:
+                for o in pairs.get(k, ()):
+                    held.setdefault((min(part[k], part[o]), max(part[k], part[o])), set()).update((k, o))
+            out += [(f"{name}:{node[root]}:{p}:{q}", band, node[k], comp[k], int(part[k] != p)) for (p, q), ks in held.items() for k in ks]
+        return pd.DataFrame(out, columns=["cluster", "band", "node", "comp", "part"])
 
-    return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "cluster string, band int, node long, comp long, a long, b long")
+    return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "cluster string, band int, node long, comp long, part int")
 
 
 def _joined(clusters: DataFrame, nodes: DataFrame, sets: DataFrame, config: NearConfig) -> DataFrame:
@@ -284,10 +290,13 @@ def _joined(clusters: DataFrame, nodes: DataFrame, sets: DataFrame, config: Near
         pdf = pdf.sort_values("node").reset_index(drop=True)
         low, bands = _unpack(pdf["low"], pdf["bands"])
         node, comp, h, w, band = pdf["node"].to_numpy(), pdf["comp"].to_numpy(), pdf["h"], pdf["w"], pdf["band"].iloc[0]
+        part = pdf["part"].to_numpy()
+        later = lambda k: np.arange(k + 1, len(pdf))
+        facing = (lambda k: later(k)[part[k + 1:] != part[k]]) if part.any() else later
         parent: dict[int, int] = {}
         out = []
         for k in range(len(pdf)):
-            for o in _close(low, bands, comp, k, np.arange(k + 1, len(pdf)), band, share):
+            for o in _close(low, bands, comp, k, facing(k), band, share):
                 x, y = _root(parent, int(comp[k])), _root(parent, int(comp[o]))
                 if x != y and similarity(h[k], w[k], h[o], w[o]) >= config.threshold:
                     parent[x] = y
@@ -328,9 +337,7 @@ def near_classes(docs: DataFrame, config: NearConfig = NearConfig(), key: str =
     wide = rest.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("wide")).where("wide").select("bucket")
     rest = rest.join(wide, "bucket").join(nodes.select("node", "low", "bands", "n"), "node")
     clusters = settle(_clusters(rest, config), "near-clusters")
-    more = _joined(clusters.where("cluster is not null").select("cluster", "band", "node", "comp"), nodes, sets, config).unionByName(
-        _verified(clusters.where("cluster is null").select("a", "b").distinct(), sets, config))
-    more = settle(more, "near-links")
+    more = settle(_joined(clusters, nodes, sets, config), "near-links")
     if not more.isEmpty():
         links = links.unionByName(more).distinct()
         comps = components(links)
