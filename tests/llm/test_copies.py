@@ -103,7 +103,7 @@ def test_near_classes_equal_brute_force(spark):
     assert (got.class_size == got.groupby("class_id").doc_id.transform("size")).all()
 
 
-def test_one_large_group_of_near_copies(spark):
+def test_one_large_group_of_near_copies(spark, monkeypatch):
     """Chains of edits: neighbours are similar, the ends are not, and more than one component meets in a bucket."""
     rng = np.random.RandomState(5)
     base = [f"t{i}" for i in range(120)]
@@ -121,7 +121,8 @@ def test_one_large_group_of_near_copies(spark):
         texts[i] = " ".join(mine)
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     expected = brute_classes(texts)
-    for most in (1 << 22, 300):  # one task a cluster, and about one pair of texts a task
+    for most, piece in ((1 << 22, 1024), (300, 8)):  # one task a cluster, and about one pair of texts a task
+        monkeypatch.setattr(minhash, "SLICE", piece)
         got = minhash.op8_near_dedup(d, minhash.NearConfig(block=16, cluster_shingles=most)).toPandas()
         assert dict(zip(got.doc_id, got.class_id)) == expected
 

@@ -48,6 +48,7 @@ class NearConfig:
 
 
 U = np.uint64
+SLICE = 1024  # rows of a bucket that are dealt together
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -239,6 +240,14 @@ def _root(parent: dict, x: int) -> int:
     return x
 
 
+def _by_bucket(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` (bucket, size, node, …) with the facts of their buckets (bucket, size, …). A large bucket is dealt in
+    slices by node, so that no task gets it whole; a bucket's facts go once to each slice."""
+    slices = F.ceil(F.col("size") / SLICE).cast("int")
+    sliced = facts.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("size")
+    return rows.withColumn("slice", F.pmod(F.xxhash64("node"), slices).cast("int")).join(sliced, ["bucket", "slice"]).drop("slice")
+
+
 def _clusters(members: DataFrame, config: NearConfig) -> DataFrame:
     """Where links across components may be: rows (cluster, band, node, comp, part) of nodes that hang together by
     promising pairs in a block of a bucket.
@@ -246,9 +255,8 @@ def _clusters(members: DataFrame, config: NearConfig) -> DataFrame:
     What hangs together is cut into parts of at most half of ``cluster_shingles``, or one text; a cluster holds the
     nodes of promising pairs inside a part, or between two (``part`` 0 and 1), so that one task can hold its shingles.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-    sizes = sizes.where("least < most").select("bucket", F.ceil(F.col("n") / config.block).cast("int").alias("blocks"))
-    mine = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    mine = members.withColumn("blocks", F.ceil(F.col("size") / config.block).cast("int"))
+    mine = mine.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp", "low", "bands", "n")
     share = config.threshold - config.slack
@@ -327,15 +335,16 @@ def near_classes(docs: DataFrame, config: NearConfig = NearConfig(), key: str =
     # The leader is the node that meets most others, so that a group of copies has few leaders, and close ones.
     central = shared.groupBy("node").agg(F.sum("size").alias("central"))
     sets = _sets(rows, central.join(nodes, "node").select("node", "words"), config)
-    leaders = shared.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", "node"))["node"].alias("leader"))
-    stars = shared.join(leaders, "bucket").where("node <> leader").select(
+    leaders = shared.join(central, "node").groupBy("bucket").agg(
+        F.max(F.struct("central", "node"))["node"].alias("leader"), F.first("size").alias("size"))
+    stars = _by_bucket(shared, leaders).where("node <> leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     links = settle(_verified(_promising(stars, nodes, config), sets, config), "near-links")
     comps = components(links)
     # What the leaders did not join: pairs across components of a bucket. Pairs of nodes have been compared.
-    rest = shared.where("size > 2").join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    wide = rest.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("wide")).where("wide").select("bucket")
-    rest = rest.join(wide, "bucket").join(nodes.select("node", "low", "bands", "n"), "node")
+    rest = shared.where("size > 2").join(comps, "node", "left").select("bucket", "size", "node", F.coalesce("comp", "node").alias("comp"))
+    wide = rest.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("wide"), F.first("size").alias("size")).where("wide").drop("wide")
+    rest = _by_bucket(rest, wide).join(nodes.select("node", "low", "bands", "n"), "node")
     clusters = settle(_clusters(rest, config), "near-clusters")
     more = settle(_joined(clusters, nodes, sets, config), "near-links")
     if not more.isEmpty():
