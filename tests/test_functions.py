@@ -118,3 +118,19 @@ def test_compact_json_leaves_strings_alone(spark):
     got = eval_text(spark, casts.compact_json, [
         '{"a": "x  y", "b" : [1, 2],\n "c\\"  d": null}', "plain  text", "", None, '{"p": "\\\\"}  '])
     assert got == ['{"a":"x  y","b":[1,2],"c\\"  d":null}', "plain  text", "", None, '{"p":"\\\\"}']
+
+
+def test_numbers_are_not_read_from_text_again(spark):
+    df = spark.createDataFrame([(1.5, "1.5"), (float("nan"), "nan"), (float("inf"), "inf"), (None, None), (-0.0, "-0.0")], "x double, t string")
+    got = df.select(casts.to_double(F.col("x")).alias("a"), casts.to_double(F.col("t")).alias("b"), "x")
+    assert all(str(r.a) == str(r.b) == str(r.x) for r in got.collect())
+    assert "rlike" not in df.select(casts.to_double(F.col("x")).alias("a"))._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_usual_numbers_take_the_short_way(spark):
+    texts = ["12", "+7", "-3", "007", "999999999999999999", "9223372036854775807", "9223372036854775808", "12 ", "1_0", "\u0001" + "5", "12D", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(casts.to_long(F.col("t"))).collect()]
+    assert got == [12, 7, -3, 7, 999999999999999999, 9223372036854775807, None, 12, 10, None, None, None]
+    got = [r[0] for r in df.select(casts.to_double(F.col("t"))).collect()]
+    assert got[:5] == [12.0, 7.0, -3.0, 7.0, 1e18] and got[7:] == [12.0, 10.0, None, None, None]

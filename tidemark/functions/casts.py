@@ -15,6 +15,8 @@ _PLAIN = rf"\A\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
 _DECIMAL = rf"{_PLAIN}\s*\z"
 _NUMBER = rf"{_PLAIN}(?:[eE][+-]?{_DIGITS})?\s*\z"
 _NO_NUMBER = r"(?i)\A\s*(?:[+-]?inf(?:inity)?|nan)\s*\z"
+_USUAL_LONG = r"\A[+-]?\d{1,18}+\z"  # most numbers: always a BIGINT, and read without the longer patterns
+_USUAL_DOUBLE = r"\A-?\d{1,18}+(?:\.\d{1,18}+)?\z"
 _OTHER_BASE = r"(?i)\A\s*0(?:x([0-9a-f]+)|b([01]+))\s*\z"
 
 # The usual form, which Spark reads as it is.
@@ -37,18 +39,23 @@ def _number(c: Column, form: str) -> Column:
 def to_long(c: Column) -> Column:
     """Text to BIGINT, rounded half away from zero. Only numbers with an exponent pass through a
     double; the others keep all 64 bits."""
-    if_hex, if_bits = (F.regexp_extract(c.cast("string"), _OTHER_BASE, g) for g in (1, 2))
-    other = F.when(c.cast("string").rlike(_OTHER_BASE), F.coalesce(
+    text = c.cast("string")
+    if_hex, if_bits = (F.regexp_extract(text, _OTHER_BASE, g) for g in (1, 2))
+    other = F.when(text.rlike(_OTHER_BASE), F.coalesce(
         F.conv(F.nullif(if_hex, F.lit("")), 16, 10), F.conv(F.nullif(if_bits, F.lit("")), 2, 10))).try_cast("bigint")
     whole = _number(c, _DECIMAL)
-    return F.coalesce(F.when(~F.contains(whole, F.lit(".")), whole.try_cast("bigint")),
-                      F.round(whole.try_cast("decimal(38,17)")).try_cast("bigint"),
-                      F.when(whole.isNull(), F.round(_number(c, _NUMBER).try_cast("double")).try_cast("bigint")), other)
+    odd = F.coalesce(F.when(~F.contains(whole, F.lit(".")), whole.try_cast("bigint")),
+                     F.round(whole.try_cast("decimal(38,17)")).try_cast("bigint"),
+                     F.when(whole.isNull(), F.round(_number(c, _NUMBER).try_cast("double")).try_cast("bigint")), other)
+    return F.when(text.rlike(_USUAL_LONG), text.try_cast("bigint")).otherwise(odd)
 
 
 def to_double(c: Column) -> Column:
     text = c.cast("string")
-    return F.coalesce(_number(c, _NUMBER), F.when(text.rlike(_NO_NUMBER), text)).try_cast("double")
+    odd = F.coalesce(_number(c, _NUMBER), F.when(text.rlike(_NO_NUMBER), text))
+    parsed = F.when(text.rlike(_USUAL_DOUBLE), text).otherwise(odd).try_cast("double")
+    # The type is known when the query is planned: a number is not written as text and read again.
+    return F.when(F.typeof(c) == "double", c.try_cast("double")).otherwise(parsed)
 
 
 def to_flag(c: Column) -> Column:
