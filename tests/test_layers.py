@@ -548,3 +548,28 @@ def test_cubes_by_year_are_pruned(spark, root):
         listed = re.search(r"PartitionFilters: \[([^\]]*)\]", _plan(some)).group(1)
         assert ">= 2022" in listed and "<= 2023" in listed
     assert set(snapshots.current(spark, root).tables) == {SILVER, *bundle.CUBES}
+
+
+def test_a_batch_staged_in_buckets_is_not_shuffled_by_the_merge(spark, tmp_path):
+    root = str(tmp_path)
+    refresh.bootstrap(spark, root, history(spark, *range(1, 50)), 4)
+    ref = snapshots.current(spark, root).tables[refresh.BRONZE]
+    stage, _ = refresh.stage_batch(spark, history(spark, *range(40, 60)), root, "r", M, ref=ref)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept, added = refresh.versions.merge_parts(snapshots.read_table(spark, ref), stage)
+        assert "Exchange" not in plan(kept) and "Exchange" not in plan(added)
+        assert kept.count() == 49 and added.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_landed_files_are_compressed(spark, tmp_path):
+    from tidemark.plans import catalogue
+
+    catalogue._land(history(spark, 1, 2, 3), str(tmp_path / "in"))
+    files = [f.name for f in (tmp_path / "in").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert intake.read_landing(spark, str(tmp_path / "in")).count() == 3

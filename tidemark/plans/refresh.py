@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -50,14 +51,16 @@ def _now() -> datetime:
 
 
 def bootstrap(spark: SparkSession, root: str, history: DataFrame, buckets: int,
-              tie_breakers: tuple[str, ...] = ()) -> Manifest:
+              tie_breakers: tuple[str, ...] = (), by_content: tuple[str, ...] = (),
+              unpack: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Manifest:
     """Publish the historical Bronze table, newest version of each key.
 
-    With one row per key the buckets are even, whatever the history's keys looked like.
+    With one row per key the buckets are even, whatever the history's keys looked like. ``by_content`` and ``unpack``
+    are those of ``versions.latest_stage``.
     """
     dated = history.withColumn("_updated", casts.to_timestamp(F.col("updated_on")))
-    ties = versions.all_ties(history, "id", tie_breakers)
-    bronze = versions.keep_latest(dated, "id", [F.col("_updated")], ties).select(*BRONZE_SCHEMA.names)
+    ties = by_content or versions.all_ties(history, "id", tie_breakers)
+    bronze = unpack(versions.keep_latest(dated, "id", [F.col("_updated")], ties)).select(*BRONZE_SCHEMA.names)
     run_id = f"bootstrap-{uuid.uuid4()}"
     ref = snapshots.write_keyed([snapshots.by_bucket(bronze, "id", buckets)],
                                 root, run_id, BRONZE, "id", buckets)
@@ -98,12 +101,17 @@ def write_batch(spark: SparkSession, records: DataFrame, root: str, run_id: str,
 
 
 def stage_batch(spark: SparkSession, typed: DataFrame, root: str, run_id: str, m: ModelSpec,
-                record: runlog.RunRecord | None = None) -> tuple[DataFrame, datetime | None]:
+                record: runlog.RunRecord | None = None, ref: TableRef | None = None) -> tuple[DataFrame, datetime | None]:
     """Reduce a typed batch to one row per key and write it, as it is read several times; also its newest
-    update time."""
+    update time. With ``ref``, the table it will be merged into, it is written in that table's buckets: it is shuffled
+    once, to be ranked, and not again by the merge."""
     latest, seen = observed(versions.latest_stage(typed, m.tie_breakers, by_content(m)), stage_rows=F.count(F.lit(1)),
                             newest=F.max(casts.to_timestamp(F.col("updated_on"))))
-    stage = snapshots.read_table(spark, snapshots.write_table(latest, root, run_id, "bronze_stage"))
+    if ref is None:
+        stage = snapshots.read_table(spark, snapshots.write_table(latest, root, run_id, "bronze_stage"))
+    else:
+        kept = snapshots.write_keyed([latest], root, run_id, "bronze_stage", "id", ref.buckets)
+        stage = snapshots.read_table(spark, kept, [i for i, path in enumerate(kept.runs) if path])
     if record is not None:
         record.stage_rows = seen.get["stage_rows"]
     return stage, seen.get["newest"]
@@ -204,7 +212,7 @@ def _refresh(spark: SparkSession, cfg: RefreshConfig, record: runlog.RunRecord)
     refs: dict[str, TableRef] = {}
     times = [mark["newest"]]
     if record.api_records_fetched:
-        stage, newest = stage_batch(spark, batch, root, run_id, m, record)
+        stage, newest = stage_batch(spark, batch, root, run_id, m, record, ref)
         ref, _ = merge_batch(spark, stage, root, run_id, ref, record, by_content(m))
         refs[BRONZE] = ref
         times.append(newest)

@@ -71,7 +71,7 @@ def run_folder(root: str, run_id: str) -> str:
 def write_table(df: DataFrame, root: str, run_id: str, name: str, by: tuple[str, ...] = ()) -> TableRef:
     """Write a table into the run's folder, in folders by the columns in ``by``, whose values must be few."""
     ref = TableRef(f"{run_folder(root, run_id)}/{name}", df.schema.json())
-    df.write.partitionBy(*by).parquet(ref.path)
+    df.write.partitionBy(*by).parquet(ref.path, compression="zstd")
     return ref
 
 
@@ -98,10 +98,10 @@ def write_keyed(parts: list[DataFrame], root: str, run_id: str, name: str, key:
     schema = parts[0].schema.json()
     table = f"tidemark_{uuid.uuid4().hex}"
     spark = parts[0].sparkSession
-    with _whole_buckets(spark):
+    with _whole_buckets(spark, buckets):
         for position, part in enumerate(parts):
             (part.withColumn(BUCKET, bucket_of(key, buckets)).write.format("parquet").mode("append" if position else "error")
-             .partitionBy(BUCKET).bucketBy(buckets, key).option("path", path).saveAsTable(table))
+             .partitionBy(BUCKET).bucketBy(buckets, key).options(path=path, compression="zstd").saveAsTable(table))
         written = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
         spark.sql(f"DROP TABLE {table}")  # a name only; the files are outside
     runs = list(over.runs) if over and touched is not None else [None] * buckets
@@ -111,15 +111,18 @@ def write_keyed(parts: list[DataFrame], root: str, run_id: str, name: str, key:
 
 
 @contextmanager
-def _whole_buckets(spark: SparkSession):
-    """One task per bucket also where no operator asks for that partitioning."""
-    name = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+def _whole_buckets(spark: SparkSession, buckets: int):
+    """One task per bucket also where no operator asks for that partitioning; what is ranked or joined by key on the
+    way is shuffled into buckets at once."""
+    settings = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false", "spark.sql.shuffle.partitions": str(buckets)}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def by_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:

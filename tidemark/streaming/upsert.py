@@ -27,7 +27,7 @@ def upsert_batch(batch: DataFrame, epoch: int, root: str, stream: str, source: s
     run_id = f"{stream}-{epoch}-{uuid.uuid4().hex}"
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     stamped = intake.stamp_lineage(batch, f"{stream}_{epoch}", source, now)
-    stage, _ = stage_batch(spark, intake.type_bronze(stamped), root, run_id, m)
+    stage, _ = stage_batch(spark, intake.type_bronze(stamped), root, run_id, m, ref=ref)
     merged, _ = merge_batch(spark, stage, root, run_id, ref, content=by_content(m))
     snapshots.promote(spark, root, run_id, parent, {BRONZE: merged})
 
