@@ -1,4 +1,5 @@
 import random
+import tempfile
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -147,3 +148,28 @@ def test_merge_by_content_does_not_depend_on_splits_or_order(spark):
         tables.add(tuple(sorted(map(str, table.collect()))))
     assert len(tables) == 1
     assert sorted(map(str, versions.upsert_newer(table, stage, order).collect())) == list(tables.pop())  # a replay
+
+
+def test_packed_versions_give_the_same_rows_with_less_to_shuffle(spark):
+    from tidemark.plans import fixture
+
+    lines = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"
+    day = lambda n: datetime(1997, 3, n)
+    rows = [(1, 3, 50, 1, 5.0, 70000.0, 0.0, 0.0, "R", "O", day(2)), (1, 3, 50, 1, 5.0, 70000.0, 0.0, 0.0, "A", "O", day(2)),
+            (1, 97, 7, 1, 1.0, 10.0, 0.0, 0.0, None, "O", day(1)), (2, 4, None, 3, None, None, 0.0, 0.0, "N", "O", None),
+            (2, 5, 9, 2, 4.0, 9.0, 0.0, 0.0, "N", "F", day(9)), (None, 5, 9, 2, 4.0, 9.0, 0.0, 0.0, "N", "F", day(9)),
+            (3, 77, 9, 2, 4.0, 9.0, 0.0, 0.0, "N", "F", day(9))]
+    parts = [(n, f"name {n}", f"Brand#{n}", "SMALL", 1, 1.0) for n in (3, 4, 5, 97)]
+    folder = tempfile.mkdtemp()
+    for name, data, schema in (("lineitem", rows, fixture.SCHEMAS["lineitem"]), ("part", parts, fixture.SCHEMAS["part"])):
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+    assert len(lines.split()) == len(rows[0])
+    whole, packed = fixture.bronze(spark, folder), fixture.packed(spark, folder)
+    plain = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    for a, b in ((to_silver(whole, fixture.MODEL), to_silver(packed, fixture.MODEL, fixture.unpacked)),
+                 (versions.latest_stage(whole, fixture.MODEL.tie_breakers),
+                  versions.latest_stage(packed, by_content=fixture.CONTENT, unpack=fixture.unpacked))):
+        assert plain(a) == plain(b) and len(plain(a)) > 1
+    text = to_silver(packed, fixture.MODEL, fixture.unpacked)._jdf.queryExecution().executedPlan().toString()
+    sent = text[text.rindex("WindowGroupLimit"):]
+    assert "XX BLOCK" not in sent and "latitude" not in sent  # derived above the ranking

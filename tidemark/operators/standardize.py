@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import casts
@@ -11,7 +13,8 @@ from .versions import keep_latest
 
 def code(c: Column, width: int) -> Column:
     """Zero-padded text code; longer text is cut to the width."""
-    return F.lpad(casts.trim_spaces(c.cast("string")), width, "0")
+    text = c.cast("string")
+    return F.lpad(F.when(F.typeof(c) == "bigint", text).otherwise(casts.trim_spaces(text)), width, "0")
 
 
 def upper_code(c: Column) -> Column:
@@ -36,14 +39,15 @@ def coordinate(name: str, m: ModelSpec) -> Column:
     return F.when(F.col("id").isin(list(m.void_coordinate_ids)), F.lit(None)).otherwise(value)
 
 
-def to_silver(bronze: DataFrame, m: ModelSpec) -> DataFrame:
+def to_silver(bronze: DataFrame, m: ModelSpec, unpack: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Newest version of each key within the analysed years, standardized.
 
-    The projection comes last so that only the columns a query needs are ranked and shuffled.
+    The projection comes last so that only the columns a query needs are ranked and shuffled. ``unpack`` adds Bronze
+    columns that follow from those of ``bronze``, after the ranking, so that they are not shuffled at all.
     """
     dated = bronze.where(F.col("year").between(m.first_year, m.last_year))
     dated = dated.withColumn("_updated", casts.to_timestamp(F.col("updated_on")))  # read once, ranked and kept
-    latest = keep_latest(dated, "id", [F.col("_updated"), F.col("ingested_at")], m.tie_breakers)
+    latest = unpack(keep_latest(dated, "id", [F.col("_updated"), F.col("ingested_at")], m.tie_breakers))
     text = lambda c: F.col(c).cast("string").alias(c)
     return latest.select(
         F.col("id").alias("crime_id"),

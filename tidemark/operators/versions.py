@@ -6,6 +6,8 @@ hold a hot key, so a key that holds a large part of all versions never meets one
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import casts
@@ -50,16 +52,18 @@ def content_order(columns: list[str], first: tuple[str, ...] = ()) -> tuple[str,
     return first + sent + tuple(c for c in LINEAGE_FIELDS if c in columns and c not in first)
 
 
-def latest_stage(records: DataFrame, tie_breakers: tuple[str, ...] = (), by_content: tuple[str, ...] = ()) -> DataFrame:
+def latest_stage(records: DataFrame, tie_breakers: tuple[str, ...] = (), by_content: tuple[str, ...] = (),
+                 unpack: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """A batch ready to merge: keyed rows only, newest version of each key.
 
     Equally new versions are told apart by the tie-breakers, then by every column, all of which a batch carries
     anyway: the result does not depend on how the batch is cut or in what order it is read. With ``by_content``
-    (``content_order``) these columns decide alone, in the same way as in a merge by content.
+    (``content_order``) these columns decide alone, in the same way as in a merge by content. ``unpack`` adds columns
+    that follow from those of ``records``, after the ranking, so that they are not shuffled.
     """
     keyed = records.where(F.col(KEY).isNotNull()).withColumn("_updated", casts.to_timestamp(F.col("updated_on")))
     ties = by_content or all_ties(records, KEY, tie_breakers or tuple(c for c in TIES if c in records.columns))
-    return keep_latest(keyed, KEY, [F.col("_updated")], ties).drop("_updated")
+    return unpack(keep_latest(keyed, KEY, [F.col("_updated")], ties).drop("_updated"))
 
 
 def _time(side: str) -> Column:
