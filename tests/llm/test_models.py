@@ -255,3 +255,13 @@ def test_neighbours_of_ids_with_many_vectors(spark):
         mine = got[got.query_id == me]
         assert mine.vec_id.tolist() == want and want[:2] == [9, 7]
         assert np.allclose(mine.score, [best[i] for i in want])
+
+
+def test_pieces_do_not_depend_on_what_a_task_may_remember(spark):
+    words = [f"w{i}x{i * i}" for i in range(3000)]
+    rows = [(i, " ".join(words[i * 37 % 2000:i * 37 % 2000 + 400])) for i in range(60)] + [(60, None), (61, "")]
+    docs, model = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), pieces.load()
+    ids = lambda df: {r.doc_id: r.token_ids for r in df.collect()}
+    usual = ids(pieces.encode_column(docs, model))
+    assert usual == ids(pieces.encode_column(docs, model, most_words=50, run_bytes=1000))
+    assert usual == ids(pieces.tokenised(docs)) and usual[60] is None and usual[61] == []

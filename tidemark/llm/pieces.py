@@ -323,10 +323,12 @@ def _text_of(model: PieceModel, ids: list) -> str:
     return whole.decode("utf-8", "replace")
 
 
-def encode_column(docs: DataFrame, model: PieceModel, text: str = "text", out: str = "token_ids", checked: str | None = None) -> DataFrame:
+def encode_column(docs: DataFrame, model: PieceModel, text: str = "text", out: str = "token_ids", checked: str | None = None,
+                  most_words: int = 200_000, run_bytes: int = 1 << 21) -> DataFrame:
     """Add ``out``, the piece ids of whole texts; null stays null, an empty text has none. With ``checked``
-    add a column that says whether decoding gives the text back. All rows and columns are kept."""
-    modest_batches(docs.sparkSession)
+    add a column that says whether decoding gives the text back. All rows and columns are kept. A task's memory
+    follows ``most_words`` (see ``Encoder``) and ``run_bytes``, the text that is encoded at once; the ids do not."""
+    modest_batches(docs.sparkSession, size=8 * run_bytes)
     fields = [f for f in docs.schema if f.name not in (out, checked)]
     names = [f.name for f in fields]
     at, inside = names.index(text), [f"c{i}" for i in range(len(fields))]  # names may hold dots
@@ -336,9 +338,9 @@ def encode_column(docs: DataFrame, model: PieceModel, text: str = "text", out: s
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        own = Encoder(model)
+        own = Encoder(model, most_words)
         for batch in batches:
-            for part, texts in arrow_runs(batch, inside[at], 1 << 21):
+            for part, texts in arrow_runs(batch, inside[at], run_bytes):
                 ids = own.encode(texts)
                 null = part.column(at).is_null()
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -380,5 +382,6 @@ def op2_pieces(docs: DataFrame, path: str = DEFAULT_MODEL) -> DataFrame:
 
 def tokenised(docs: DataFrame, path: str = DEFAULT_MODEL) -> DataFrame:
     """Documents as token sequences: all columns but the text, and the ids as ``token_ids`` (with a
-    leading underscore if that name is taken)."""
-    return encode_column(docs, load(path), out=fresh(docs, "token_ids")).drop("text")
+    leading underscore if that name is taken). It runs after other stages in executors whose memory those have
+    grown, so it remembers fewer words than ``op2_pieces`` does and encodes less text at once."""
+    return encode_column(docs, load(path), out=fresh(docs, "token_ids"), most_words=40_000, run_bytes=1 << 19).drop("text")
