@@ -8,6 +8,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from rows import M, SILVER_SCHEMA, bronze, silver, values
 from tidemark.operators import quality, rollups
@@ -511,6 +512,15 @@ def test_gold_from_parents_equals_gold_from_silver(spark, tmp_path):
             assert sorted(map(str, got.collect())) == sorted(map(str, frame.collect())), name
 
 
+def test_parents_have_no_more_rows_than_gold(spark):
+    """What is shuffled for Gold is bounded by its own groups, not by a finer grain with a group for each row."""
+    rows = [dict(crime_id=i, district=f"0{i % 30:02}", primary_type="AB"[i % 2], domestic=i % 3 == 0, date=datetime(2024, 1 + i % 2, 1 + i % 28, i % 24),
+                 latitude=41 + i % 5 / 1000, longitude=-87 + i % 7 / 1000) for i in range(300)]
+    s = silver(spark, *rows)
+    counts = {r["parent"]: r["count"] for r in rollups.parent_rollups(s, M).groupBy("parent").count().collect()}
+    assert counts == {name: frame.count() for name, frame in rollups.gold_tables(s, M).items()}
+
+
 def test_runs_count_while_they_write(spark, root, tmp_path, monkeypatch):
     """No job that only counts, and the landing area is parsed once."""
     refresh.bootstrap(spark, root, history(spark, 1, 2, 3), 4)

@@ -7,6 +7,7 @@ per group before anything is shuffled, however skewed the groups are.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -71,25 +72,19 @@ def gold_tables(silver: DataFrame, m: ModelSpec) -> dict[str, DataFrame]:
     return {name: build(silver, m) for name, (build, _) in GOLD.items()}
 
 
-# The lattice: two parents hold every Gold grain, so that Silver is read once, not once per table. The area
-# table's districts are normalised in the parent already; a row without both coordinates has no bins there.
+# What is counted in one pass over Silver: the Gold grains themselves, without the weekday's name, which follows from
+# the number. Calendar, codes and grid bound their groups, so that a task sends few rows however many it reads; a common
+# finer grain has nearly a group for each row.
 PARENTS: dict[str, tuple[str, ...]] = {
-    "times": ("year", "month", "primary_type", "domestic", "day_of_week_number", "hour_of_day"),
-    "places": ("year", "district", "lat_bin", "long_bin"),
-}
-
-
-def parent_of(name: str) -> str:
-    """The parent that a Gold table is rolled up from; its weekday's name follows from the number."""
-    grain = set(GOLD[name][1]) - {"day_of_week"}
-    return next(parent for parent, keys in PARENTS.items() if grain <= set(keys))
+    name: tuple(c for c in grain if c != "day_of_week") for name, (_, grain) in GOLD.items()}
 
 
 def parent_rollups(silver: DataFrame, m: ModelSpec, sign: Column | None = None) -> DataFrame:
-    """Additive counts at the finest grains, ``parent`` naming the grain, in one pass over Silver.
+    """Additive counts at the grains of Gold, ``parent`` naming the table, in one pass over Silver.
 
     With ``sign`` (1 or -1 for a row) they are changes of the counts. Groups are bounded by calendar, codes and
-    grid, and each task reduces its rows to them first. Columns that are not of a grain are NULL.
+    grid, and each task reduces its rows to them first. Columns that are not of a grain are NULL. The area table's
+    districts are normalised already; a row without both coordinates has no bins.
     """
     located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     one = F.when(F.col("crime_id").isNotNull(), F.lit(1) if sign is None else sign)
@@ -103,10 +98,10 @@ def parent_rollups(silver: DataFrame, m: ModelSpec, sign: Column | None = None)
     keys = [c for c in rows.columns if c not in ("one", "arrested")]
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     sets = [[F.col(k) for k in grain] for grain in PARENTS.values()]
-    of_times, of_places = PARENTS
+    absent = lambda grain: [F.grouping(k) == int(k not in grain) for k in keys]
+    names = [F.when(reduce(Column.__and__, absent(grain)), F.lit(name)) for name, grain in PARENTS.items()]
     return rows.groupingSets(sets, *keys).agg(
-        F.when(F.grouping("month") == 0, F.lit(of_times)).otherwise(F.lit(of_places)).alias("parent"),
-        total("one").alias("total_crimes"), total("arrested").alias("total_arrests"))
+        F.coalesce(*names).alias("parent"), total("one").alias("total_crimes"), total("arrested").alias("total_arrests"))
 
 
 def _summed(df: DataFrame, grain: tuple[str, ...]) -> DataFrame:
@@ -117,7 +112,7 @@ def _summed(df: DataFrame, grain: tuple[str, ...]) -> DataFrame:
 
 def from_parent(name: str, parents: DataFrame) -> DataFrame:
     """A Gold table from its parent; equal to the roll-up of Silver itself."""
-    counts = parents.where(F.col("parent") == parent_of(name))
+    counts = parents.where(F.col("parent") == name)
     if "lat_bin" in GOLD[name][1]:
         counts = counts.where(F.col("lat_bin").isNotNull())
     if "day_of_week" in GOLD[name][1]:
