@@ -521,6 +521,20 @@ def test_parents_have_no_more_rows_than_gold(spark):
     assert counts == {name: frame.count() for name, frame in rollups.gold_tables(s, M).items()}
 
 
+def test_bucket_writes_do_not_sort_whole_rows(spark):
+    with snapshots._whole_buckets(spark, 4):
+        assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) == 0
+
+
+def test_many_buckets_in_one_task_keep_all_rows(spark, root):
+    rows = spark.range(5000).withColumn("x", F.col("id") % 7).coalesce(1)  # more buckets than open files
+    ref = snapshots.write_keyed([rows], root, "r", "t", "id", 3 * snapshots.WRITERS)
+    got = snapshots.read_table(spark, ref)
+    assert sorted(map(tuple, got.collect())) == sorted((i, i % 7) for i in range(5000))
+    assert got.where(F.col("id") == 4711).count() == 1 and got.groupBy("id").count().count() == 5000
+
+
 def test_runs_count_while_they_write(spark, root, tmp_path, monkeypatch):
     """No job that only counts, and the landing area is parsed once."""
     refresh.bootstrap(spark, root, history(spark, 1, 2, 3), 4)

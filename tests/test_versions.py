@@ -2,6 +2,7 @@ import random
 import tempfile
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from rows import bronze, values
@@ -200,3 +201,36 @@ def test_versions_are_chosen_before_their_part_is_joined(spark):
         assert plain(fixture.unpacked(stored)) == plain(lines.unpack(fixture.target(lines)))
         text = fixture.newest(lines.rows, lines.model)._jdf.queryExecution().executedPlan().toString()
         assert ("p_name" in text) == bool(more)  # the part's columns are not ranked
+
+
+def _odd_tables(spark, *more):
+    """Lines without key, part, flag or times, parts without type, and versions that tie."""
+    day = lambda n: n and datetime(1997, 3, n)
+    line = lambda order, part, supp, price, flag, n, number=1: (order, part, supp, number, 5.0, price, 0.0, 0.0, flag, "O", day(n))
+    rows = [line(1, 3, 50, 7.0, "R", 2), line(1, 3, 50, 7.0, "A", 2), line(2, 6, 50, 7.0, "N", 2), line(3, 98, 1, 1.0, "N", 5),
+            line(4, 4, None, None, "N", 5), line(5, 3, 2, 9.0, None, 9), line(6, 3, 2, 9.0, "R", None), line(None, 4, 2, 9.0, "R", 9),
+            line(None, 3, 2, 9.0, "A", 8), line(0, 5, 2, 9.0, "A", 8, 0), line(7, None, 1, 1.0, "N", 28)]
+    parts = [(n, f"name {n}", f"Brand#{n}", "SMALL", 1, 1.0) for n in (3, 4, 4, 5)] + [(6, "name 6", "Brand#6", None, 1, 1.0), *more]
+    folder = tempfile.mkdtemp()
+    from tidemark.plans import fixture
+    for name, data in (("lineitem", rows), ("part", parts)):
+        spark.createDataFrame(data, fixture.SCHEMAS[name]).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+DIFFERING = (5, "other 5", "Brand#5", "LARGE", 1, 1.0)
+
+
+@pytest.mark.parametrize("more", [(), (DIFFERING,)])
+def test_keyed_silver_shuffles_keys_not_rows_to_the_parts(spark, monkeypatch, more):
+    from tidemark.plans import catalogue, fixture
+    from tidemark.sources import snapshots
+
+    folder, plans, write = _odd_tables(spark, *more), [], snapshots.write_keyed
+    monkeypatch.setattr(snapshots, "write_keyed", lambda parts, *rest: (
+        plans.extend(p._jdf.queryExecution().executedPlan().toString() for p in parts), write(parts, *rest))[1])
+    got, want = catalogue.QUERIES["s9_keyed_snapshot"](spark, folder), to_silver(fixture.bronze(spark, folder), fixture.MODEL)
+    plain = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    assert plain(got) == plain(want) and len(plain(got)) == 6 and got.where("crime_id IS NULL").count() == 1
+    ranked = [text for text in plans if "WindowGroupLimit" in text]
+    assert ranked and all(("p_name" in text) == bool(more) for text in ranked)

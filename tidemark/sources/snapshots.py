@@ -20,7 +20,10 @@ from dataclasses import astuple, dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import scratch_path
+
 BUCKET = "_bucket"  # the partition column of keyed tables; their own columns have other names
+WRITERS = 8  # open files of a task; one with more buckets, which are small then, sorts the rest of its rows
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("run_id", T.StringType()),
@@ -113,8 +116,10 @@ def write_keyed(parts: list[DataFrame], root: str, run_id: str, name: str, key:
 @contextmanager
 def _whole_buckets(spark: SparkSession, buckets: int):
     """One task per bucket also where no operator asks for that partitioning; what is ranked or joined by key on the
-    way is shuffled into buckets at once."""
-    settings = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false", "spark.sql.shuffle.partitions": str(buckets)}
+    way is shuffled into buckets at once. A task that holds few buckets writes them side by side: its rows are not
+    sorted by bucket first."""
+    settings = {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false", "spark.sql.shuffle.partitions": str(buckets),
+                "spark.sql.maxConcurrentOutputFileWriters": str(WRITERS)}
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
@@ -155,6 +160,12 @@ def read_table(spark: SparkSession, ref: TableRef, only: list[int] | None = None
     return found.drop(BUCKET)
 
 
+def settle_keyed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``session.settle`` in buckets by key: what joins or groups the table by key does not shuffle it."""
+    spark = df.sparkSession
+    return read_table(spark, write_keyed([df], scratch_path(spark, name), "run-1", name, key, buckets))
+
+
 def _manifests(root: str) -> str:
     return f"{root.rstrip('/')}/manifests"
 
